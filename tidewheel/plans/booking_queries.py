@@ -190,9 +190,9 @@ def ab_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {inputs.MONITORING_SQL},
     scored AS (SELECT *, {SQL_VARIANT} AS variant FROM monitoring),
     priced AS (SELECT variant, average_price AS y,
-      round(CASE variant WHEN 'A' THEN prediction ELSE prediction + 10 END * 1.05, 2) AS price FROM scored)
-    SELECT variant, count(*) AS rows, round(avg(price), 4) AS mean_price, round(avg(abs(y - price)), 4) AS mae,
-      round(sqrt(avg((y - price) * (y - price))), 4) AS rmse, round(max(abs(y - price)), 4) AS max_error
+      CAST(round(CAST(CAST(CASE variant WHEN 'A' THEN prediction ELSE prediction + 10 END * 1.05 AS VARCHAR) AS DECIMAL(28, 10)), 2) AS DOUBLE) AS price FROM scored)
+    SELECT variant, count(*) AS rows, round(avg(price), 6) AS mean_price, round(avg(abs(y - price)), 6) AS mae,
+      round(sqrt(avg((y - price) * (y - price))), 6) AS rmse, round(max(abs(y - price)), 6) AS max_error
     FROM priced GROUP BY variant""",
 )
 def ab_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +200,7 @@ def ab_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = inference_log.monitoring_rows(inputs.request_log(spark, sf_dir), inputs.ground_truth(spark, sf_dir))
     models = {"A": lambda df: df, "B": lambda df: df.withColumn("prediction", F.col("prediction") + 10)}
     scored = training.ab_score(log, "Booking_ID", models)
-    return rounded(training.ab_outcome(scored, "average_price"), 4, "mean_price", "mae", "rmse", "max_error")
+    return rounded(training.ab_outcome(scored, "average_price"), 6, "mean_price", "mae", "rmse", "max_error")
 
 
 @query(

@@ -21,6 +21,7 @@ def build_session(app: str = "tidewheel", cores: int | str = 8, memory: str = "1
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.streaming.metricsEnabled", "false")
         .getOrCreate()
     )
