@@ -177,8 +177,9 @@ def _by_cells(corpus: DataFrame, queries: DataFrame, k: int, pivots: int = PIVOT
         # Queries of a crowded cell are split as well; the corpus part is repeated per split.
         splits = visits.groupBy("cell", "salt").agg(F.ceil(F.count(F.lit(1)) / group_rows).cast("int").alias("parts"))
         left = visits.join(splits, ["cell", "salt"]).withColumn("part", F.pmod(F.xxhash64("query_id"), "parts").cast("int"))
-        right = salted.join(splits, ["cell", "salt"]).withColumn(
-            "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        copies = splits.select(*[F.col(c).alias(c) for c in ("cell", "salt")], F.col("parts").alias("copies"))
+        right = salted.join(copies, ["cell", "salt"]).withColumn(
+            "part", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))
         )
         key = ["cell", "salt", "part"]
         return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(search, "query_id long, id long, score double")

@@ -190,7 +190,7 @@ def ab_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {inputs.MONITORING_SQL},
     scored AS (SELECT *, {SQL_VARIANT} AS variant FROM monitoring),
     priced AS (SELECT variant, average_price AS y,
-      CAST(round(CAST(CAST(CASE variant WHEN 'A' THEN prediction ELSE prediction + 10 END * 1.05 AS VARCHAR) AS DECIMAL(28, 10)), 2) AS DOUBLE) AS price FROM scored)
+      CAST(round(CAST(CAST(CASE variant WHEN 'A' THEN prediction ELSE prediction + 10 END * 1.05 AS VARCHAR) AS DECIMAL(38, 20)), 2) AS DOUBLE) AS price FROM scored)
     SELECT variant, count(*) AS rows, round(avg(price), 6) AS mean_price, round(avg(abs(y - price)), 6) AS mae,
       round(sqrt(avg((y - price) * (y - price))), 6) AS rmse, round(max(abs(y - price)), 6) AS max_error
     FROM priced GROUP BY variant""",

@@ -1,0 +1,68 @@
+"""Training, tuning, promotion, synthesis and resampling on the booking table.
+
+Boosted trees, random trials and draws have no SQL twin; their properties are tested instead.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewheel.operators import bookings as booking_ops
+from tidewheel.operators import sampling, synthesis, training
+from tidewheel.plans import inputs
+from tidewheel.plans.catalogue import query
+from tidewheel.session import materialize
+
+# Tree counts of the registered queries; the library defaults are 200 trees and 50 to 700 in a search.
+TREES = 20
+SMALL_SPACE = {"n_estimators": (5, 15, 5), "max_depth": (3, 5)}
+
+
+def frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Encoded train and test rows, written once: every boosting round reads them again."""
+    train, test = booking_ops.time_split(inputs.bookings(spark, sf_dir))
+    train = materialize(train, "train")
+    codes = booking_ops.category_codes(train, booking_ops.CATEGORICAL)
+    return materialize(training.feature_frame(train, codes), "train-coded"), training.feature_frame(test, codes)
+
+
+@query("gbt_scores")
+def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows with the prediction of a model fitted on the train window."""
+    train, test = frames(spark, sf_dir)
+    return training.score(training.train(train, {"n_estimators": TREES}), test)
+
+
+@query("hpo_trials")
+def hpo_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = frames(spark, sf_dir)
+    return training.tune(train, training.random_trials(SMALL_SPACE))
+
+
+@query("promotion_gate")
+def promotion_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deeper boost against a two-tree champion, on the same test rows."""
+    train, test = frames(spark, sf_dir)
+    champion = training.metrics(training.train(train, {"n_estimators": 2}), test)
+    challenger = training.metrics(training.train(train, {"n_estimators": TREES // 2}), test)
+    return training.promotion(champion, challenger)
+
+
+@query("synthetic_next_month")
+def synthetic_next_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many synthetic bookings as there are real ones, dated into the next month."""
+    rows = inputs.bookings(spark, sf_dir)
+    categorical = ["type_of_meal", "room_type", "market_segment_type"]
+    model = synthesis.fit(rows, [*booking_ops.NUMERIC, booking_ops.TARGET], categorical)
+    return synthesis.next_month_rows(spark, model, booking_ops.newest_date(rows), rows.count(), booking_ops.NUMERIC)
+
+
+@query("resample_with_replacement")
+def resample_with_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two samples with replacement, one of a segment and one of the rest, concatenated."""
+    rows = inputs.bookings(spark, sf_dir)
+    key = F.col("Booking_ID")
+    segment = sampling.resample(rows.where("market_segment_type = 'BUILDING'"), key, 2000, seed=1)
+    rest = sampling.resample(rows.where("market_segment_type <> 'BUILDING'"), key, 2000, seed=2)
+    return segment.unionByName(rest)
