@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def one_row_each(df: DataFrame, items: Column | str, name: str, position: str | None = None) -> DataFrame:
+    """One row per array item, with its position when named; empty and null arrays give none.
+
+    An inner explode makes Spark infer a not-empty filter that evaluates the array expression
+    again (a second parse of every document). The outer form with a test of the position does not.
+    """
+    place = position or "_position"
+    rows = df.select("*", F.posexplode_outer(items).alias(place, name)).where(F.col(place).isNotNull())
+    return rows if position else rows.drop(place)
+
+
 def first_match(items: Column, test: Callable[[Column], Column]) -> Column:
     """First array element passing the test, null when there is none."""
     return F.get(F.filter(items, test), F.lit(0))

@@ -22,13 +22,13 @@ def clean_text(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Number of whitespace-separated words."""
-    return F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+    """Number of whitespace-separated words; null for null text."""
+    return F.array_size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
 
 
 def within_word_limit(text: Column, limit: int = WORD_LIMIT) -> Column:
     """True when the text holds strictly fewer words than the limit; null for null text."""
-    return F.when(text.isNotNull(), word_count(text) < F.lit(limit))
+    return word_count(text) < F.lit(limit)
 
 
 def path_to_id(path: Column, suffix: str = ".pdf") -> Column:

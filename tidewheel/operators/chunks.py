@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.functions import dates, text
+from tidewheel.functions import dates, nested, text
 
 # The parsed-document contract.
 PARSED_SCHEMA = "struct<document: struct<elements: array<struct<id: string, type: string, content: string>>>>"
@@ -56,6 +56,12 @@ def parse_documents(files: DataFrame, content: Column, processed: Column, html:
     return files.select("path", elements_json(blocks).alias("parsed_content"), processed.cast("long").alias("processed"))
 
 
+def element_rows(parsed: DataFrame) -> DataFrame:
+    """path, id, type, content — one row per element of the parsed documents."""
+    elements = F.from_json("parsed_content", PARSED_SCHEMA)["document"]["elements"]
+    return nested.one_row_each(parsed.select("path", elements.alias("_e")), "_e", "element").select("path", "element.*")
+
+
 def extract_chunks(parsed_content: Column) -> Column:
     """Text elements as array of (chunk_id, content), in order; a missing id is an empty string."""
     elements = F.from_json(parsed_content, PARSED_SCHEMA)["document"]["elements"]
@@ -75,9 +81,9 @@ def chunk_table(parsed: DataFrame, papers: DataFrame, batch: int | None = None)
     rows = parsed if batch is None else parsed.where(F.col("processed") == batch)
     with_id = rows.select(
         text.path_to_id(F.col("path")).alias("paper_id"),
-        F.explode(extract_chunks(F.col("parsed_content"))).alias("chunk"),
+        extract_chunks(F.col("parsed_content")).alias("chunks"),
     )
-    cleaned = with_id.select(
+    cleaned = nested.one_row_each(with_id, "chunks", "chunk").select(
         "paper_id", F.col("chunk.chunk_id").alias("chunk_id"),
         text.clean_text(F.col("chunk.content")).alias("text"),
         text.composite_id(F.col("paper_id"), F.col("chunk.chunk_id")).alias("id"),

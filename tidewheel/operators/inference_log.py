@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.functions import nested
+
 # The payload contract.
 RECORD_SCHEMA = (
     "number_of_adults:int, number_of_children:int, number_of_weekend_nights:int,"
@@ -33,7 +35,7 @@ def parse_payload(log: DataFrame, model_name: str = MODEL_NAME) -> DataFrame:
         F.from_json("request", REQUEST_SCHEMA)["dataframe_records"].alias("records"),
         F.from_json("response", RESPONSE_SCHEMA)["predictions"]["Total price per night"].alias("prices"),
     )
-    rows = parsed.select("*", F.posexplode("records").alias("pos", "record"))
+    rows = nested.one_row_each(parsed, "records", "record", "pos")
     return rows.select(
         "Booking_ID", "request_time", "request_id", "execution_duration_ms", "record.*",
         F.get("prices", F.col("pos")).alias("prediction"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.functions import text
+from tidewheel.functions import nested, text
 from tidewheel.operators.ranking import top_per_key
 
 # BM25 and fusion constants, column weights of the re-ranker.
@@ -17,14 +17,14 @@ DIGITS = 6
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
-    return queries.select("query_id", F.explode(F.array_distinct(text.terms(F.col("text")))).alias("term"))
+    asked = queries.select("query_id", F.array_distinct(text.terms(F.col("text"))).alias("_t"))
+    return nested.one_row_each(asked, "_t", "term").drop("_t")
 
 
 def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(id, length, term, tf) for terms of the vocabulary only; the rest never leaves the scan."""
-    tokens = docs.select("id", text.terms(F.col("text")).alias("_t"))
-    spread = tokens.select("id", F.size("_t").alias("length"), F.explode("_t").alias("term"))
-    hits = spread.join(vocabulary, "term", "left_semi")
+    tokens = docs.select("id", text.terms(F.col("text")).alias("_t")).withColumn("length", F.size("_t"))
+    hits = nested.one_row_each(tokens, "_t", "term").drop("_t").join(vocabulary, "term", "left_semi")
     return hits.groupBy("id", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

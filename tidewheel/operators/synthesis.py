@@ -5,7 +5,9 @@ from __future__ import annotations
 from statistics import NormalDist
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,14 +27,25 @@ def _z(p: float) -> float:
     return max(-CLIP, min(CLIP, NormalDist().inv_cdf(p)))
 
 
-def _interpolate(x: Column, xs: list[float], ys: list[float]) -> Column:
-    """Piecewise linear y(x) over an increasing grid, flat outside it."""
-    grid = F.array(*[F.lit(float(v)) for v in xs])
-    out = F.array(*[F.lit(float(v)) for v in ys])
-    left = F.greatest(F.least(F.size(F.filter(grid, lambda g: g <= x)) - 1, F.lit(len(xs) - 2)), F.lit(0))
-    x0, x1, y0, y1 = F.get(grid, left), F.get(grid, left + 1), F.get(out, left), F.get(out, left + 1)
-    share = F.when(x1 > x0, (x - x0) / (x1 - x0)).otherwise(F.lit(0.5))
-    return y0 + F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0)) * (y1 - y0)
+def _at(z: Column, values: list[float]) -> Column:
+    """Value at a normal score, linear between grid points that are evenly spaced in z."""
+    grid = F.array(*[F.lit(float(v)) for v in values])
+    step = 2 * CLIP / GRID
+    place = (F.greatest(F.least(z, F.lit(CLIP)), F.lit(-CLIP)) + CLIP) / step
+    left = F.least(F.floor(place), F.lit(GRID - 1)).cast("int")
+    low, high = F.get(grid, left), F.get(grid, left + 1)
+    return low + (place - left) * (high - low)
+
+
+def _normal_scores(columns: list[str], points: dict[str, tuple[list[float], list[float]]]):
+    """Vectorised value → normal score of several columns, each along its own quantile curve."""
+
+    @F.pandas_udf("array<double>")
+    def scores(rows: pd.DataFrame) -> pd.Series:
+        curves = [np.interp(rows[c].to_numpy(dtype=float, na_value=np.nan), *points[c]) for c in columns]
+        return pd.Series(list(np.column_stack(curves)))
+
+    return scores(F.struct(*[F.col(c).cast("double").alias(c) for c in columns]))
 
 
 def fit(df: DataFrame, numeric: list[str], categorical: list[str]) -> dict:
@@ -40,19 +53,17 @@ def fit(df: DataFrame, numeric: list[str], categorical: list[str]) -> dict:
 
     What reaches the driver is one grid per column, one share per category and a k × k matrix.
     """
-    steps = [i / GRID for i in range(GRID + 1)]
+    z_grid = [-CLIP + 2 * CLIP * i / GRID for i in range(GRID + 1)]
+    steps = [0.0, *[NormalDist().cdf(z) for z in z_grid[1:-1]], 1.0]
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), steps, 100_000).alias(c) for c in numeric]).first()
-    z_grid = [_z(p) for p in steps]
-    model: dict = {"numeric": {}, "categorical": {}, "columns": [*numeric, *categorical]}
-    scores = []
+    model: dict = {"numeric": {c: row[c] for c in numeric}, "categorical": {}, "columns": [*numeric, *categorical]}
+    curves = {}
     for c in numeric:
         # A value repeated over many quantiles maps to the middle of its stretch.
-        values, zs = np.array(row[c]), np.array(z_grid)
-        points = np.unique(values)
-        middle = [float(zs[values == p].mean()) for p in points]
-        model["numeric"][c] = {"values": row[c], "z": z_grid}
-        forward = _interpolate(F.col(c).cast("double"), points.tolist(), middle) if len(points) > 1 else F.lit(0.0)
-        scores.append(forward.alias(c))
+        values, zs = np.array(row[c], dtype=float), np.array(z_grid)
+        found = np.unique(values)
+        curves[c] = (found.tolist(), [float(zs[values == v].mean()) for v in found])
+    scores = []
     for c in categorical:
         counts = df.groupBy(F.col(c).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("n"))
         found = counts.where("v IS NOT NULL").orderBy("v").limit(CATEGORY_LIMIT + 1).collect()
@@ -66,7 +77,10 @@ def fit(df: DataFrame, numeric: list[str], categorical: list[str]) -> dict:
         pairs = [x for v, a, b in zip(labels, lower, upper) for x in (F.lit(v), F.lit(_z((a + b) / 2)))]
         lookup = F.create_map(*pairs)
         scores.append(F.coalesce(F.try_element_at(lookup, F.col(c).cast("string")), F.lit(0.0)).alias(c))
-    assembled = VectorAssembler(inputCols=model["columns"], outputCol="z", handleInvalid="skip").transform(df.select(*scores))
+    numbers = _normal_scores(numeric, curves).alias("_numbers")
+    joined = df.select(numbers, *scores).select(array_to_vector("_numbers").alias("_numbers"), *categorical)
+    assembler = VectorAssembler(inputCols=["_numbers", *categorical], outputCol="z", handleInvalid="skip")
+    assembled = assembler.transform(joined)
     matrix = Correlation.corr(assembled, "z").first()[0].toArray()
     matrix = np.nan_to_num(matrix, nan=0.0)
     np.fill_diagonal(matrix, 1.0)
@@ -89,8 +103,7 @@ def sample(spark, model: dict, n: int, seed: int = 42) -> DataFrame:
     for i, c in enumerate(columns):
         z = F.col(f"_z{i}")
         if c in model["numeric"]:
-            grid = model["numeric"][c]
-            out.append(_interpolate(z, grid["z"], grid["values"]).alias(c))
+            out.append(_at(z, model["numeric"][c]).alias(c))
         else:
             known = model["categorical"][c]
             edges = F.array(*[F.lit(float(u)) for u in known["upper_z"][:-1]])

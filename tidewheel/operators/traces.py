@@ -124,8 +124,10 @@ def performance_review(traces: DataFrame, slow_ms: int = SLOW_SPAN_MS) -> DataFr
 
 def span_rows(traces: DataFrame, outer: bool = False) -> DataFrame:
     """One row per span; traces without spans are dropped unless `outer`."""
-    spread = F.explode_outer if outer else F.explode
-    return traces.select("trace_id", "request_time", spread("spans").alias("span"))
+    rows = traces.select("trace_id", "request_time", "spans")
+    if outer:
+        return rows.select("trace_id", "request_time", F.explode_outer("spans").alias("span"))
+    return nested.one_row_each(rows, "spans", "span").drop("spans")
 
 
 def loop_bound_share(traces: DataFrame, keys: list[Column], bound_message: str = BOUND_MESSAGE) -> DataFrame:

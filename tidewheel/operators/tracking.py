@@ -67,4 +67,4 @@ def last_k_papers(papers: DataFrame, k: int = 10) -> DataFrame:
 
 
 def authors_of(papers: DataFrame) -> DataFrame:
-    return papers.select(F.explode("authors").alias("author")).distinct()
+    return nested.one_row_each(papers.select("authors"), "authors", "author").select("author").distinct()

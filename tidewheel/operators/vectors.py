@@ -13,7 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.functions import text
+from tidewheel.functions import nested, text
 from tidewheel.operators.ranking import top_per_key
 from tidewheel.session import materialize
 from tidewheel.sources import changes
@@ -215,7 +215,7 @@ def lsh_top_k(
         coded = rows.select(
             key, vector_to_array("_v").alias(vector), F.transform("_hashes", lambda h: F.xxhash64(h)).alias(codes)
         )
-        return coded.select("*", F.posexplode(codes).alias("table", "code"))
+        return nested.one_row_each(coded, codes, "code", "table")
 
     pairs = hashed(queries, "query_id", "_q", "_qv").join(hashed(corpus, "id", "_c", "_cv"), ["table", "code"])
     met_before = F.exists(

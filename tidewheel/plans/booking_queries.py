@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.functions import dates, routing
+from tidewheel.functions import dates, nested, routing
 from tidewheel.operators import bookings as booking_ops
 from tidewheel.operators import inference_log, training
 from tidewheel.plans import inputs
@@ -226,7 +226,8 @@ def split_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("payload_split_parse", f"""WITH {inputs.BOOKINGS_SQL} SELECT "Booking_ID", number_of_adults, lead_time, room_type FROM bookings""")
 def payload_split_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as column-and-rows payload, parsed back to typed rows."""
-    rows = split_requests(spark, sf_dir).select("Booking_ID", F.explode(inference_log.parse_split_payload(F.col("request"))).alias("row"))
+    parsed = split_requests(spark, sf_dir).select("Booking_ID", inference_log.parse_split_payload(F.col("request")).alias("rows"))
+    rows = nested.one_row_each(parsed, "rows", "row")
     types = {"number_of_adults": "int", "lead_time": "int", "room_type": "string"}
     return rows.select("Booking_ID", *[F.col("row")[c].try_cast(t).alias(c) for c, t in types.items()])
 

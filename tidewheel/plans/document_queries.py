@@ -32,8 +32,7 @@ def parsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def document_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text documents split into typed blocks, written as JSON and read back."""
-    parsed = F.from_json("parsed_content", chunks.PARSED_SCHEMA)["document"]["elements"]
-    return parsed_documents(spark, sf_dir).select("path", F.inline(parsed))
+    return chunks.element_rows(parsed_documents(spark, sf_dir))
 
 
 @query(
@@ -59,9 +58,7 @@ def page_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages split into typed blocks."""
     pages = inputs.table(spark, sf_dir, "pages")
     files = pages.select(F.concat(F.lit("/pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"), "html")
-    parsed = chunks.parse_documents(files, F.col("html"), F.lit(0), html=True)
-    elements = F.from_json("parsed_content", chunks.PARSED_SCHEMA)["document"]["elements"]
-    return parsed.select("path", F.inline(elements))
+    return chunks.element_rows(chunks.parse_documents(files, F.col("html"), F.lit(0), html=True))
 
 
 CHUNKS_SQL = rf"""
