@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.functions import nested, text
 from tidewheel.operators.ranking import top_per_key
+from tidewheel.operators.topk import Best
 
 # BM25 and fusion constants, column weights of the re-ranker.
 K1 = 1.2
@@ -14,6 +20,8 @@ B = 0.75
 FUSION_OFFSET = 60
 COLUMN_WEIGHTS = {"text": 0.6, "title": 0.3, "summary": 0.1}
 DIGITS = 6
+SCAN_TERMS = 20_000  # (query, term) pairs that may travel inside a task closure
+BLOCK_CELLS = 4_000_000  # document × term cells worked on at a time
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -28,20 +36,93 @@ def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return hits.groupBy("id", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def bm25(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """Top-k documents per query: (query_id, id, score, rank). Inputs (id, text), (query_id, text)."""
+def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, scan_terms: int = SCAN_TERMS) -> DataFrame:
+    """Top-k documents per query: (query_id, id, score, rank). Inputs (id, text), (query_id, text).
+
+    Queries of up to `scan_terms` (query, term) pairs ride along to one scan of the documents;
+    more are joined on the term.
+    """
+    head = query_terms(queries).limit(scan_terms + 1).collect()
+    wanted = [(r["query_id"], r["term"]) for r in head]
+    found = _scan(docs, wanted, k) if len(wanted) <= scan_terms else _by_terms(docs, query_terms(queries))
+    return top_per_key(found, ["query_id"], [F.col("score").desc(), F.col("id")], k)
+
+
+def _by_terms(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Scores of all matching pairs, through an equi-join of document and query terms."""
     size = docs.agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.size(text.terms(F.col("text")))).alias("mean")
     ).first()
-    wanted = query_terms(queries)
     counts = term_counts(docs, wanted.select("term").distinct())
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (size["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = wanted.join(frequency, "term").select("query_id", "term", idf.alias("idf"))
     norm = K1 * (1 - B + B * F.col("length") / F.lit(size["mean"]))
     part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
-    scored = counts.join(weights, "term").groupBy("query_id", "id").agg(F.round(F.sum(part), DIGITS).alias("score"))
-    return top_per_key(scored, ["query_id"], [F.col("score").desc(), F.col("id")], k)
+    scored = counts.join(weights, "term").groupBy("query_id", "id")
+    return scored.agg(F.round(F.sum(part), DIGITS).alias("score"))
+
+
+def _scan(docs: DataFrame, wanted: list[tuple], k: int) -> DataFrame:
+    """Two passes over the documents and no shuffle of matches.
+
+    The first counts in how many documents each query term occurs; the second scores every
+    document against all queries where it lies and reports the best k per task.
+    """
+    schema = "query_id long, id long, score double"
+    if not wanted:
+        return docs.sparkSession.createDataFrame([], schema)
+    vocabulary = sorted({term for _, term in wanted})
+    block = max(1, BLOCK_CELLS // len(vocabulary))
+    tokens = docs.select(F.col("id").cast("long").alias("id"), text.terms(F.col("text")).alias("terms"))
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Ids, lengths and the document × term counts of a few documents at a time."""
+        known = pa.array(vocabulary)
+        for batch in batches:
+            for start in range(0, batch.num_rows, block):
+                part = batch.slice(start, block)
+                words = part.column(1)
+                lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+                term = pc.index_in(words.flatten(), known)
+                hit = pc.is_valid(term).to_numpy(zero_copy_only=False)
+                document = np.repeat(np.arange(part.num_rows), lengths)[hit]
+                counts = np.zeros((part.num_rows, len(vocabulary)))
+                np.add.at(counts, (document, term.drop_null().to_numpy()), 1.0)
+                yield np.asarray(part.column(0)), lengths, counts
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(len(vocabulary) + 2, dtype=np.int64)
+        for _, lengths, counts in blocks(batches):
+            totals[:-2] += (counts > 0).sum(axis=0)
+            totals[-2:] += [len(lengths), lengths.sum()]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(totals))), pa.array(totals)], names=["slot", "total"])
+
+    summed = tokens.mapInArrow(count, "slot long, total long").groupBy("slot").agg(F.sum("total").alias("total"))
+    totals = np.zeros(len(vocabulary) + 2)
+    for row in summed.collect():  # one row per query term, and two for the corpus
+        totals[row["slot"]] = row["total"]
+    df, n, mean = totals[:-2], totals[-2], totals[-1] / max(totals[-2], 1)
+
+    query_ids = np.array(sorted({q for q, _ in wanted}))
+    rows = np.searchsorted(query_ids, [q for q, _ in wanted])
+    place = {term: i for i, term in enumerate(vocabulary)}
+    cols = np.array([place[t] for _, t in wanted])
+    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = np.zeros((len(query_ids), len(vocabulary)))
+        weights[rows, cols] = idf[cols]
+        best = Best(query_ids, k)
+        for ids, lengths, tf in blocks(batches):
+            norm = K1 * (1 - B + B * lengths / max(mean, 1e-9))
+            scores = np.round(weights @ (tf * (K1 + 1) / (tf + norm[:, None])).T, DIGITS)
+            best.add(ids, np.where(scores > 0, scores, -np.inf))
+        found = best.rows()
+        if found is not None:
+            yield found
+
+    return tokens.mapInArrow(scan, schema)
 
 
 def fuse(first: DataFrame, second: DataFrame, k: int = 10) -> DataFrame:

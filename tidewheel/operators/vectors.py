@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions import nested, text
 from tidewheel.operators.ranking import top_per_key
+from tidewheel.operators.topk import Best, keep_best
 from tidewheel.session import materialize
 from tidewheel.sources import changes
 
@@ -47,12 +48,6 @@ def _rows(batch: pa.RecordBatch, column: int) -> np.ndarray:
     return np.asarray(lists.flatten(), dtype=np.float64).reshape(len(lists), -1)
 
 
-def _keep_best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per row the k best (score descending, id ascending)."""
-    order = np.lexsort((ids, -scores), axis=-1)[:, :k]
-    return np.take_along_axis(ids, order, 1), np.take_along_axis(scores, order, 1)
-
-
 def top_k_similar(corpus: DataFrame, queries: DataFrame, k: int = 5, query_batch: int = QUERY_BATCH) -> DataFrame:
     """Exact cosine top-k: (query_id, id, score, rank); inputs are (id, vector) / (query_id, vector).
 
@@ -75,20 +70,13 @@ def _scan(corpus: DataFrame, batch: list, k: int) -> DataFrame:
     matrix = _unit([r["vector"] for r in batch])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best_ids = best = None
+        best = Best(query_ids, k)
         for part in batches:
-            if part.num_rows == 0:
-                continue
-            scores = np.round(matrix @ _unit(_rows(part, 1)).T, DIGITS)
-            ids = np.broadcast_to(np.asarray(part.column(0)), scores.shape)
-            if best is not None:
-                scores, ids = np.hstack([best, scores]), np.hstack([best_ids, ids])
-            best_ids, best = _keep_best(ids, scores, k)
-        if best is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(query_ids, best.shape[1])), pa.array(best_ids.ravel()), pa.array(best.ravel())],
-                names=["query_id", "id", "score"],
-            )
+            if part.num_rows:
+                best.add(np.asarray(part.column(0)), np.round(matrix @ _unit(_rows(part, 1)).T, DIGITS))
+        found = best.rows()
+        if found is not None:
+            yield found
 
     return corpus.mapInArrow(scan, schema)
 
@@ -160,7 +148,7 @@ def _by_cells(corpus: DataFrame, queries: DataFrame, k: int, pivots: int = PIVOT
             for start in range(0, len(queries_in), 256):
                 block = queries_in.iloc[start:start + 256]
                 scores = np.round(_unit(np.stack(block["vector"].to_numpy())) @ known.T, DIGITS)
-                best_ids, best = _keep_best(np.broadcast_to(ids, scores.shape), scores, k)
+                best_ids, best = keep_best(np.broadcast_to(ids, scores.shape), scores, k)
                 out["query_id"].append(np.repeat(block["query_id"].to_numpy(), best.shape[1]))
                 out["id"].append(best_ids.ravel())
                 out["score"].append(best.ravel())

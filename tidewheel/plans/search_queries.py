@@ -91,6 +91,12 @@ def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.bm25(doc_texts(spark, sf_dir), query_texts(spark, sf_dir), 10)
 
 
+@query("bm25_term_join", f"WITH {bm25_sql(10)} SELECT * FROM bm25")
+def bm25_term_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search by the term join, the way taken for more queries than fit one batch."""
+    return lexical.bm25(doc_texts(spark, sf_dir), query_texts(spark, sf_dir), 10, scan_terms=0)
+
+
 DEPTH = 50
 
 
