@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 _local_roots: dict[str, str] = {}
 
 
-def build_session(app: str = "tidewheel", cores: int | str = 8, memory: str = "12g") -> SparkSession:
+def build_session(
+    app: str = "tidewheel", cores: int | str = 8, memory: str = "12g", extra: dict[str, str] | None = None
+) -> SparkSession:
     """Local session for tests and benches. On a cluster, bring your own session."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", memory)
@@ -23,8 +25,10 @@ def build_session(app: str = "tidewheel", cores: int | str = 8, memory: str = "1
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.streaming.metricsEnabled", "false")
-        .getOrCreate()
     )
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
