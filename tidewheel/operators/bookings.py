@@ -97,6 +97,7 @@ def encode(df: DataFrame, codes: DataFrame, columns: list[str], suffix: str = "_
 
     One equi-join per column against its slice of the vocabulary. A vocabulary is tiny next to
     the data, so Spark sees its size at run time and broadcasts it; a large one is shuffled.
+    Pass a written table of codes: a lazy one would scan the training rows once per column.
     """
     for c in columns:
         of_column = codes.where(F.col("column_name") == c).select(

@@ -103,13 +103,13 @@ def promotion(champion: DataFrame | None, challenger: DataFrame) -> DataFrame:
 
     Both inputs are one-row metric tables of the same test set.
     """
-    new = challenger.select(F.lit(1).alias("_one"), F.col("rmse").alias("new_rmse"))
-    if champion is None:
-        return new.select("new_rmse", F.lit(None).cast("double").alias("old_rmse"), F.lit(True).alias("register"))
-    old = champion.select(F.lit(1).alias("_one"), F.col("rmse").alias("old_rmse"))
-    both = new.join(old, "_one", "left")
+    nothing = F.lit(None).cast("double")
+    rows = challenger.select(F.col("rmse").alias("new_rmse"), nothing.alias("old_rmse"))
+    if champion is not None:
+        rows = rows.unionByName(champion.select(nothing.alias("new_rmse"), F.col("rmse").alias("old_rmse")))
+    both = rows.agg(F.max("new_rmse").alias("new_rmse"), F.max("old_rmse").alias("old_rmse"))
     better = F.col("old_rmse").isNull() | (F.col("new_rmse") < F.col("old_rmse"))
-    return both.select("new_rmse", "old_rmse", F.coalesce(better, F.lit(False)).alias("register"))
+    return both.withColumn("register", F.col("new_rmse").isNotNull() & F.coalesce(better, F.lit(False)))
 
 
 def ab_score(frame: DataFrame, key: str, models: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:

@@ -11,6 +11,7 @@ from tidewheel.operators import inference_log, training
 from tidewheel.plans import inputs
 from tidewheel.plans.catalogue import query
 from tidewheel.plans.monitoring_queries import rounded
+from tidewheel.session import materialize
 from tidewheel.sources import changes, ingest
 
 RAW_NAMES = {
@@ -145,7 +146,8 @@ def category_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def category_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes fitted on settled bookings, applied to all: the pending room type is unseen."""
     rows = inputs.bookings(spark, sf_dir)
-    codes = booking_ops.category_codes(rows.where("order_status <> 'P'"), booking_ops.CATEGORICAL)
+    fitted = booking_ops.category_codes(rows.where("order_status <> 'P'"), booking_ops.CATEGORICAL)
+    codes = materialize(fitted, "codes")
     coded = booking_ops.encode(rows, codes, booking_ops.CATEGORICAL)
     return coded.select("Booking_ID", *[f"{c}_code" for c in booking_ops.CATEGORICAL])
 

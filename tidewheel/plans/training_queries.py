@@ -23,7 +23,7 @@ def frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Encoded train and test rows, written once: every boosting round reads them again."""
     train, test = booking_ops.time_split(inputs.bookings(spark, sf_dir))
     train = materialize(train, "train")
-    codes = booking_ops.category_codes(train, booking_ops.CATEGORICAL)
+    codes = materialize(booking_ops.category_codes(train, booking_ops.CATEGORICAL), "codes")
     return materialize(training.feature_frame(train, codes), "train-coded"), training.feature_frame(test, codes)
 
 

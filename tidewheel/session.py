@@ -8,9 +8,29 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# What the jobs ask of a session. Skewed joins are split even where that costs one more shuffle;
+# partitions are cut small enough for one core and merged again when they turn out tiny.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 _local_roots: dict[str, str] = {}
 
 
+def apply_settings(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """Set the SQL options above on a session of yours; give the shuffle width for large inputs."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    if shuffle_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    return spark
+
+
 def build_session(
     app: str = "tidewheel", cores: int | str = 8, memory: str = "12g", extra: dict[str, str] | None = None
 ) -> SparkSession:
@@ -20,8 +40,6 @@ def build_session(
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.streaming.metricsEnabled", "false")
@@ -30,7 +48,7 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return apply_settings(spark)
 
 
 def shared_root(spark: SparkSession) -> str:
