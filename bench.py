@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "monitoring_append", "monitoring_increment", "truth_backfill", "regression_metrics",
     "monitoring_quality_5min", "monitoring_profile_5min", "profile_snapshot", "mae_alert",
-    "monitoring_drift_baseline", "monitoring_drift_previous", "endpoint_usage",
+    "monitoring_drift_baseline", "monitoring_drift_prev_window", "endpoint_usage",
     "booking_clean", "booking_split_counts", "category_encode", "feature_training_set", "ab_outcome",
     "change_feed", "constraint_violations", "chunk_table", "document_elements", "word_count_eval",
     "knn_cosine", "bm25_topk", "hybrid_rrf", "rerank_overlap", "session_history", "session_rebuild",

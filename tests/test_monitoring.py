@@ -57,6 +57,43 @@ def test_truth_does_not_multiply_rows(spark):
     assert sorted((r.Booking_ID, r.average_price) for r in filled.collect()) == [("b", 5.0), ("c", 7.0)]
 
 
+def test_update_job_on_tables(spark):
+    from tidewheel.operators import increments
+
+    for name in ("job_log", "job_truth", "job_target"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.createDataFrame([("b", 5.0)], "Booking_ID string, average_price double").write.saveAsTable("job_truth")
+    log(spark, (T0, "r0", "b", payload([1, 2], [1.0, 2.0])), (T1, "r1", "c", payload([1], [1.0]))).write.saveAsTable("job_log")
+
+    def update():
+        return increments.update_monitoring_table(spark, "job_log", "job_truth", "job_target")
+
+    assert update() == 3 and update() == 0
+    log(spark, (T1, "r2", "b", payload([3], [3.0])), (T2, "r3", "c", payload([4], [4.0]))).write.mode("append").saveAsTable("job_log")
+    assert update() == 2 and update() == 0
+    assert spark.table("job_target").count() == 5 and increments.pending_truth(spark, "job_target") == 2
+    for name in ("job_log", "job_truth", "job_target"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_chunk_job_is_idempotent(spark):
+    from tidewheel.operators import increments
+
+    for name in ("doc_parsed", "doc_papers", "doc_chunks"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    doc = '{"document": {"elements": [{"id": "0", "type": "text", "content": "a"}, {"id": "1", "type": "text", "content": "b"}]}}'
+    spark.createDataFrame([("/v/p1.pdf", doc, 1), ("/v/p2.pdf", doc, 2)], "path string, parsed_content string, processed long").write.saveAsTable("doc_parsed")
+    spark.createDataFrame([("p1", "T", "S", ["A"], 202401010000)], "paper_id string, title string, summary string, authors array<string>, published long").write.saveAsTable("doc_papers")
+
+    def update(batch):
+        return increments.update_chunk_table(spark, "doc_parsed", "doc_papers", "doc_chunks", batch)
+
+    assert [update(1), update(1), update(2), update(2)] == [2, 0, 2, 0]
+    assert spark.table("doc_chunks").count() == 4
+    for name in ("doc_parsed", "doc_papers", "doc_chunks"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_split_payload_and_contract(spark):
     request = '{"dataframe_split": {"columns": ["a", "b"], "data": [[1, "x"], [2, null]]}}'
     frame = spark.createDataFrame([(request,)], "r string")

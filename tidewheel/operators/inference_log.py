@@ -94,11 +94,10 @@ def parse_split_payload(request: Column) -> Column:
     return F.transform(split["data"], lambda row: F.map_from_arrays(split["columns"], row))
 
 
-def records_to_split(records: DataFrame, columns: list[str]) -> Column:
-    """Record array as a column-and-rows payload, values as text."""
-    del records
+def records_to_split(records: str, columns: list[str]) -> Column:
+    """Record array column as a column-and-rows payload, values as text."""
     names = F.array(*[F.lit(c) for c in columns])
-    data = F.transform("records", lambda r: F.array(*[r[c].cast("string") for c in columns]))
+    data = F.transform(records, lambda r: F.array(*[r[c].cast("string") for c in columns]))
     return F.to_json(F.struct(F.struct(names.alias("columns"), data.alias("data")).alias("dataframe_split")))
 
 

@@ -222,7 +222,7 @@ SPLIT_COLUMNS = ["number_of_adults", "lead_time", "room_type"]
 
 def split_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.bookings(spark, sf_dir).withColumn("records", ingest.record_array(inference_log.RECORD_FIELDS))
-    return rows.select("Booking_ID", inference_log.records_to_split(rows, SPLIT_COLUMNS).alias("request"))
+    return rows.select("Booking_ID", inference_log.records_to_split("records", SPLIT_COLUMNS).alias("request"))
 
 
 @query("payload_split_parse", f"""WITH {inputs.BOOKINGS_SQL} SELECT "Booking_ID", number_of_adults, lead_time, room_type FROM bookings""")

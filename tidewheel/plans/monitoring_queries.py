@@ -261,8 +261,8 @@ def monitoring_drift_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_drift(quality.drift_vs_baseline(monitoring(spark, sf_dir), keys, baseline, DRIFT_NUMERIC, CATEGORICAL))
 
 
-@query("monitoring_drift_previous", PREVIOUS_SQL)
-def monitoring_drift_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("monitoring_drift_prev_window", PREVIOUS_SQL)
+def monitoring_drift_prev_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = quality.window_keys("request_time", "1 day")
     edges = quality.bin_edges(inputs.bookings(spark, sf_dir), DRIFT_NUMERIC)
     return rounded_drift(quality.drift_vs_previous(monitoring(spark, sf_dir), keys, "window_start", edges, CATEGORICAL))
