@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import WORD, word_count
+from tidewheel.llm.common import WORD, materialize, word_count
 
 MOST_PASSES = 3
 BUCKETS = 4096
@@ -121,9 +121,10 @@ def mix_to_weights(docs: DataFrame, seed: int = 7, share: float = 1.0) -> DataFr
 
     Returns doc_id, source, size, source_size, target, repeats (how often) and taken (words).
     """
-    rows = docs.select(
+    counted = docs.select(
         F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size")
     ).withColumn("rank_hash", _seeded(seed)).withColumn("bucket", F.pmod(F.shiftright("rank_hash", 32), F.lit(BUCKETS)))
+    rows = materialize(counted, "mix-rows")  # a few bytes a row; texts are read once
     cells = rows.groupBy("source", "size", "bucket").agg(F.count("*").alias("n"))
     lengths = cells.groupBy("source", "size").agg(F.sum("n").alias("n"))
     sizes = lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))
