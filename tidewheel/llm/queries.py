@@ -37,6 +37,16 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewheel.llm.substring_dedup import dedup_substrings
+
+    cut = dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed",
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewheel.llm.token_counts import token_counts
 
@@ -51,7 +61,7 @@ def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mixing, op2_sharding, op6_token_counts, op10_quality_bands]
+    found = [op1_mixing, op2_sharding, op4_fixed_block_anchors, op6_token_counts, op10_quality_bands]
     return {f.__name__: f for f in found}
 
 
