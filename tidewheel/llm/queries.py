@@ -54,6 +54,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op7_token_group_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewheel.llm.jaccard_join import similar_classes
+
+    return similar_classes(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewheel.llm.quality_bands import quality_rules
 
@@ -61,7 +67,7 @@ def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mixing, op2_sharding, op4_fixed_block_anchors, op6_token_counts, op10_quality_bands]
+    found = [op1_mixing, op2_sharding, op4_fixed_block_anchors, op6_token_counts, op7_token_group_matrix, op10_quality_bands]
     return {f.__name__: f for f in found}
 
 
