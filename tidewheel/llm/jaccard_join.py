@@ -3,11 +3,12 @@
 Two texts link when 100 * shared >= percent * all of their distinct shingles.
 
 1. Equal sets collapse to one class (a digest of the set); only classes go on.
-2. Similar classes come together: each set is cut by hash into slices, one more than the number of
-   shingles in which two linked sets of that size can differ, so linked sets agree on a whole slice.
-   A class sends its slices' digests to hash parts; a part links each class of a slice to the
-   smallest, and the components of these links are clusters. A slice holds several shingles, so a
-   passage that thousands of texts share does not bring them together, near copies do.
+2. Similar classes come together: each set is cut by hash into slices, twice as many as the shingles
+   in which two linked sets of that size level can differ, so linked sets agree on half of them or
+   more. A class sends its slices' digests to hash parts; a part counts which slices others have too
+   and links each class of a slice to the smallest. A class with fewer shared slices than a link
+   needs goes no further; the components of the links between the others are clusters. A slice holds
+   several shingles, so a passage that thousands of texts share does not bring them together.
 3. In a cluster, similar classes form groups. The token-group matrix holds the union of the shingles
    of each group; a class can link to a member only if it shares enough shingles with the union and
    the sizes fit, so only such groups are opened and compared member by member, exactly.
@@ -35,8 +36,8 @@ from tidewheel.llm.components import components, contract
 U64 = words.U64
 GROUP = 16
 #: Shingles that one task compares at once; larger clusters are cut.
-TASK_SHINGLES = 1 << 20
-CHUNK_SHINGLES = 1 << 19
+TASK_SHINGLES = 1 << 21
+CHUNK_SHINGLES = 1 << 20
 
 
 # --- shingles ----------------------------------------------------------------------------------
@@ -77,33 +78,35 @@ def level_bounds(most: int = 1 << 40) -> list[int]:
 _LEVELS = level_bounds()
 
 
-def slice_digests(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """Digests of hash slices; two sets that link have one in common.
+def slice_levels(n: int, percent: int) -> list[tuple[int, int, int]]:
+    """(level, slices, least slices that a set of n shingles shares with one that it links with).
 
     A level takes the sizes from its bound to below the next, and from the next level those that can
     still link with one of its own. With s = |x| + |y|, linked sets differ in at most
-    (100 - percent) * s / (100 + percent) shingles; one slice more than that leaves one untouched.
+    (100 - percent) * s / (100 + percent) shingles, so in no more slices than that.
     """
-    n = len(shingles)
-    if not n:
-        return shingles
-    at = int(np.searchsorted(_LEVELS, n, side="right")) - 1
-    spread = words.mix(shingles ^ U64(0x5851F42D4C957F2D))
-    values = words.mix(shingles)
-    out = []
+    at, out = int(np.searchsorted(_LEVELS, n, side="right")) - 1, []
     for level in (at, at - 1):
-        if level < 0:
-            continue
-        own = _LEVELS[level + 1] - 1
+        own = _LEVELS[level + 1] - 1 if level >= 0 else 0
         reach = own * 100 // percent
-        if n > reach:
-            continue
-        slices = (100 - percent) * (own + reach) // (100 + percent) + 1
-        order = ((spread >> U64(32)) * U64(slices)) >> U64(32)
-        sums = np.zeros(slices, dtype=U64)
-        np.add.at(sums, order.astype(np.int64), values)
-        out.append(words.mix(sums ^ words.mix(np.arange(slices, dtype=U64) + U64(level << 40))))
-    return np.concatenate(out)
+        if n <= reach:
+            slices = 2 * ((100 - percent) * (own + reach) // (100 + percent)) + 1
+            partner = min(reach, n * 100 // percent)
+            out.append((level, slices, slices - (100 - percent) * (n + partner) // (100 + percent)))
+    return out
+
+
+def node(name: int, level: int) -> int:
+    """A class at one of its levels."""
+    return int(words.mix(np.array([name], np.int64).view(U64) + U64(level + 1)).view(np.int64)[0])
+
+
+def slice_digests(shingles: np.ndarray, level: int, slices: int) -> np.ndarray:
+    spread = words.mix(shingles ^ U64(0x5851F42D4C957F2D))
+    order = ((spread >> U64(32)) * U64(slices)) >> U64(32)
+    sums = np.zeros(slices, dtype=U64)
+    np.add.at(sums, order.astype(np.int64), words.mix(shingles))
+    return words.mix(sums ^ words.mix(np.arange(slices, dtype=U64) + U64(level << 40)))
 
 
 # --- slices to clusters ------------------------------------------------------------------------
@@ -141,7 +144,7 @@ def _from_planes(raw: bytes, kind: type) -> np.ndarray:
 
 
 def _slice_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each slice that several classes share, links of all to the smallest; each pair once."""
+    """Of each slice that several nodes have: every node with the smallest, and in how many slices."""
     values, owners = [], []
     for batch in batches:
         for r in batch.to_pylist():
@@ -152,12 +155,16 @@ def _slice_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     value, owner = np.concatenate(values), np.concatenate(owners)
     order = np.lexsort((owner, value))
     value, owner = value[order], owner[order]
+    fresh = np.concatenate([[True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])])
+    value, owner = value[fresh], owner[fresh]
     first = np.concatenate([[True], value[1:] != value[:-1]])
-    leader = owner[np.flatnonzero(first)][np.cumsum(first) - 1]
-    far = owner != leader
-    # Links of a part to stars: enough for clusters, and at most one for each class in a part.
-    a, b = contract(owner[far], leader[far])
-    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    at = np.cumsum(first) - 1
+    leader = owner[np.flatnonzero(first)][at]
+    shared = np.bincount(at)[at] > 1
+    pairs, counts = np.unique(np.column_stack([owner[shared], leader[shared]]), axis=0, return_counts=True)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(counts, pa.int64())], names=["a", "b", "slices"]
+    )
 
 
 # --- the token-group matrix --------------------------------------------------------------------
@@ -212,9 +219,12 @@ def links_within(sets: list[np.ndarray], clusters: np.ndarray, percent: int, sid
     at = 0
     while at < n:
         to = max(at + 1, int(np.searchsorted(work, work[at] + (1 << 22), side="right")) - 1)
+        to = min(to, at + max(1, (1 << 22) // groups))
         span = slice(set_begin[at], set_begin[to])
         key = np.repeat(owner[span] - at, fans[span]) * groups + cell_group[_expand(begin[token[span]], fans[span])]
-        pairs, overlap = np.unique(key, return_counts=True)
+        overlap = np.bincount(key, minlength=(to - at) * groups)
+        pairs = np.flatnonzero(overlap)
+        overlap = overlap[pairs]
         q, g = np.divmod(pairs, groups)
         q += at
         may = (overlap >= need[q]) & (home[g] == clusters[q]) & (most[g] >= need[q]) & (100 * sizes[q] >= percent * least[g])
@@ -291,26 +301,52 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
                 known: dict[int, np.ndarray] = {}
                 for small in words.pieces(piece, "text", 1 << 21):
                     for s in shingle_sets(small.column("text"), size):
-                        name = _digest(s)
-                        if len(s) and name not in known:
-                            known[name] = slice_digests(s, percent)
+                        for level, slices, _ in slice_levels(len(s), percent) if len(s) else ():
+                            name = node(_digest(s), level)
+                            if name not in known:
+                                known[name] = slice_digests(s, level, slices)
                 out = _slice_rows(list(known), list(known.values()), parts)
                 if out is not None:
                     yield out
 
+    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, names = batch.column("n").to_pylist(), batch.column("class").to_pylist()
+            found = [
+                (i, node(names[i], level), need)
+                for i, n in enumerate(sizes) for level, _, need in slice_levels(n, percent)
+            ]
+            at, nodes, needs = zip(*found) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(nodes, pa.int64()), pa.array(needs, pa.int64()),
+                    batch.column("doc_id").take(pa.array(at, pa.int64())), batch.column("n").take(pa.array(at, pa.int64())),
+                ],
+                names=["node", "need", "doc_id", "n"],
+            )
+
     rows = docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
     sketches = materialize(rows.mapInArrow(sketch, "doc_id long, n_shingles long, class long"), "sets")
-    slices = rows.mapInArrow(sliced, "part int, slices binary, classes binary, numbers binary")
-    near = slices.repartitionById(parts, F.col("part")).mapInArrow(_slice_links, "a long, b long")
-    clusters = components(near)
-    named = clusters.select("node", "component").union(
-        clusters.select("component", "component").distinct()
-    ).toDF("class", "cluster")
-    # One document stands for a class; clusters of a class and none other don't occur here.
+    # One document stands for a class.
     standing = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n")
     )
-    members = materialize(named.join(standing, "class"), "clusters")
+    nodes = standing.mapInArrow(levels, "node long, need long, doc_id long, n long")
+    slices = rows.mapInArrow(sliced, "part int, slices binary, classes binary, numbers binary")
+    near = materialize(
+        slices.repartitionById(parts, F.col("part")).mapInArrow(_slice_links, "a long, b long, slices long"), "near"
+    )
+    shared = near.groupBy(F.col("a").alias("node")).agg(F.sum("slices").alias("shared"))
+    able = materialize(nodes.join(shared, "node").where("shared >= need").select("node", "doc_id", "n"), "able")
+    ends = able.select("node")
+    kept = near.select("a", "b").distinct().where("a <> b").join(ends.toDF("a"), "a", "left_semi").join(
+        ends.toDF("b"), "b", "left_semi"
+    )
+    # A leader that goes no further still holds its slice's other nodes together.
+    lost = near.select("a", "b").distinct().join(ends.toDF("a"), "a", "left_semi").join(ends.toDF("b"), "b", "left_anti")
+    clusters = components(kept.select("a", "b").union(lost.select("a", "b")))
+    named = clusters.select("node", "component").union(clusters.select("component", "component").distinct())
+    members = materialize(named.toDF("node", "cluster").join(able, "node").select("doc_id", "n", "cluster"), "clusters")
     links = materialize(_cluster_links(rows, members, size, percent, parts), "links")
     tree = components(links)
     # Components of classes are named by their smallest document.
@@ -331,7 +367,7 @@ def _cluster_links(rows: DataFrame, members: DataFrame, size: int, percent: int,
     # Copies of a standing document's id (repeated rows) count once.
     texts = rows.alias("r").join(placed.alias("p"), F.expr("r.doc_id = p.standing")).select(
         "r.doc_id", "r.text", "p.cluster", "p.chunks", "p.chunk"
-    ).dropDuplicates(["doc_id"])
+    ).dropDuplicates(["doc_id", "cluster"])
     # A small cluster is one task's work with others; a chunk goes to each pair of chunks it is in.
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("chunks") - 1),

@@ -60,6 +60,23 @@ def op7_token_group_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_classes(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op8_int8_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewheel.llm.embedding_tiles import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewheel.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", F.col("text")), weights).select("row.doc_id", "score")
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewheel.llm.quality_bands import quality_rules
 
@@ -67,7 +84,10 @@ def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mixing, op2_sharding, op4_fixed_block_anchors, op6_token_counts, op7_token_group_matrix, op10_quality_bands]
+    found = [
+        op1_mixing, op2_sharding, op4_fixed_block_anchors, op6_token_counts, op7_token_group_matrix, op8_int8_tiles,
+        op9_toxicity, op10_quality_bands,
+    ]
     return {f.__name__: f for f in found}
 
 

@@ -21,6 +21,9 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Lower case with all ASCII but letters and digits as spaces: tokens of letters, for features.
+LETTERS = LOWER.copy()
+LETTERS[[b for b in range(128) if not chr(b).isalnum()]] = 0x20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -66,7 +69,7 @@ def _powers() -> list[np.ndarray]:
 class Texts:
     """Whole texts of a batch with the byte range of each word."""
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, table: np.ndarray | None = None):
         column = column.cast(pa.large_binary())
         offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
         data = column.buffers()[2]
@@ -74,8 +77,8 @@ class Texts:
         first = int(offsets[0]) if len(offsets) else 0
         self.bytes = whole[first : int(offsets[-1])] if len(offsets) else whole[:0]
         self.offsets = offsets - first
-        if lower:
-            self.bytes = LOWER[self.bytes]
+        if lower or table is not None:
+            self.bytes = (LOWER if table is None else table)[self.bytes]
         word = ~_SPACE[self.bytes]
         size = len(word)
         before = np.zeros(size, dtype=bool)
