@@ -1,11 +1,61 @@
-"""From raw documents to token ids: toxicity, near duplicates, shared passages, mix, encoding."""
+"""From raw documents to token ids: toxicity, near duplicates, shared passages, mix, encoding.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the columns of
+docs. Rows pass in any number and with any further columns; no documents give no rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewheel.llm import jaccard_join, mixing, pieces, substring_dedup, toxicity
+from tidewheel.llm.common import materialize, table
+from tidewheel.llm.queries import tokenizer_path
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below 0.3."""
+    weights = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, weights)
+    return scored.where("score < 0.3").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at 0.8 or more, that with the smallest id."""
+    classes = jaccard_join.similar_classes(docs, size=5, percent=80)
+    others = classes.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of 35 words or more that occur again."""
+    cut = substring_dedup.dedup_substrings(docs)
+    changed = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return cut.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document of the mix."""
+    coded = pieces.encode_documents(docs.select("doc_id", "source", "text"), tokenizer_path("piece_bpe_32k.model"))
+    return coded.select("row.doc_id", "row.source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("toxicity", drop_toxic), ("near_duplicates", one_of_each), ("substring_dedup", cut_passages),
+    ("mix", mix_sources), ("encode", encode),
+]
+#: Training, set joins and merges are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -37,6 +37,19 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewheel.llm.warc import archive_pages
+
+    back = archive_pages(table(spark, sf_dir, "pages"))
+    stored = F.col("record_type") == "response"  # from the payload itself; revisits know it from their headers
+    return back.select(
+        "page_id",
+        F.when(stored, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(stored, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", "refers_to",
+    )
+
+
 def op4_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewheel.llm.substring_dedup import dedup_substrings
 
@@ -47,6 +60,18 @@ def op4_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewheel.llm.pieces import decode_documents, encode_documents
+
+    model = tokenizer_path("piece_bpe_32k.model")
+    coded = encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    back = decode_documents(coded.select("row.doc_id", "row.text", "ids"), model)
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewheel.llm.token_counts import token_counts
 
@@ -85,7 +110,8 @@ def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = [
-        op1_mixing, op2_sharding, op4_fixed_block_anchors, op6_token_counts, op7_token_group_matrix, op8_int8_tiles,
+        op1_mixing, op2_sharding, op3_warc, op4_fixed_block_anchors, op5_merge_dropout,
+        op6_token_counts, op7_token_group_matrix, op8_int8_tiles,
         op9_toxicity, op10_quality_bands,
     ]
     return {f.__name__: f for f in found}
