@@ -31,7 +31,7 @@ from tidewheel.llm import words
 from tidewheel.llm.common import text_bytes
 
 MARK = "▁"
-_SPAN = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+_WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _MASK = (1 << 64) - 1
 
 
