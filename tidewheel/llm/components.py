@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import materialize
+from tidewheel.llm.common import materialize, width
 
 ROUNDS = 60
 
@@ -61,6 +61,9 @@ def components(edges: DataFrame) -> DataFrame:
     """
     forest = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
     forest = materialize(forest.mapInArrow(_contracted, "a long, b long"), "links")
+    # Once more over fewer, larger tasks: a node that many tasks hold an edge of keeps a few.
+    fewer = max(1, width(edges.sparkSession) // 16)
+    forest = materialize(forest.coalesce(fewer).mapInArrow(_contracted, "a long, b long"), "links")
     for _ in range(ROUNDS):
         # Large star: each larger neighbour of a node goes to the node's smallest neighbour (or itself).
         both = forest.select("a", "b").union(forest.select(F.col("b").alias("a"), F.col("a").alias("b")))
