@@ -56,7 +56,9 @@ class Pieces:
                 self.id[piece], self.score[piece] = i, model.get_score(i)
                 raw = piece.replace(MARK, " ").encode()
             self.text.append(raw)
-        self.cache: dict[tuple[int, str], list[int]] = {}
+        # Two generations by variant: what is asked for again moves to the young one, the old one goes.
+        self.young: dict[int, dict[str, tuple[int, ...]]] = {}
+        self.old: dict[int, dict[str, tuple[int, ...]]] = {}
         self.cache_entries = cache_entries
 
     @classmethod
@@ -69,19 +71,21 @@ class Pieces:
     def encode(self, text: str, variant: int, seed: int, dropout: float) -> list[int]:
         if not text:
             return []
-        cache, out = self.cache, []
+        out: list[int] = []
+        young, old = self.young.setdefault(variant, {}), self.old.get(variant, {})
         # A mark of the text's own ends a stretch and is written as bytes.
         for k, part in enumerate(text.split(MARK)):
             if k:
                 out += [self.byte[b] for b in MARK.encode()]
             marked = (MARK if not k else "") + part.replace(" ", MARK)
             for word in _WORDS.findall(marked):
-                found = cache.get((variant, word))
+                found = young.get(word)
                 if found is None:
-                    found = self._merge(word, variant, seed, dropout)
-                    if len(cache) >= self.cache_entries:
-                        cache.clear()
-                    cache[variant, word] = found
+                    found = old.get(word) or tuple(self._merge(word, variant, seed, dropout))
+                    if len(young) >= self.cache_entries:
+                        self.old[variant] = old = young
+                        self.young[variant] = young = {}
+                    young[word] = found
                 out += found
         return out
 
@@ -147,7 +151,7 @@ def _with_rows(docs: DataFrame) -> DataFrame:
 
 
 def encode_documents(
-    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, variants: int = 4, cache_entries: int = 1 << 18
+    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, variants: int = 2, cache_entries: int = 1 << 17
 ) -> DataFrame:
     """row (all columns of docs (doc_id, text, ...)) and ids, the pieces of its whole text."""
     rows = _with_rows(docs)
