@@ -44,6 +44,10 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
         more = min(int(counts[i] - take[i]), (left - DP_WORDS) // int(lengths[i]) if lengths[i] else 0)
         take[i] += more
         left -= more * int(lengths[i])
+    for i in np.argsort(lengths, kind="stable"):  # room for the programme to choose in
+        back = min(int(take[i]), (DP_WORDS - left) // int(lengths[i])) if lengths[i] and left < DP_WORDS else 0
+        take[i] -= back
+        left += back * int(lengths[i])
     take += _knapsack(lengths, counts - take, left)
     return take
 

@@ -61,37 +61,38 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
-def _hash_words(terms: list[str]) -> np.ndarray:
-    return words.Texts(pa.array([t.encode() for t in terms]), table=words.LETTERS).hashes()
+def _word_values(texts: words.Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Of each word, the value of the whole and that of its beginning."""
+    start = np.zeros(len(texts.starts), dtype=U64)
+    for i in range(PREFIX):
+        at = np.minimum(texts.starts + i, texts.ends - 1)
+        start |= np.where(texts.starts + i < texts.ends, texts.bytes[at], 0).astype(U64) << U64(8 * i)
+    return texts.hashes(), words.mix(start ^ U64(0xA5A5A5A5A5A5A5A5))
 
 
 def _features(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, words.Texts, np.ndarray]:
     """(text number, feature) pairs, each once, with the texts and their word hashes."""
     texts = words.Texts(column, table=words.LETTERS)
-    hashes = texts.hashes()
+    hashes, starts = _word_values(texts)
     owner = np.repeat(np.arange(len(texts), dtype=np.int64), texts.counts)
-    start = np.zeros(len(hashes), dtype=U64)
-    for i in range(PREFIX):
-        at = np.minimum(texts.starts + i, texts.ends - 1)
-        start |= np.where(texts.starts + i < texts.ends, texts.bytes[at], 0).astype(U64) << U64(8 * i)
-    both = np.concatenate([hashes, words.mix(start ^ U64(0xA5A5A5A5A5A5A5A5))])
-    pairs = np.unique((np.concatenate([owner, owner]) << bits) | (both & U64((1 << bits) - 1)).astype(np.int64))
+    feature = (np.concatenate([hashes, starts]) & U64((1 << bits) - 1)).astype(np.int64)
+    pairs = np.unique((np.concatenate([owner, owner]) << bits) | feature)
     return pairs >> bits, pairs & ((1 << bits) - 1), texts, hashes
 
 
 def _swaps(hashes: np.ndarray, identity: tuple[tuple[str, ...], ...], bits: int) -> tuple[list[int], list[int]]:
     """Features that go and come when the names of groups in a text are swapped within their kind."""
-    mask = U64((1 << bits) - 1)
+    mask = (1 << bits) - 1
     present = set(hashes.tolist())
     gone, come = [], []
     for terms in identity:
-        values = _hash_words(list(terms)).tolist()
+        named = words.Texts(pa.array([t.encode() for t in terms]), table=words.LETTERS)
+        values, starts = (x.tolist() for x in _word_values(named))
         for i, value in enumerate(values):
-            if value in present:
-                other = values[(i + 1) % len(values)]
-                if other not in present:
-                    gone.append(int(U64(value) & mask))
-                    come.append(int(U64(other) & mask))
+            j = (i + 1) % len(values)
+            if value in present and values[j] not in present:
+                gone += [value & mask, starts[i] & mask]
+                come += [values[j] & mask, starts[j] & mask]
     return gone, come
 
 
