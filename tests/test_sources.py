@@ -131,3 +131,26 @@ def test_request_payload(spark):
     assert json.loads(row) == {
         "client_request_id": "INN1", "dataframe_records": [{"lead_time": 2, "meal": "Meal 1"}], "params": {"booking_id": "INN1"},
     }
+
+
+def test_change_feed_sees_moved_and_null_values(spark):
+    from tidewheel.sources.changes import apply_changes, change_feed
+
+    kind = "id int, a string, b string"
+    before = spark.createDataFrame([(1, None, "x"), (2, "y", None), (None, "n", "n"), (4, "d", None)], kind)
+    after = spark.createDataFrame([(1, "x", None), (2, "y", None), (None, "n", "n"), (5, None, None)], kind)
+    feed = change_feed(before, after, ["id"])
+    assert {(r.id, r._change_type) for r in feed.collect()} == {(1, "update"), (4, "delete"), (5, "insert")}
+    assert sorted(map(str, apply_changes(before, feed, ["id"]).collect())) == sorted(map(str, after.collect()))
+
+
+def test_positions_keep_null_keys(spark):
+    from tidewheel.operators.ranking import positions_by_hash, positions_by_key
+
+    rows = [(None if i % 3 else "k", None if i == 4 else i // 2, i) for i in range(60)]
+    frame = spark.createDataFrame(rows, "key string, t int, tie int")
+    one = positions_by_key(frame, ["key"], "t", "tie", previous="before")
+    cut = positions_by_key(frame, ["key"], "t", "tie", previous="before", hot_rows=5, cuts=4)
+    assert sorted(map(str, one.select(*cut.columns).collect())) == sorted(map(str, cut.collect()))
+    numbered = positions_by_hash(frame, frame["key"])
+    assert sorted(r.position for r in numbered.collect()) == list(range(1, 61))

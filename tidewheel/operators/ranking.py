@@ -17,8 +17,8 @@ HOT_ROWS = 1_000_000
 
 
 def positions_by_hash(df: DataFrame, key: Column, out: str = "position") -> DataFrame:
-    """Position 1..N in the order of md5(key): a repeatable random order of the whole table."""
-    marked = df.withColumn("_h", F.md5(key.cast("string")))
+    """Position 1..N in the order of md5(key), null keys first: a repeatable random order of the table."""
+    marked = df.withColumn("_h", F.coalesce(F.md5(key.cast("string")), F.lit("")))
     marked = marked.withColumn("_b", F.substring("_h", 1, HASH_DIGITS))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     counts = marked.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -90,9 +90,14 @@ def positions_by_key(
         F.lag("_last").over(earlier).alias("_before"),
     )
     inside = Window.partitionBy(*part).orderBy(order, tie)
-    ranked = fine.join(offsets, part).withColumn(out, (F.col("_o") + F.row_number().over(inside)).cast("long"))
+    same = F.lit(True)
+    for column in part:  # null keys are keys too
+        same = same & F.col(f"f.{column}").eqNullSafe(F.col(f"o.{column}"))
+    joined = fine.alias("f").join(offsets.alias("o"), same).select("f.*", "_o", "_before")
+    ranked = joined.withColumn(out, (F.col("_o") + F.row_number().over(inside)).cast("long"))
     if previous:
-        ranked = ranked.withColumn(previous, F.coalesce(F.lag(order).over(inside), F.col("_before")))
+        first = F.row_number().over(inside) == 1
+        ranked = ranked.withColumn(previous, F.when(first, F.col("_before")).otherwise(F.lag(order).over(inside)))
     return ranked.drop("_c1", "_c2", "_c3", "_o", "_before")
 
 
