@@ -181,7 +181,11 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.here(model, 1 << 18)
         for batch in batches:
-            texts = [pieces.decode(ids or []) for ids in batch.column("ids").to_pylist()]
+            column = batch.column("ids")
+            lengths = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(column), 0))
+            ends = np.concatenate([[0], np.cumsum(lengths)]).tolist()
+            values = column.flatten().to_numpy().tolist()
+            texts = [pieces.decode(values[a:b]) for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.binary())], names=["row", "decoded"])
 
     return rows.mapInArrow(decode, f"row {kind}, decoded binary").select(
