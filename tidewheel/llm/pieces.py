@@ -1,7 +1,8 @@
 """Encoding to and decoding from the pieces of a BPE model file, with seeded merge dropout.
 
-A text's spaces become the mark U+2581 and one mark goes in front. No piece has a mark after another
-character, so runs of marks with what follows them are encoded one by one and cached per worker.
+A text's spaces become the mark U+2581 and one mark goes in front. Texts are cut where no piece of the
+vocabulary can reach across: in front of marks, and between characters that no chain of pieces brings
+together. The cuts ("words") are encoded one by one and cached per worker.
 Merges come from an agenda, best score first and leftmost among equals. Each candidate that comes up is
 skipped when a hash of (seed, variant, word, place) says so, and comes back only when a neighbour
 changes; one text uses one of `variants` variants, by a hash of its id. So texts see varied
@@ -18,9 +19,11 @@ pass through; repeated rows are encoded alike; a null id is a variant of its own
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
+from heapq import heapify, heappop, heappush
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +34,54 @@ from tidewheel.llm import words
 from tidewheel.llm.common import text_bytes
 
 MARK = "▁"
-_WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+#: Ids decoded at once.
+IDS = 1 << 20
 _MASK = (1 << 64) - 1
 
 
+def word_pattern(vocabulary: Iterable[str]) -> re.Pattern[str]:
+    """Marks with the run of characters after them that pieces may join; other characters alone.
+
+    Characters that stand next to each other in a piece belong together, and so does what they
+    belong with; no piece reaches across two such sets.
+    """
+    home: dict[str, str] = {}
+
+    def root(c: str) -> str:
+        while home.setdefault(c, c) != c:
+            home[c] = c = home[home[c]]
+        return c
+
+    for piece in vocabulary:
+        bare = piece.lstrip(MARK)
+        if MARK in bare:
+            raise ValueError(f"a mark inside piece {piece!r}: texts cannot be cut in front of marks")
+        for a, b in zip(bare, bare[1:]):
+            home[root(a)] = root(b)
+    runs: dict[str, list[str]] = {}
+    for c in home:
+        runs.setdefault(root(c), []).append(re.escape(c))
+    sets = [f"[{''.join(sorted(run))}]+" for run in sorted(runs.values(), key=len, reverse=True)]
+    return re.compile(f"{MARK}*(?:{'|'.join([*sets, f'[^{MARK}]'])})|{MARK}+")
+
+
+class Seen(dict):
+    """Ids of words in two generations: what is asked for again moves to the young one, the old one goes."""
+
+    def __init__(self, merge: Callable[[str], list[int]], most: int):
+        self.merge, self.most, self.old = merge, most, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            found = array("i", self.merge(word)).tobytes()
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[word] = found
+        return found
+
+
 class Pieces:
     """Vocabulary of a model file, with the segmentations a worker has seen."""
 
@@ -42,10 +89,10 @@ class Pieces:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.score: dict[str, float] = {}
+        self.rank: dict[str, float] = {}  # a lower one merges earlier
         self.id: dict[str, int] = {}
         self.byte: dict[int, int] = {}
-        self.text: list[bytes] = []
+        text: list[bytes] = []
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
             raw = b""
@@ -53,12 +100,13 @@ class Pieces:
                 value = int(piece[1:-1], 16)
                 self.byte[value], raw = i, bytes([value])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
-                self.id[piece], self.score[piece] = i, model.get_score(i)
+                self.id[piece], self.rank[piece] = i, -model.get_score(i)
                 raw = piece.replace(MARK, " ").encode()
-            self.text.append(raw)
-        # Two generations by variant: what is asked for again moves to the young one, the old one goes.
-        self.young: dict[int, dict[str, tuple[int, ...]]] = {}
-        self.old: dict[int, dict[str, tuple[int, ...]]] = {}
+            text.append(raw)
+        self.text = pa.array(text, pa.large_binary())
+        self.words = word_pattern(self.id)
+        self.mark = array("i", [self.byte[b] for b in MARK.encode()]).tobytes()
+        self.seen: dict[tuple, Seen] = {}
         self.cache_entries = cache_entries
 
     @classmethod
@@ -68,79 +116,69 @@ class Pieces:
             state["pieces", path] = cls(path, cache_entries)
         return state["pieces", path]
 
-    def encode(self, text: str, variant: int, seed: int, dropout: float) -> list[int]:
+    def encode(self, text: str, variant: int, seed: int, dropout: float) -> np.ndarray:
         if not text:
-            return []
-        out: list[int] = []
-        young, old = self.young.setdefault(variant, {}), self.old.get(variant, {})
+            return np.zeros(0, np.int32)
+        name = (variant, seed, dropout)
+        if name not in self.seen:
+            self.seen[name] = Seen(lambda word: self._merge(word, *name), self.cache_entries)
+        ids, words = self.seen[name].__getitem__, self.words.findall
         # A mark of the text's own ends a stretch and is written as bytes.
-        for k, part in enumerate(text.split(MARK)):
-            if k:
-                out += [self.byte[b] for b in MARK.encode()]
-            marked = (MARK if not k else "") + part.replace(" ", MARK)
-            for word in _WORDS.findall(marked):
-                found = young.get(word)
-                if found is None:
-                    found = old.get(word) or tuple(self._merge(word, variant, seed, dropout))
-                    if len(young) >= self.cache_entries:
-                        self.old[variant] = old = young
-                        self.young[variant] = young = {}
-                    young[word] = found
-                out += found
-        return out
+        head, *rest = (part.replace(" ", MARK) for part in text.split(MARK))
+        out = [*map(ids, words(MARK + head))]
+        for part in rest:
+            out.append(self.mark)
+            out += map(ids, words(part))
+        return np.frombuffer(b"".join(out), np.int32)
 
     def _merge(self, word: str, variant: int, seed: int, dropout: float) -> list[int]:
-        """Agenda of adjacent pairs: (-score, left place, left piece, right piece)."""
-        whole = self.id.get(word)
-        if whole is not None and len(word) == 1:
-            return [whole]
-        score = self.score
-        parts: list[str | None] = list(word)
-        n = len(parts)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = [
-            (-score[word[i : i + 2]], i, word[i], word[i + 1]) for i in range(n - 1) if word[i : i + 2] in score
-        ]
-        heapq.heapify(agenda)
-        key = 0
-        if dropout:
+        """Agenda of neighbours that make a piece: (rank, start of the left one, end of the right one)."""
+        rank, n = self.rank, len(word)
+        agenda = [(rank[pair], i, i + 2) for i, pair in enumerate(map(add, word, word[1:])) if pair in rank]
+        heapify(agenda)
+        # Where the part that starts at i ends (gone: n + 1), and where the one that ends at i starts.
+        end, begin, gone = [*range(1, n + 1), -1, -1], list(range(-1, n)), n + 1
+        limit, key = int(dropout * (1 << 32)), 0
+        if limit:
             name = f"{seed} {variant} {word}".encode()
             key = int.from_bytes(hashlib.blake2b(name, digest_size=8).digest(), "little")
-        limit = int(dropout * (1 << 32))
         while agenda:
-            _, i, left, right = heapq.heappop(agenda)
-            if parts[i] != left:
-                continue
-            j = after[i]
-            if j >= n or parts[j] != right:
+            _, i, k = heappop(agenda)
+            j = end[i]
+            if end[j] != k:
                 continue
             if limit:
-                # Keyed by where the pair starts, parts and ends.
-                h = (key ^ (i * 0x9E3779B97F4A7C15) ^ (j * 0xC2B2AE3D27D4EB4F) ^ (after[j] * 0x165667B19E3779F9)) & _MASK
-                h = ((h ^ (h >> 30)) * 0xBF58476D1CE4E5B9) & _MASK
-                if ((h ^ (h >> 27)) * 0x94D049BB133111EB & _MASK) >> 32 < limit:
+                # Keyed by the word and where the pair starts, parts and ends.
+                h = ((key ^ (i << 42 | j << 21 | k)) * 0xBF58476D1CE4E5B9) & _MASK
+                if ((h ^ h >> 31) * 0x94D049BB133111EB & _MASK) >> 32 < limit:
                     continue
-            parts[i], parts[j] = left + right, None
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-                pair = parts[i] + parts[after[i]]
-                if pair in score:
-                    heapq.heappush(agenda, (-score[pair], i, parts[i], parts[after[i]]))
-            if before[i] >= 0:
-                k = before[i]
-                pair = parts[k] + parts[i]
-                if pair in score:
-                    heapq.heappush(agenda, (-score[pair], k, parts[k], parts[i]))
+            end[i], end[j], begin[k] = k, gone, i
+            if k < n:
+                found = rank.get(word[i : end[k]])
+                if found is not None:
+                    heappush(agenda, (found, i, end[k]))
+            if i:
+                found = rank.get(word[begin[i] : k])
+                if found is not None:
+                    heappush(agenda, (found, begin[i], k))
         out: list[int] = []
-        for piece in parts:
-            if piece is not None:
-                known = self.id.get(piece)
-                out += [known] if known is not None else [self.byte[b] for b in piece.encode()]
+        i = 0
+        while i < n:
+            piece = word[i : end[i]]
+            known = self.id.get(piece)
+            if known is not None:
+                out.append(known)
+            else:
+                out += [self.byte[b] for b in piece.encode()]
+            i = end[i]
         return out
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.text.__getitem__, ids))[1:]
+    def decode(self, ids: pa.Array, ends: np.ndarray) -> list[bytes]:
+        """The texts of ids cut at ends (from 0 to their number), each without its first mark."""
+        spelled = self.text.take(ids)
+        bounds = np.frombuffer(spelled.buffers()[1], np.int64)[spelled.offset :][ends].tolist()
+        data = memoryview(spelled.buffers()[2] or b"")
+        return [bytes(data[a + 1 : b]) for a, b in zip(bounds, bounds[1:])]
 
 
 def _with_rows(docs: DataFrame) -> DataFrame:
@@ -151,7 +189,7 @@ def _with_rows(docs: DataFrame) -> DataFrame:
 
 
 def encode_documents(
-    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, variants: int = 2, cache_entries: int = 1 << 17
+    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, variants: int = 2, cache_entries: int = 1 << 16
 ) -> DataFrame:
     """row (all columns of docs (doc_id, text, ...)) and ids, the pieces of its whole text."""
     rows = _with_rows(docs)
@@ -163,7 +201,7 @@ def encode_documents(
             for part in words.pieces(batch, "text"):
                 texts = [t.decode("utf-8", "replace") for t in part.column("text").to_pylist()]
                 variant = (part.column("h").to_numpy().view(np.uint64) % np.uint64(variants)).tolist()
-                ids = [np.array(pieces.encode(t, v, seed, dropout), np.int32) for t, v in zip(texts, variant)]
+                ids = [pieces.encode(t, v, seed, dropout) for t, v in zip(texts, variant)]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
@@ -179,14 +217,20 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
     kind = rows.schema["row"].dataType.simpleString()
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces.here(model, 1 << 18)
+        pieces = Pieces.here(model, 1 << 16)
         for batch in batches:
-            column = batch.column("ids")
-            lengths = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(column), 0))
-            ends = np.concatenate([[0], np.cumsum(lengths)]).tolist()
-            values = column.flatten().to_numpy().tolist()
-            texts = [pieces.decode(values[a:b]) for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.binary())], names=["row", "decoded"])
+            counts = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(batch.column("ids")), 0))
+            at = 0
+            while at < len(counts):
+                # Rows of some IDS ids at a time; a longer row comes alone.
+                to = at + max(1, int(np.searchsorted(np.cumsum(counts[at:]), IDS, side="right")))
+                part = batch.slice(at, to - at)
+                ends = np.concatenate([[0], np.cumsum(counts[at:to])])
+                texts = pieces.decode(part.column("ids").flatten(), ends)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("row"), pa.array(texts, pa.binary())], names=["row", "decoded"]
+                )
+                at = to
 
     return rows.mapInArrow(decode, f"row {kind}, decoded binary").select(
         "row.*", F.col("decoded").cast("string").alias("decoded")
