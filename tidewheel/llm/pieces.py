@@ -1,8 +1,8 @@
 """Encoding to and decoding from the pieces of a BPE model file, with seeded merge dropout.
 
-A text's spaces become the mark U+2581 and one mark goes in front. Texts are cut where no piece of the
-vocabulary can reach across: in front of marks, and between characters that no chain of pieces brings
-together. The cuts ("words") are encoded one by one and cached per worker.
+A text's spaces stand for the mark U+2581 of the pieces and one space goes in front. Texts are cut where
+no piece of the vocabulary can reach across: in front of spaces, and between characters that no chain of
+pieces brings together. The cuts ("words") are encoded one by one and cached per worker.
 Merges come from an agenda, best score first and leftmost among equals. Each candidate that comes up is
 skipped when a hash of (seed, variant, word, place) says so, and comes back only when a neighbour
 changes; one text uses one of `variants` variants, by a hash of its id. So texts see varied
@@ -36,11 +36,11 @@ from tidewheel.llm.common import text_bytes
 MARK = "▁"
 #: Ids decoded at once.
 IDS = 1 << 20
-_MASK = (1 << 64) - 1
+_MASK = (1 << 32) - 1
 
 
 def word_pattern(vocabulary: Iterable[str]) -> re.Pattern[str]:
-    """Marks with the run of characters after them that pieces may join; other characters alone.
+    """Spaces with the run of characters after them that pieces may join; other characters alone.
 
     Characters that stand next to each other in a piece belong together, and so does what they
     belong with; no piece reaches across two such sets.
@@ -53,16 +53,16 @@ def word_pattern(vocabulary: Iterable[str]) -> re.Pattern[str]:
         return c
 
     for piece in vocabulary:
-        bare = piece.lstrip(MARK)
-        if MARK in bare:
-            raise ValueError(f"a mark inside piece {piece!r}: texts cannot be cut in front of marks")
+        bare = piece.lstrip(" ")
+        if " " in bare:
+            raise ValueError(f"a mark inside piece {piece!r}: texts cannot be cut in front of spaces")
         for a, b in zip(bare, bare[1:]):
             home[root(a)] = root(b)
     runs: dict[str, list[str]] = {}
     for c in home:
         runs.setdefault(root(c), []).append(re.escape(c))
     sets = [f"[{''.join(sorted(run))}]+" for run in sorted(runs.values(), key=len, reverse=True)]
-    return re.compile(f"{MARK}*(?:{'|'.join([*sets, f'[^{MARK}]'])})|{MARK}+")
+    return re.compile(f" *(?:{'|'.join([*sets, '[^ ]'])})| +")
 
 
 class Seen(dict):
@@ -100,12 +100,11 @@ class Pieces:
                 value = int(piece[1:-1], 16)
                 self.byte[value], raw = i, bytes([value])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
-                self.id[piece], self.rank[piece] = i, -model.get_score(i)
-                raw = piece.replace(MARK, " ").encode()
+                piece = piece.replace(MARK, " ")
+                self.id[piece], self.rank[piece], raw = i, -model.get_score(i), piece.encode()
             text.append(raw)
         self.text = pa.array(text, pa.large_binary())
         self.words = word_pattern(self.id)
-        self.mark = array("i", [self.byte[b] for b in MARK.encode()]).tobytes()
         self.seen: dict[tuple, Seen] = {}
         self.cache_entries = cache_entries
 
@@ -122,14 +121,8 @@ class Pieces:
         name = (variant, seed, dropout)
         if name not in self.seen:
             self.seen[name] = Seen(lambda word: self._merge(word, *name), self.cache_entries)
-        ids, words = self.seen[name].__getitem__, self.words.findall
-        # A mark of the text's own ends a stretch and is written as bytes.
-        head, *rest = (part.replace(" ", MARK) for part in text.split(MARK))
-        out = [*map(ids, words(MARK + head))]
-        for part in rest:
-            out.append(self.mark)
-            out += map(ids, words(part))
-        return np.frombuffer(b"".join(out), np.int32)
+        found = map(self.seen[name].__getitem__, self.words.findall(" " + text))
+        return np.frombuffer(b"".join(found), np.int32)
 
     def _merge(self, word: str, variant: int, seed: int, dropout: float) -> list[int]:
         """Agenda of neighbours that make a piece: (rank, start of the left one, end of the right one)."""
@@ -141,7 +134,7 @@ class Pieces:
         limit, key = int(dropout * (1 << 32)), 0
         if limit:
             name = f"{seed} {variant} {word}".encode()
-            key = int.from_bytes(hashlib.blake2b(name, digest_size=8).digest(), "little")
+            key = int.from_bytes(hashlib.blake2b(name, digest_size=4).digest(), "little")
         while agenda:
             _, i, k = heappop(agenda)
             j = end[i]
@@ -149,8 +142,8 @@ class Pieces:
                 continue
             if limit:
                 # Keyed by the word and where the pair starts, parts and ends.
-                h = ((key ^ (i << 42 | j << 21 | k)) * 0xBF58476D1CE4E5B9) & _MASK
-                if ((h ^ h >> 31) * 0x94D049BB133111EB & _MASK) >> 32 < limit:
+                h = (key + i * 0x9E3779B1 + j * 0x85EBCA77 + k * 0xC2B2AE3D & _MASK) * 0x2C1B3C6D
+                if (h ^ h >> 29) * 0x297A2D39 & _MASK < limit:
                     continue
             end[i], end[j], begin[k] = k, gone, i
             if k < n:
@@ -189,7 +182,7 @@ def _with_rows(docs: DataFrame) -> DataFrame:
 
 
 def encode_documents(
-    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, variants: int = 2, cache_entries: int = 1 << 16
+    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, variants: int = 4, cache_entries: int = 1 << 17
 ) -> DataFrame:
     """row (all columns of docs (doc_id, text, ...)) and ids, the pieces of its whole text."""
     rows = _with_rows(docs)
