@@ -43,6 +43,8 @@ def test_increment_keeps_ties_and_late_rows(spark):
     loaded = frame.where("request_id IN ('r0', 'r1')")
     fresh = inference_log.new_payload(frame, loaded, overlap_minutes=90)
     assert sorted(r.request_id for r in fresh.collect()) == ["r2", "r3"]
+    newest = frame.where("request_id = 'r3'")
+    assert sorted(r.request_id for r in inference_log.new_payload(frame, newest).collect()) == ["r0", "r1", "r2"]
     assert inference_log.new_payload(frame, None).count() == 4
     assert inference_log.new_payload(frame, loaded.limit(0)).count() == 4
 

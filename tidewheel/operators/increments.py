@@ -10,7 +10,7 @@ from tidewheel.sources import snapshots, tables
 
 
 def update_monitoring_table(
-    spark: SparkSession, log_table: str, truth_table: str, target: str, overlap_minutes: int = 60
+    spark: SparkSession, log_table: str, truth_table: str, target: str, overlap_minutes: int | None = None
 ) -> int:
     """Append new inference-log rows, parsed and with truth; returns the rows written.
 

@@ -62,16 +62,23 @@ def high_water(table: DataFrame, column: str = "request_time"):
     return table.agg(F.max(column).alias("m")).first()["m"]
 
 
-def new_payload(log: DataFrame, loaded: DataFrame | None, overlap_minutes: int = 60) -> DataFrame:
+def new_payload(log: DataFrame, loaded: DataFrame | None, overlap_minutes: int | None = None) -> DataFrame:
     """Log rows not loaded yet.
 
-    The mark is frozen as a literal, which the scan can push down. Rows inside an overlap
-    before the mark are compared by request id, so late rows and ties at the mark are kept.
+    Rows are told from loaded ones by request id, so late rows of any age and ties at the mark are
+    kept. Where a source promises a greatest delay, overlap_minutes keeps both scans to the rows
+    after mark minus overlap, a literal that they push down; older rows are then not loaded.
     """
     mark = None if loaded is None else high_water(loaded)
     if mark is None:
         return log
-    edge = F.lit(mark).cast(log.schema["request_time"].dataType) - F.expr(f"INTERVAL {overlap_minutes} MINUTES")
+    at = F.lit(mark).cast(log.schema["request_time"].dataType)
+    if overlap_minutes is None:
+        # Nothing above the mark is loaded; only the rest is compared.
+        below = log.where((F.col("request_time") <= at) | F.col("request_time").isNull())
+        late = below.join(loaded.select("request_id"), "request_id", "left_anti")
+        return log.where(F.col("request_time") > at).unionByName(late)
+    edge = at - F.expr(f"INTERVAL {overlap_minutes} MINUTES")
     recent = loaded.where(F.col("request_time") > edge).select("request_id")
     return log.where(F.col("request_time") > edge).join(recent, "request_id", "left_anti")
 

@@ -101,7 +101,7 @@ def categorical_profile(df: DataFrame, keys: Keys, columns: list[str]) -> DataFr
 
 def error_alert(profile: DataFrame, limit: float = ERROR_LIMIT, percent: float = ALERT_PERCENT) -> DataFrame:
     """Share of windows whose MAE is above the limit, among windows with a finite MAE."""
-    finite = F.col("mae").isNotNull() & ~F.isnan("mae")
+    finite = F.col("mae").isNotNull() & ~F.isnan("mae") & (F.abs("mae") != float("inf"))
     counted = profile.agg(
         F.count_if(finite & (F.col("mae") > limit)).alias("high_windows"),
         F.count_if(finite).alias("finite_windows"),

@@ -60,9 +60,9 @@ def synthetic_next_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("resample_with_replacement")
 def resample_with_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two samples with replacement, one of a segment and one of the rest, concatenated."""
+    """Two samples with replacement, one of all rows and one of a segment, concatenated."""
     rows = inputs.bookings(spark, sf_dir)
     key = F.col("Booking_ID")
     segment = sampling.resample(rows.where("market_segment_type = 'BUILDING'"), key, 2000, seed=1)
-    rest = sampling.resample(rows.where("market_segment_type <> 'BUILDING'"), key, 2000, seed=2)
-    return segment.unionByName(rest)
+    whole = sampling.resample(rows, key, 2000, seed=2)
+    return whole.unionByName(segment)
