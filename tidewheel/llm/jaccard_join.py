@@ -284,6 +284,7 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     parts = width(spark)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.caches("jaccard_join")
         for batch in batches:
             for piece in words.pieces(batch, "text", 1 << 21):
                 sets = shingle_sets(piece.column("text"), size)
@@ -296,6 +297,7 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
                 )
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.caches("jaccard_join")
         for batch in batches:
             for piece in words.pieces(batch, "text", 1 << 23):
                 known: dict[int, np.ndarray] = {}

@@ -110,7 +110,7 @@ class Pieces:
 
     @classmethod
     def here(cls, path: str, cache_entries: int) -> "Pieces":
-        state = words.worker_state()
+        state = words.caches("pieces")
         if ("pieces", path) not in state:
             state["pieces", path] = cls(path, cache_entries)
         return state["pieces", path]

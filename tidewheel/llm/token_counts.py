@@ -63,7 +63,7 @@ class Encoder:
 
     @classmethod
     def here(cls, path: str, cache_entries: int) -> "Encoder":
-        state = words.worker_state()
+        state = words.caches("token_counts")
         if ("encoder", path) not in state:
             state["encoder", path] = cls(path, cache_entries)
         return state["encoder", path]

@@ -152,6 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, t: Training = Training()) -> np.nd
     joined = texts.join(F.broadcast(sample), "doc_id")  # at most train_rows ids
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.caches("toxicity")
         for batch in batches:
             for part in words.pieces(batch, "text"):
                 owner, feature, texts, hashes = _features(part.column("text"), t.bits)
@@ -192,6 +193,7 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     kind = rows.schema["row"].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.caches("toxicity")
         w = shared.value.astype(np.float64)
         for batch in batches:
             for part in words.pieces(batch, "text"):

@@ -6,6 +6,7 @@ as a run of such characters. Texts travel as binary columns, so no text is decod
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import sys
 import types
@@ -54,6 +55,15 @@ def worker_state() -> dict:
     return sys.modules.setdefault("tidewheel_worker_state", types.ModuleType("tidewheel_worker_state")).__dict__
 
 
+def caches(operator: str) -> dict:
+    """What a worker keeps between tasks of an operator; what it kept for another one is let go."""
+    state = worker_state()
+    if state.get("operator") != operator:
+        state["operator"], state["caches"] = operator, {}
+        gc.collect()
+    return state["caches"]
+
+
 def _powers() -> list[np.ndarray]:
     state = worker_state()
     if "powers" not in state:
