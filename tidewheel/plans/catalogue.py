@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def _load_all() -> None:
     from tidewheel.plans import (  # noqa: F401
         booking_queries, document_queries, evaluation_queries, monitoring_queries, registry_queries,
-        search_queries, session_queries, stream_queries, trace_queries, training_queries,
+        search_queries, session_queries, source_queries, stream_queries, trace_queries, training_queries,
     )
 
 
