@@ -223,6 +223,21 @@ def test_quality_bands(corpus):
         assert r.base_failed == (len(w) < 20 or 100 * len(rep) > 30 * len(w)) and not (r.base_failed and r.kept)
 
 
+def test_end_of_a_text_is_judged(spark):
+    import base64
+
+    r = random.Random(3)
+    vocab = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 7))) for _ in range(300)]
+    prose = " ".join(r.choice(vocab) for _ in range(2000))
+    noise = base64.b64encode(r.randbytes(2925)).decode()
+    texts = [prose[:4096], prose[:8192], prose[:8000], prose[:4096] + noise, noise + prose[:4096]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x for x in quality_bands.quality_rules(docs).collect()}
+    assert [got[i].n_chunks for i in range(5)] == [1, 2, 2, 2, 2]
+    assert [got[i].bad_chunks for i in range(3)] == [0, 0, 0] and all(got[i].kept for i in range(3))
+    assert got[3].bad_chunks and got[4].bad_chunks and not got[3].kept and not got[4].kept
+
+
 def test_embeddings(spark):
     r = np.random.default_rng(2)
     base = r.normal(size=(40, 16))

@@ -2,8 +2,8 @@
 
 A text passes when zstandard shrinks it neither too much (repetition) nor too little (noise). The
 limits depend on its length: a frame costs a dozen bytes and short texts give the compressor little
-to refer back to, so their ratios are higher by nature. Long texts are also cut into fixed chunks,
-which finds a repetitive or random stretch inside an otherwise ordinary text.
+to refer back to, so their ratios are higher by nature. Long texts are also cut into fixed chunks, the
+last of which ends with the text; that finds a repetitive or random stretch inside an otherwise ordinary text.
 
 One pass over the rows, no shuffle: each row is judged alone, in Arrow batches cut to a few MB.
 
@@ -90,9 +90,12 @@ def _ratios(text: bytes, squeeze: zstandard.ZstdCompressor, bands: Bands) -> tup
     ratio = len(squeeze.compress(text)) / size
     least, most = next((low, high) for start, low, high in reversed(bands.whole) if size >= start)
     step, bad = bands.chunk_bytes, 0
-    chunks = size // step
-    for i in range(chunks):
-        got = len(squeeze.compress(text[i * step : (i + 1) * step])) / step
+    starts = list(range(0, size - step + 1, step))
+    if starts and size % step:
+        starts.append(size - step)  # the rest is judged in a chunk that ends with the text
+    chunks = len(starts)
+    for at in starts:
+        got = len(squeeze.compress(text[at : at + step])) / step
         bad += not bands.chunk[0] <= got <= bands.chunk[1]
     return ratio, bad, chunks, least <= ratio <= most and bad <= bands.chunk_share * chunks
 
