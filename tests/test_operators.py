@@ -125,6 +125,18 @@ def test_bm25_both_ways(spark):
         assert {(r.query_id, r.id, r.score, r["rank"]) for r in found} == expected
 
 
+def test_bm25_null_texts_and_string_ids_both_ways(spark):
+    texts = ["red fox", None, "the red dog runs", None, "blue"]
+    queries = spark.createDataFrame([(1, "red fox")], "query_id int, text string")
+    for kind, name in (("int", int), ("string", lambda i: f"d{i}")):
+        docs = spark.createDataFrame([(name(i), t) for i, t in enumerate(texts)], f"id {kind}, text string")
+        scan, join = (lexical.bm25(docs, queries, 3, scan_terms=n) for n in (20_000, 0))
+        assert scan.schema["id"].dataType == join.schema["id"].dataType
+        assert sorted(scan.collect()) == sorted(join.collect())
+        idf = math.log(1 + 3.5 / 2.5) + math.log(1 + 4.5 / 1.5)  # five documents, a mean of 7 / 3 terms
+        assert max(r.score for r in scan.collect()) == round(idf * 2.2 / (1 + 1.2 * (0.25 + 0.75 * 2 / (7 / 3))), 6)
+
+
 def test_fusion_and_rerank(spark):
     ranked = "query_id long, id long, rank int"
     a = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], ranked)

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidewheel.functions import nested, text
 from tidewheel.operators.ranking import top_per_key
@@ -40,11 +41,20 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, scan_terms: int = SCA
     """Top-k documents per query: (query_id, id, score, rank). Inputs (id, text), (query_id, text).
 
     Queries of up to `scan_terms` (query, term) pairs ride along to one scan of the documents;
-    more are joined on the term.
+    more are joined on the term. Both ways count a null text as a document but leave it out of the
+    mean length, as SQL's avg does, and give whole-number ids back as long; other ids are always joined.
     """
+    if not all(isinstance(df.schema[c].dataType, IntegralType) for df, c in ((docs, "id"), (queries, "query_id"))):
+        return _ranked(_by_terms(docs, query_terms(queries)), k)
+    docs = docs.withColumn("id", F.col("id").cast("long"))
+    queries = queries.withColumn("query_id", F.col("query_id").cast("long"))
     head = query_terms(queries).limit(scan_terms + 1).collect()
     wanted = [(r["query_id"], r["term"]) for r in head]
     found = _scan(docs, wanted, k) if len(wanted) <= scan_terms else _by_terms(docs, query_terms(queries))
+    return _ranked(found, k)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     return top_per_key(found, ["query_id"], [F.col("score").desc(), F.col("id")], k)
 
 
@@ -74,7 +84,7 @@ def _scan(docs: DataFrame, wanted: list[tuple], k: int) -> DataFrame:
         return docs.sparkSession.createDataFrame([], schema)
     vocabulary = sorted({term for _, term in wanted})
     block = max(1, BLOCK_CELLS // len(vocabulary))
-    tokens = docs.select(F.col("id").cast("long").alias("id"), text.terms(F.col("text")).alias("terms"))
+    tokens = docs.select("id", text.terms(F.col("text")).alias("terms"))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Ids, lengths and the document × term counts of a few documents at a time."""
@@ -92,17 +102,23 @@ def _scan(docs: DataFrame, wanted: list[tuple], k: int) -> DataFrame:
                 yield np.asarray(part.column(0)), lengths, counts
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros(len(vocabulary) + 2, dtype=np.int64)
-        for _, lengths, counts in blocks(batches):
-            totals[:-2] += (counts > 0).sum(axis=0)
-            totals[-2:] += [len(lengths), lengths.sum()]
+        totals = np.zeros(len(vocabulary) + 3, dtype=np.int64)
+        for given, lengths, counts in blocks(counted(batches)):
+            totals[:-3] += (counts > 0).sum(axis=0)
+            totals[-3:] += [len(lengths), lengths.sum(), given.sum()]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(totals))), pa.array(totals)], names=["slot", "total"])
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The batches with whether a text is given in place of its id."""
+        for batch in batches:
+            given = pc.cast(pc.is_valid(batch.column(1)), pa.int64())
+            yield pa.RecordBatch.from_arrays([given, batch.column(1)], names=["id", "terms"])
+
     summed = tokens.mapInArrow(count, "slot long, total long").groupBy("slot").agg(F.sum("total").alias("total"))
-    totals = np.zeros(len(vocabulary) + 2)
-    for row in summed.collect():  # one row per query term, and two for the corpus
+    totals = np.zeros(len(vocabulary) + 3)
+    for row in summed.collect():  # one row per query term, and three for the corpus
         totals[row["slot"]] = row["total"]
-    df, n, mean = totals[:-2], totals[-2], totals[-1] / max(totals[-2], 1)
+    df, n, mean = totals[:-3], totals[-3], totals[-2] / max(totals[-1], 1)
 
     query_ids = np.array(sorted({q for q, _ in wanted}))
     rows = np.searchsorted(query_ids, [q for q, _ in wanted])

@@ -97,6 +97,16 @@ def bm25_term_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.bm25(doc_texts(spark, sf_dir), query_texts(spark, sf_dir), 10, scan_terms=0)
 
 
+NULLED_SQL = "FROM (SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN text END AS text FROM documents)"
+
+
+@query("bm25_null_texts", f"WITH {bm25_sql(10).replace('FROM documents', NULLED_SQL)} SELECT * FROM bm25")
+def bm25_null_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scan over a corpus in which every third text is null."""
+    docs = doc_texts(spark, sf_dir).withColumn("text", F.when(F.col("id") % 3 != 0, F.col("text")))
+    return lexical.bm25(docs, query_texts(spark, sf_dir), 10)
+
+
 DEPTH = 50
 
 
