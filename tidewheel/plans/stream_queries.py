@@ -1,7 +1,7 @@
-"""Streaming jobs over the event file, each equal to its batch form on closed windows.
+"""Streaming jobs over the event file, each equal to its batch form.
 
-Append-mode results hold only what the final watermark has closed, so outer joins and sessions
-are compared on rows well older than that.
+The whole results are the queries named _all, held against the uncut SQL. stream_minute,
+stream_truth_join and stream_sessions are their rows of windows settled hours ago, as their SQL asks.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.operators import inference_log
 from tidewheel.plans import inputs
-from tidewheel.plans.catalogue import query
+from tidewheel.plans.catalogue import oracle_sql, query
 from tidewheel.plans.monitoring_queries import rounded
 from tidewheel.session import work_path
 from tidewheel.streaming import jobs
@@ -36,6 +36,14 @@ def settled(spark: SparkSession, sf_dir: str, df: DataFrame, column: str) -> Dat
 SETTLED_SQL = f"(SELECT max(ts) FROM events) - INTERVAL {SETTLED_HOURS} HOUR"
 
 
+def whole_sql(name: str, cut: str) -> str:
+    """The SQL of a registered query without its cut."""
+    sql = oracle_sql()[name]
+    if cut not in sql:
+        raise ValueError(f"no {cut!r} in the SQL of {name}")
+    return sql.replace(cut, "")
+
+
 @query("stream_monitoring", f"WITH {inputs.MONITORING_SQL} SELECT * FROM monitoring")
 def stream_monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payload log as a stream of JSON rows, parsed and joined with the static truth."""
@@ -72,14 +80,20 @@ def stream_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM trace_rows JOIN sums USING (trace_id) WHERE date_trunc('minute', request_time) < {SETTLED_SQL} GROUP BY 1""",
 )
 def stream_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Minute series in append mode out of a stream of traces."""
+    """The settled part of the minute series."""
+    return settled(spark, sf_dir, stream_minute_all(spark, sf_dir), "minute")
+
+
+@query("stream_minute_all", whole_sql("stream_minute", f" WHERE date_trunc('minute', request_time) < {SETTLED_SQL}"))
+def stream_minute_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute series in update mode out of a stream of traces; the newest state of each minute is the result."""
     source = work_path(spark, "trace-log")
     log = inputs.trace_log(spark, sf_dir)
     log.write.parquet(source)
     rolled = jobs.trace_rollup(jobs.file_stream(spark, source, "*.parquet", log.schema))
     series = jobs.minute_metrics(rolled, DELAY)
-    rows = jobs.read_rows(spark, jobs.run_to_table(series, "minute"), series.schema)
-    return settled(spark, sf_dir, rounded(zoneless(rows, "minute"), 6, "avg_latency_seconds"), "minute")
+    latest = jobs.read_latest(spark, jobs.run_to_table(series, "minute", "update"), series.schema, ["minute"])
+    return rounded(zoneless(latest, "minute"), 6, "avg_latency_seconds")
 
 
 @query("stream_dedup", "SELECT event_id, ts, event_type FROM events")
@@ -98,16 +112,28 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE p.ts < {SETTLED_SQL}""",
 )
 def stream_truth_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The settled part of the truth join."""
+    return settled(spark, sf_dir, stream_truth_join_all(spark, sf_dir), "request_time")
+
+
+@query("stream_truth_join_all", whole_sql("stream_truth_join", f"\n    WHERE p.ts < {SETTLED_SQL}"))
+def stream_truth_join_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions with the truth the following event brings, when it comes within five minutes."""
-    predictions = events(spark, sf_dir).select(
-        F.col("event_id").alias("request_key"), F.col("ts").alias("request_time"), F.col("value").alias("prediction")
-    )
-    truths = events(spark, sf_dir).select(
-        (F.col("event_id") - 1).alias("request_key"), F.col("ts").alias("truth_time"), F.col("value").alias("truth")
-    )
+
+    def sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return rows.select(
+            F.col("event_id").alias("request_key"), F.col("ts").alias("request_time"), F.col("value").alias("prediction")
+        ), rows.select(
+            (F.col("event_id") - 1).alias("request_key"), F.col("ts").alias("truth_time"), F.col("value").alias("truth")
+        )
+
+    # One stream read for each side.
+    predictions, truths = sides(events(spark, sf_dir))[0], sides(events(spark, sf_dir))[1]
     joined = jobs.with_late_truth(predictions, truths, "request_key", "5 MINUTES", DELAY)
-    rows = zoneless(jobs.read_rows(spark, jobs.run_to_table(joined, "truth"), joined.schema), "request_time", "truth_time")
-    return settled(spark, sf_dir, rows, "request_time")
+    emitted = jobs.read_rows(spark, jobs.run_to_table(joined, "truth"), joined.schema)
+    batch = sides(inputs.table(spark, sf_dir, "events"))
+    rows = jobs.with_open_predictions(emitted, *batch, "request_key", "5 MINUTES", DELAY)
+    return zoneless(rows, "request_time", "truth_time")
 
 
 @query(
@@ -119,7 +145,15 @@ def stream_truth_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT * FROM bursts WHERE "end" < {SETTLED_SQL}""",
 )
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Thirty-minute activity sessions per user, closed ones only."""
+    """The settled part of the sessions."""
+    return settled(spark, sf_dir, stream_sessions_all(spark, sf_dir), "end")
+
+
+@query("stream_sessions_all", whole_sql("stream_sessions", f' WHERE "end" < {SETTLED_SQL}'))
+def stream_sessions_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thirty-minute activity sessions per user: those the stream has closed, and the open ones in a closing step."""
     bursts = jobs.session_activity(events(spark, sf_dir), "user_id", "ts", "30 minutes", DELAY)
-    rows = zoneless(jobs.read_rows(spark, jobs.run_to_table(bursts, "sessions"), bursts.schema), "start", "end")
-    return settled(spark, sf_dir, rows, "end")
+    closed = jobs.read_rows(spark, jobs.run_to_table(bursts, "sessions"), bursts.schema)
+    rows = inputs.table(spark, sf_dir, "events").select("user_id", "ts")
+    whole = jobs.with_open_sessions(closed, rows, "user_id", "ts", "30 minutes", DELAY)
+    return zoneless(whole, "start", "end")

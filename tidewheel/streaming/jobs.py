@@ -82,7 +82,7 @@ def window_profile(stream: DataFrame, time_column: str, width: str, keys: list[s
 
 
 def minute_metrics(rolled: DataFrame, delay: str) -> DataFrame:
-    """Per-minute latency, calls and tokens of rolled-up traces, emitted once a minute is closed."""
+    """Per-minute latency, calls and tokens of rolled-up traces."""
     timed = with_event_time(rolled, "request_time", delay)
     grouped = timed.groupBy(F.window("request_time", "1 minute").alias("_w")).agg(
         F.count(F.lit(1)).alias("traces"), F.avg("latency_seconds").alias("avg_latency_seconds"),
@@ -122,3 +122,24 @@ def session_activity(stream: DataFrame, key: str, time_column: str, gap: str, de
     return timed.groupBy(key, burst.alias("burst")).agg(F.count(F.lit(1)).alias("events")).select(
         key, F.col("burst.start").alias("start"), F.col("burst.end").alias("end"), "events"
     )
+
+
+def with_open_predictions(
+    emitted: DataFrame, predictions: DataFrame, truths: DataFrame, key: str, bound: str, delay: str,
+    time_column: str = "request_time",
+) -> DataFrame:
+    """Closing batch step: rows of the stream, and those of predictions the watermark has not closed."""
+    p, done = predictions.alias("p"), emitted.select(key, time_column).distinct().alias("e")
+    sent = F.col(f"p.{key}").eqNullSafe(F.col(f"e.{key}")) & F.col(f"p.{time_column}").cast("timestamp").eqNullSafe(
+        F.col(f"e.{time_column}")
+    )
+    still = with_late_truth(p.join(done, sent, "left_anti"), truths, key, bound, delay, time_column)
+    return emitted.unionByName(still)
+
+
+def with_open_sessions(closed: DataFrame, rows: DataFrame, key: str, time_column: str, gap: str, delay: str) -> DataFrame:
+    """Closing batch step: closed sessions, and those of the rows that come after a key's last closed one."""
+    last = closed.groupBy(F.col(key).alias("_k")).agg(F.max("end").alias("_end"))
+    timed = rows.join(last, F.col(key).eqNullSafe(F.col("_k")), "left")
+    later = timed.where(F.col("_end").isNull() | (F.col(time_column).cast("timestamp") >= F.col("_end")))
+    return closed.unionByName(session_activity(later.drop("_k", "_end"), key, time_column, gap, delay))
