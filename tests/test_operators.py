@@ -298,3 +298,20 @@ def test_synthesis_keeps_correlation(spark):
     rows = spark.range(4000).select(F.randn(1).alias("x"), F.randn(2).alias("e")).select("x", (F.col("x") * 2 + F.col("e")).alias("y"))
     model = synthesis.fit(rows, ["x", "y"], [])
     assert synthesis.sample(spark, model, 4000).corr("x", "y") == pytest.approx(rows.corr("x", "y"), abs=0.06)
+
+
+def test_registered_training_is_the_whole_job(spark, sf_dir, monkeypatch):
+    from tidewheel.operators import training
+    from tidewheel.plans import training_queries
+
+    fitted, tuned = [], []
+    monkeypatch.setattr(training, "train", lambda frame, parameters=None: fitted.append((frame.count(), parameters)))
+    monkeypatch.setattr(training, "tune", lambda frame, trials: tuned.extend(trials))
+    for name in ("score", "metrics", "promotion"):
+        monkeypatch.setattr(training, name, lambda *_: None)
+    training_queries.gbt_scores(spark, sf_dir)
+    training_queries.promotion_gate(spark, sf_dir)
+    training_queries.hpo_trials(spark, sf_dir)
+    (whole, _), (champion, _), (challenger, _) = fitted
+    assert [p for _, p in fitted] == [None] * 3 and 0 < champion < challenger == whole
+    assert tuned == training.random_trials() and max(t["n_estimators"] for t in tuned) > 500

@@ -14,11 +14,6 @@ from tidewheel.plans import inputs
 from tidewheel.plans.catalogue import query
 from tidewheel.session import materialize
 
-# Tree counts of the registered queries; the library defaults are 200 trees and 50 to 700 in a search.
-TREES = 20
-SMALL_SPACE = {"n_estimators": (5, 15, 5), "max_depth": (3, 5)}
-
-
 def frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Encoded train and test rows, written once: every boosting round reads them again."""
     train, test = booking_ops.time_split(inputs.bookings(spark, sf_dir))
@@ -31,21 +26,24 @@ def frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows with the prediction of a model fitted on the train window."""
     train, test = frames(spark, sf_dir)
-    return training.score(training.train(train, {"n_estimators": TREES}), test)
+    return training.score(training.train(train), test)
 
 
 @query("hpo_trials")
 def hpo_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = frames(spark, sf_dir)
-    return training.tune(train, training.random_trials(SMALL_SPACE))
+    return training.tune(train, training.random_trials())
 
 
 @query("promotion_gate")
 def promotion_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A deeper boost against a two-tree champion, on the same test rows."""
+    """The model of the train window against that of a month before, on the same test rows."""
     train, test = frames(spark, sf_dir)
-    champion = training.metrics(training.train(train, {"n_estimators": 2}), test)
-    challenger = training.metrics(training.train(train, {"n_estimators": TREES // 2}), test)
+    test = materialize(test, "test-coded")
+    newest = train.agg(F.max("arrival_date")).first()[0]
+    earlier = train.where(F.col("arrival_date") <= F.lit(newest) - F.expr("INTERVAL 1 MONTH"))
+    champion = training.metrics(training.train(earlier), test)
+    challenger = training.metrics(training.train(train), test)
     return training.promotion(champion, challenger)
 
 
