@@ -1,7 +1,7 @@
 """From raw documents to token ids: toxicity, near duplicates, shared passages, mix, encoding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the columns of
-docs. Rows pass in any number and with any further columns; no documents give no rows.
+docs, and the mix adds mix_copy, the number of a document's copy. Rows pass in any number and with any further columns; no documents give no rows.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from tidewheel.llm import jaccard_join, mixing, pieces, substring_dedup, toxicit
 from tidewheel.llm.common import materialize, table
 from tidewheel.llm.queries import tokenizer_path
 
+COPY = "mix_copy"
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.3."""
@@ -37,12 +39,14 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return mixing.mixed_documents(docs)
+    return mixing.mixed_documents(docs, copy=COPY)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document of the mix."""
-    coded = pieces.encode_documents(docs.select("doc_id", "source", "text"), tokenizer_path("piece_bpe_32k.model"))
+    copy = [COPY] if COPY in docs.columns else []
+    texts = docs.select("doc_id", "source", "text", *copy)
+    coded = pieces.encode_documents(texts, tokenizer_path("piece_bpe_32k.model"), copy=COPY if copy else None)
     return coded.select("row.doc_id", "row.source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

@@ -209,6 +209,24 @@ def test_pieces(corpus):
     assert again == {r.row.doc_id: r.ids for r in coded.collect()}
 
 
+def test_every_occurrence_draws_its_own_segmentation(spark):
+    path = queries.tokenizer_path("piece_bpe_32k.model")
+    own = pieces.Pieces(path, 1000)
+    word = " representation"
+    rows = [(d, (word * 200)[1:], c) for d in (1, None) for c in (1, 2)] + [(None, (word * 199)[1:], 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, copy int")
+    coded = pieces.encode_documents(docs, path, dropout=0.3, copy="copy").collect()
+    assert len({tuple(r.ids) for r in coded}) == 5
+    cuts = Counter(own.encode("representation", k, 1, 0.3).tobytes() for k in range(2000))
+    assert len(cuts) > 8
+    # What is kept changes nothing, and each skip has its chance.
+    text, long = (word * 50)[1:], "representation" * 40
+    fresh = [pieces.Pieces(path, 1).encode(t, 7, 1, 0.3).tolist() for t in (text, long)]
+    assert [own.encode(t, 7, 1, 0.3).tolist() for t in (text, long)] == fresh
+    bits = pieces.skips(words.keyed(1, 20000), 0.1)
+    assert all(abs((bits >> t & 1).mean() - 0.1) < 0.01 for t in range(pieces.LANES))
+
+
 def test_quality_bands(corpus):
     got = {r.doc_id: r for r in quality_bands.quality_rules(corpus).collect()}
     for d, t in rows_of(corpus):
@@ -337,3 +355,10 @@ def test_pipeline(spark, sf_dir):
     assert cut.columns == docs.columns and cut.count() == docs.count()
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.where(F.size("ids") != F.col("n_tokens")).count() == 0 and out.count() > 0
+
+
+def test_pipeline_codes_copies_apart(spark, corpus):
+    mixed = corpus_pipeline.mix_sources(spark, corpus, "")
+    coded = corpus_pipeline.encode(spark, mixed, "").where("n_tokens > 100").collect()
+    times = Counter(r.doc_id for r in coded)
+    assert max(times.values()) > 1 and len({(r.doc_id, tuple(r.ids)) for r in coded}) == len(coded)

@@ -164,16 +164,19 @@ def mix_to_weights(docs: DataFrame, seed: int = 7, share: float = 1.0) -> DataFr
     ).withColumn("taken", F.col("repeats") * F.col("size"))
 
 
-def mixed_documents(docs: DataFrame, seed: int = 7, share: float = 1.0) -> DataFrame:
-    """The mix itself: rows of docs with all their columns, each as often as the plan takes it."""
+def mixed_documents(docs: DataFrame, seed: int = 7, share: float = 1.0, copy: str | None = None) -> DataFrame:
+    """The mix itself: rows of docs with all their columns, each as often as the plan takes it.
+
+    `copy` names a further column for the number of the copy, from 1.
+    """
     names = [f"d.`{c}`" for c in docs.columns]
     plan = mix_to_weights(docs, seed, share).groupBy("doc_id", "source", "size").agg(F.max("repeats").alias("repeats"))
     same = F.expr(
         "d.doc_id <=> p.doc_id AND CAST(d.source AS string) <=> p.source "
         f"AND coalesce(regexp_count(d.text, r'{WORD}'), 0) = p.size AND p.repeats > 0"
     )
-    return (
-        docs.alias("d").join(plan.alias("p"), same)
-        .select(*names, F.explode(F.expr("sequence(1, CAST(p.repeats AS int))")).alias("__copy"))
-        .drop("__copy")
+    number = copy or "__copy"
+    mixed = docs.alias("d").join(plan.alias("p"), same).select(
+        *names, F.explode(F.expr("sequence(1, CAST(p.repeats AS int))")).alias(number)
     )
+    return mixed if copy else mixed.drop(number)

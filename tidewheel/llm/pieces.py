@@ -2,26 +2,25 @@
 
 A text's spaces stand for the mark U+2581 of the pieces and one space goes in front. Texts are cut where
 no piece of the vocabulary can reach across: in front of spaces, and between characters that no chain of
-pieces brings together. The cuts ("words") are encoded one by one and cached per worker.
+pieces brings together. The cuts ("words") are encoded one by one.
 Merges come from an agenda, best score first and leftmost among equals. Each candidate that comes up is
-skipped when a hash of (seed, variant, word, place) says so, and comes back only when a neighbour
-changes; one text uses one of `variants` variants, by a hash of its id. So texts see varied
-segmentations of the same words, a rerun sees the same ones, and a worker can cache them. Characters
-outside the vocabulary become byte pieces. Without dropout the ids are those of the model's library.
+skipped when a hash of (seed, document, copy, place of the word in it, number of the candidate) says so,
+and comes back only when a neighbour changes. So every occurrence of a word draws its own segmentation
+and a rerun draws the same one. A segmentation follows from the word and the numbers of the candidates
+skipped, so workers keep the ids by these; what is kept changes no result. Characters outside the vocabulary become byte pieces. Without dropout the ids are those of the model's library.
 
 Decoding gives the text back byte by byte. For that, a mark that the text itself holds is written as
 its bytes; the library would read it as a space.
 
 Defined results: null and empty texts have no pieces and decode to the empty text. All columns of a row
-pass through; repeated rows are encoded alike; a null id is a variant of its own.
+pass through; rows with the same id, text and copy number are encoded alike; texts tell null ids apart.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
 from operator import add
 
@@ -36,7 +35,13 @@ from tidewheel.llm.common import text_bytes
 MARK = "▁"
 #: Ids decoded at once.
 IDS = 1 << 20
-_MASK = (1 << 32) - 1
+_MASK = (1 << 64) - 1
+_STEP = 0x9E3779B97F4A7C15
+#: Candidates of a word whose skips are drawn ahead; words with more are merged anew each time.
+LANES = 24
+#: Skips in a path that is kept; paths with more are merged anew each time.
+DEPTH = 2
+NONE: dict[int, list] = {}
 
 
 def word_pattern(vocabulary: Iterable[str]) -> re.Pattern[str]:
@@ -65,21 +70,47 @@ def word_pattern(vocabulary: Iterable[str]) -> re.Pattern[str]:
     return re.compile(f" *(?:{'|'.join([*sets, '[^ ]'])})| +")
 
 
+def skips(keys: np.ndarray, dropout: float) -> np.ndarray:
+    """For each key, LANES bits: bit t says that the t-th candidate to come up is skipped."""
+    out, limit = np.zeros(len(keys), np.int64), words.U64(int(dropout * (1 << 32)))
+    if limit:
+        for lane in range(0, LANES, 2):
+            x = words.mix(keys + words.U64(lane * _STEP & _MASK))
+            out |= ((x >> words.U64(32)) < limit).astype(np.int64) << lane
+            out |= ((x & words.U64(0xFFFFFFFF)) < limit).astype(np.int64) << lane + 1
+    return out
+
+
+def later_skips(key: np.uint64, start: int, n: int, dropout: float) -> list[bool]:
+    """The same for n candidates of one key beyond its lanes."""
+    x = words.mix(np.arange(start, start + n, dtype=words.U64) * words.U64(_STEP) + key)
+    return ((x >> words.U64(32)) < words.U64(int(dropout * (1 << 32)))).tolist()
+
+
 class Seen(dict):
-    """Ids of words in two generations: what is asked for again moves to the young one, the old one goes."""
+    """Paths of words in two generations: what is asked for again moves to the young one, the old one goes.
+
+    A path is [mask of the candidates it decides on, ids, paths that skip one more of them by its bit].
+    It holds for every occurrence that skips nothing else under the mask.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.old, self.kept = most, {}, 0
 
-    def __init__(self, merge: Callable[[str], list[int]], most: int):
-        self.merge, self.most, self.old = merge, most, {}
+    def find(self, word: str) -> list | None:
+        path = self.get(word)
+        if path is None:
+            path = self.old.get(word)
+            if path is not None:
+                self.keep(self, word, path)
+        return path
 
-    def __missing__(self, word: str) -> bytes:
-        found = self.old.get(word)
-        if found is None:
-            found = array("i", self.merge(word)).tobytes()
-        if len(self) >= self.most:
-            self.old = dict(self)
+    def keep(self, home: dict, name: str | int, path: list) -> None:
+        if self.kept >= self.most:
+            self.old, self.kept = dict(self), 0
             self.clear()
-        self[word] = found
-        return found
+        home[name] = path
+        self.kept += 1
 
 
 class Pieces:
@@ -105,8 +136,7 @@ class Pieces:
             text.append(raw)
         self.text = pa.array(text, pa.large_binary())
         self.words = word_pattern(self.id)
-        self.seen: dict[tuple, Seen] = {}
-        self.cache_entries = cache_entries
+        self.seen = Seen(cache_entries)
 
     @classmethod
     def here(cls, path: str, cache_entries: int) -> "Pieces":
@@ -115,35 +145,70 @@ class Pieces:
             state["pieces", path] = cls(path, cache_entries)
         return state["pieces", path]
 
-    def encode(self, text: str, variant: int, seed: int, dropout: float) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
-        name = (variant, seed, dropout)
-        if name not in self.seen:
-            self.seen[name] = Seen(lambda word: self._merge(word, *name), self.cache_entries)
-        found = map(self.seen[name].__getitem__, self.words.findall(" " + text))
-        return np.frombuffer(b"".join(found), np.int32)
-
-    def _merge(self, word: str, variant: int, seed: int, dropout: float) -> list[int]:
-        """Agenda of neighbours that make a piece: (rank, start of the left one, end of the right one)."""
+    def encode(self, text: str, key: int, seed: int, dropout: float) -> np.ndarray:
+        return self.encode_all([text], np.array([key], np.uint64), seed, dropout)[0]
+
+    def encode_all(self, texts: list[str], keys: np.ndarray, seed: int, dropout: float) -> list[np.ndarray]:
+        """Ids of each text; every word of it draws its own skips by the text's key and the word's place."""
+        cut = [self.words.findall(" " + t) if t else [] for t in texts]
+        counts = np.array([len(c) for c in cut], np.int64)
+        place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        start = words.mix(keys ^ words.mix(np.array([seed & _MASK], np.uint64)))
+        drawn = words.mix(np.repeat(start, counts) + place.astype(np.uint64))
+        bits, get, at, out = skips(drawn, dropout).tolist(), self.seen.get, 0, []
+        for found in cut:
+            ids = []
+            for word in found:
+                skip, path = bits[at], get(word)
+                if path is None or skip & path[0]:
+                    ids.append(self._path(word, skip, drawn[at], dropout))
+                else:
+                    ids.append(path[1])
+                at += 1
+            out.append(np.frombuffer(b"".join(ids), np.int32))
+        return out
+
+    def _path(self, word: str, skip: int, key: np.uint64, dropout: float) -> bytes:
+        """Ids of a word that skips the candidates of these bits, from a path seen before if there is one."""
+        path, home, name, rest, depth = self.seen.find(word), self.seen, word, skip, 0
+        while path is not None and rest & path[0]:
+            name = rest & -rest
+            rest ^= name
+            depth += 1
+            home = path[2]
+            path = home.get(name)
+        if path is not None:
+            return path[1]
+        merged, decided = self._merge(word, skip, key, dropout)
+        ids, mask = array("i", merged).tobytes(), (1 << decided) - 1
+        if decided <= LANES and not rest & mask and depth <= DEPTH:
+            self.seen.keep(home, name, [mask, ids, {} if depth < DEPTH else NONE])
+        return ids
+
+    def _merge(self, word: str, skip: int, key: np.uint64, dropout: float) -> tuple[list[int], int]:
+        """Pieces, and how many candidates came up.
+
+        Agenda of neighbours that make a piece: (rank, start of the left one, end of the right one).
+        """
         rank, n = self.rank, len(word)
         agenda = [(rank[pair], i, i + 2) for i, pair in enumerate(map(add, word, word[1:])) if pair in rank]
         heapify(agenda)
         # Where the part that starts at i ends (gone: n + 1), and where the one that ends at i starts.
         end, begin, gone = [*range(1, n + 1), -1, -1], list(range(-1, n)), n + 1
-        limit, key = int(dropout * (1 << 32)), 0
-        if limit:
-            name = f"{seed} {variant} {word}".encode()
-            key = int.from_bytes(hashlib.blake2b(name, digest_size=4).digest(), "little")
+        came, later = 0, []
         while agenda:
             _, i, k = heappop(agenda)
             j = end[i]
             if end[j] != k:
                 continue
-            if limit:
-                # Keyed by the word and where the pair starts, parts and ends.
-                h = (key + i * 0x9E3779B1 + j * 0x85EBCA77 + k * 0xC2B2AE3D & _MASK) * 0x2C1B3C6D
-                if (h ^ h >> 29) * 0x297A2D39 & _MASK < limit:
+            came += 1
+            if came <= LANES:
+                if skip >> came - 1 & 1:
+                    continue
+            elif dropout:
+                if came - LANES > len(later):
+                    later += later_skips(key, came - 1, 2 * n, dropout)
+                if later[came - LANES - 1]:
                     continue
             end[i], end[j], begin[k] = k, gone, i
             if k < n:
@@ -164,7 +229,7 @@ class Pieces:
             else:
                 out += [self.byte[b] for b in piece.encode()]
             i = end[i]
-        return out
+        return out, came
 
     def decode(self, ids: pa.Array, ends: np.ndarray) -> list[bytes]:
         """The texts of ids cut at ends (from 0 to their number), each without its first mark."""
@@ -174,33 +239,31 @@ class Pieces:
         return [bytes(data[a + 1 : b]) for a, b in zip(bounds, bounds[1:])]
 
 
-def _with_rows(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_bytes().alias("text"),
-        F.xxhash64("doc_id").alias("h"),
-    )
-
-
 def encode_documents(
-    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, variants: int = 4, cache_entries: int = 1 << 17
+    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, copy: str | None = None, cache_entries: int = 1 << 18
 ) -> DataFrame:
-    """row (all columns of docs (doc_id, text, ...)) and ids, the pieces of its whole text."""
-    rows = _with_rows(docs)
+    """row (all columns of docs (doc_id, text, ...)) and ids, the pieces of its whole text.
+
+    `copy` names the column that numbers the copies of a document, where docs holds several.
+    """
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_bytes().alias("text"),
+        F.xxhash64("doc_id", "text", *([copy] if copy else [])).alias("h"),
+    )
     kind = rows.schema["row"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.here(model, cache_entries)
         for batch in batches:
-            for part in words.pieces(batch, "text"):
+            for part in words.pieces(batch, "text", 1 << 19):
                 texts = [t.decode("utf-8", "replace") for t in part.column("text").to_pylist()]
-                variant = (part.column("h").to_numpy().view(np.uint64) % np.uint64(variants)).tolist()
-                ids = [pieces.encode(t, v, seed, dropout) for t, v in zip(texts, variant)]
+                ids = pieces.encode_all(texts, part.column("h").to_numpy().view(np.uint64), seed, dropout)
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
                 yield pa.RecordBatch.from_arrays([part.column("row"), lists], names=["row", "ids"])
 
-    return rows.select("row", "text", "h").mapInArrow(encode, f"row {kind}, ids array<int>")
+    return rows.mapInArrow(encode, f"row {kind}, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
