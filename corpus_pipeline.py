@@ -24,10 +24,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at 0.8 or more, that with the smallest id."""
-    classes = jaccard_join.similar_classes(docs, size=5, percent=80)
-    others = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """Of rows linked by five-word shingles at 0.8 or more, one with the smallest id.
+
+    Rows are numbered first, so that repeated rows and rows without an id are told apart.
+    """
+    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    ids = numbered.select("__row", "doc_id")
+    rows = numbered.select(F.col("__row").alias("doc_id"), "text")
+    classes = jaccard_join.similar_classes(rows, size=5, percent=80).withColumnRenamed("doc_id", "__row")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))["__row"].alias("__row")
+    kept = classes.join(ids, "__row").groupBy("component_id").agg(first).select("__row")
+    return numbered.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -362,3 +362,20 @@ def test_pipeline_codes_copies_apart(spark, corpus):
     coded = corpus_pipeline.encode(spark, mixed, "").where("n_tokens > 100").collect()
     times = Counter(r.doc_id for r in coded)
     assert max(times.values()) > 1 and len({(r.doc_id, tuple(r.ids)) for r in coded}) == len(coded)
+
+
+def test_pipeline_keeps_one_of_repeated_rows_and_null_ids(spark):
+    r = random.Random(8)
+    prose = [" ".join(r.choice("abcdefghij") + str(r.randint(0, 99)) for _ in range(60)) for _ in range(5)]
+    rows = [(1, prose[0])] * 3 + [(2, prose[1]), (None, prose[1]), (None, prose[1])] + [(None, prose[2])] * 2
+    # Near copies that have no id, and one id for two texts of which only one has a copy.
+    rows += [(None, prose[3]), (None, prose[3] + " end"), (3, prose[4]), (9, prose[0]), (9, " ".join(reversed(prose[4].split())))]
+    docs = spark.createDataFrame([(d, t, len(t)) for d, t in rows], "doc_id long, text string, n_chars long").repartition(3)
+    one = corpus_pipeline.one_of_each(spark, docs, "")
+    assert one.columns == docs.columns
+    got = Counter(rows_of(one))
+    last = {(None, prose[3]), (None, prose[3] + " end")} & set(got)
+    assert len(last) == 1
+    assert got == Counter([(1, prose[0]), (2, prose[1]), (None, prose[2]), *last, (3, prose[4]), rows[-1]])
+    cut = corpus_pipeline.cut_passages(spark, one, "")
+    assert Counter(rows_of(cut)) == got
