@@ -6,7 +6,8 @@ Tier one is a table of the corpus's frequent pre-tokens with their counts, broad
 pre-token by pre-token, from the file's own ranks. No pre-token crosses a shuffle: a first pass over
 all rows counts words by hash in each task and cuts the most frequent of them into pre-tokens;
 these summaries, of a bounded size each, are merged in slots and then once more on the driver. The
-table only saves time; counts are the same with an empty one.
+table only saves time; counts are the same with an empty one. Words of over 64 bytes and pre-tokens of
+over 64 characters enter neither the table nor a cache, so both are bounded in bytes as well.
 
 Texts that hold the special string, or characters whose class may differ between the two libraries'
 versions of Unicode, go to the library whole.
@@ -40,6 +41,8 @@ SETTLED = "\\x00-\u052f\u2010-\u2027\u2030-\u203a\u20a0-\u20b5\u3041-\u3096\u30a
 #: Every other character's UTF-8 form has a byte of at least this value.
 _OTHER_BYTE = 0xD5
 SLOTS = 16
+#: Longer words and pre-tokens are merged where they occur and kept in no table or cache.
+LONGEST = 64
 OUT = "doc_id long, n_bytes long, n_tokens long"
 
 _pretokens = regex.compile(PATTERN)
@@ -56,7 +59,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.merged = self._pieces(path)
+        self.core = self._core(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, int] = {}
         self.cache_entries = cache_entries
@@ -69,11 +72,18 @@ class Encoder:
         return state["encoder", path]
 
     def lengths(self, texts: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return list(map(len, self.library_ids(texts)))
+
+    def library_ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def ids(self, text: str) -> bytes:
+        """Ids of a text for which whole() is false, as 32-bit little-endian integers."""
+        return bytes(memoryview(self.core.encode_to_tiktoken_buffer(text, set())))
 
     @staticmethod
-    def _pieces(path: str):
-        """Merges of single pre-tokens, from the ranks that the file's vocabulary holds."""
+    def _core(path: str):
+        """Cuts and merges of texts, from the ranks that the file's vocabulary holds."""
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
@@ -84,21 +94,24 @@ class Encoder:
         byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(others)}
         ranks = {bytes(byte[c] for c in piece): rank for piece, rank in vocabulary.items()}
         encoding = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return encoding._core_bpe.encode_single_piece
+        return encoding._core_bpe
 
     def learn(self, pretokens: set[str]) -> None:
         unknown = [t for t in pretokens if t not in self.cache]
         if len(self.cache) + len(unknown) > self.cache_entries:
             self.cache.clear()
             unknown = list(pretokens)
-        self.cache.update((t, len(self.merged(t.encode()))) for t in unknown)
+        self.cache.update((t, self.length(t)) for t in unknown)
+
+    def length(self, pretoken: str) -> int:
+        return len(self.core.encode_single_piece(pretoken.encode()))
 
     def whole(self, text: str, wide: bool) -> bool:
         """Whether the library has to see the text as it is."""
         return any(s in text for s in self.special) or wide and _unsettled.search(text) is not None
 
 
-def _decoded(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str], np.ndarray]]:
+def decoded(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str], np.ndarray]]:
     for part in words.pieces(batch, "text"):
         plain = [bytes(b.as_buffer()) for b in part.column("text")]
         wide = np.array([bool(len(b)) and int(np.frombuffer(b, np.uint8).max()) >= _OTHER_BYTE for b in plain])
@@ -112,7 +125,9 @@ def _pack(counts: Counter, most: int) -> tuple[list[str], list[int]]:
 
 def _frequent_words(found: dict[int, list], texts: words.Texts, most: int) -> dict[int, list]:
     """Add the words of a batch to hash -> [count, word]; beyond 2 x most, keep the frequent half."""
-    hashes, first, counts = np.unique(texts.hashes(), return_index=True, return_counts=True)
+    short = np.flatnonzero(texts.ends - texts.starts <= LONGEST)
+    hashes, first, counts = np.unique(texts.hashes()[short], return_index=True, return_counts=True)
+    first = short[first]
     for h, i, n in zip(hashes.tolist(), first.tolist(), counts.tolist()):
         if h in found:
             found[h][0] += n
@@ -165,14 +180,14 @@ def token_counts(docs: DataFrame, tokenizer: str, entries: int = 16384, cache_en
     """Tokens of each row's whole text by the tokenizer file, with the text's bytes."""
     frequent = frequent_pretokens(docs, entries)
     counted = Encoder(tokenizer, cache_entries).lengths(frequent)
-    known = docs.sparkSession.sparkContext.broadcast((frequent, np.array(counted, dtype=np.uint16).tobytes()))
+    known = docs.sparkSession.sparkContext.broadcast((frequent, np.array(counted, dtype=np.uint32).tobytes()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.here(tokenizer, cache_entries)
         keys, lengths = known.value
-        table = dict(zip(keys, np.frombuffer(lengths, np.uint16).tolist()))
+        table = dict(zip(keys, np.frombuffer(lengths, np.uint32).tolist()))
         for batch in batches:
-            for part, texts, wide in _decoded(batch):
+            for part, texts, wide in decoded(batch):
                 totals, open_rows, unknown, direct = [0] * len(texts), [], set(), []
                 for i, text in enumerate(texts):
                     if encoder.whole(text, bool(wide[i])):
@@ -185,6 +200,8 @@ def token_counts(docs: DataFrame, tokenizer: str, entries: int = 16384, cache_en
                     except TypeError:
                         rest = [t for t, n in zip(tokens, found) if n is None]
                         totals[i] = sum(n for n in found if n is not None)
+                        totals[i] += sum(encoder.length(t) for t in rest if len(t) > LONGEST)
+                        rest = [t for t in rest if len(t) <= LONGEST]
                         open_rows.append((i, rest))
                         unknown.update(rest)
                 if unknown:

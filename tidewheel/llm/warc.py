@@ -52,7 +52,7 @@ _HEADERS = {
 _NUMBERS = {"page_id", "payload_bytes", "refers_to"}
 
 
-def _files(path: str):
+def open_folder(path: str):
     """File system and plain path of a folder named by a URI or a local path."""
     from pyarrow import fs
 
@@ -122,7 +122,7 @@ class WarcWriter(DataSourceArrowWriter):
         self.path = path
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        files, folder = _files(self.path)
+        files, folder = open_folder(self.path)
         files.create_dir(folder, recursive=True)
         name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc"
         records = 0
@@ -135,14 +135,14 @@ class WarcWriter(DataSourceArrowWriter):
         return Written(name, records)
 
     def commit(self, messages: list) -> None:
-        files, folder = _files(self.path)
+        files, folder = open_folder(self.path)
         files.create_dir(folder, recursive=True)
         names = sorted(m.file for m in messages if m is not None and m.records)
         with files.open_output_stream(posixpath.join(folder, MANIFEST)) as out:
             out.write(json.dumps(names).encode())
 
     def abort(self, messages: list) -> None:
-        files, folder = _files(self.path)
+        files, folder = open_folder(self.path)
         for m in messages:
             if m is not None and m.file:
                 files.delete_file(posixpath.join(folder, m.file))
@@ -167,7 +167,7 @@ class WarcReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[InputPartition]:
-        files, folder = _files(self.path)
+        files, folder = open_folder(self.path)
         with files.open_input_stream(posixpath.join(folder, MANIFEST)) as manifest:
             names = json.loads(manifest.read())
         return [InputPartition(posixpath.join(folder, n)) for n in names] or [InputPartition(None)]
@@ -182,7 +182,7 @@ class WarcReader(DataSourceReader):
 
         kinds = {"payload": pa.binary()} | {c: pa.int64() if c in _NUMBERS else pa.string() for c in _HEADERS}
         names = [c.split()[0] for c in SCHEMA.split(", ")]
-        files, _ = _files(self.path)
+        files, _ = open_folder(self.path)
 
         def batch(rows: list[dict]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kinds[c]) for c in names], names=names)
