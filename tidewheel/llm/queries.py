@@ -108,11 +108,18 @@ def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op13_elias_fano_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewheel.llm.token_files import token_files
+
+    back = token_files(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=2)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_mixing, op2_sharding, op3_warc, op4_fixed_block_anchors, op5_merge_dropout,
         op6_token_counts, op7_token_group_matrix, op8_int8_tiles,
-        op9_toxicity, op10_quality_bands,
+        op9_toxicity, op10_quality_bands, op13_elias_fano_ids,
     ]
     return {f.__name__: f for f in found}
 
