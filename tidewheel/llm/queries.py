@@ -108,6 +108,13 @@ def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_block_max_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewheel.llm.ranked_search import build_index, search
+
+    index = build_index(table(spark, sf_dir, "documents"))
+    return search(index, table(spark, sf_dir, "benchmark"), k=20)
+
+
 def op13_elias_fano_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewheel.llm.token_files import token_files
 
@@ -119,10 +126,41 @@ def queries() -> dict[str, Query]:
     found = [
         op1_mixing, op2_sharding, op3_warc, op4_fixed_block_anchors, op5_merge_dropout,
         op6_token_counts, op7_token_group_matrix, op8_int8_tiles,
-        op9_toxicity, op10_quality_bands, op13_elias_fano_ids,
+        op9_toxicity, op10_quality_bands, op11_block_max_maxscore, op13_elias_fano_ids,
     ]
     return {f.__name__: f for f in found}
 
 
+#: Terms as the search cuts them: only A to Z change their case.
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+SEARCH_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+c AS (SELECT count(*) AS docs, sum(len(t)) AS total FROM d WHERE len(t) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY ALL),
+q AS (
+    SELECT item, item_id, term, count(*) AS times
+    FROM (SELECT item, item_id, unnest({_TERMS}) AS term FROM (SELECT row_number() OVER () AS item, * FROM benchmark))
+    GROUP BY ALL
+),
+w AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), c
+),
+s AS (
+    SELECT item, item_id, doc_id, CAST(sum(
+        times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(t) * docs) // total)))
+    ) AS BIGINT) AS score
+    FROM q JOIN w USING (term) JOIN tf USING (term) JOIN d USING (r), c GROUP BY item, item_id, r, doc_id
+),
+n AS (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM n WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_block_max_maxscore": SEARCH_SQL}
