@@ -115,6 +115,14 @@ def op11_block_max_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(index, table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewheel.llm.common import materialize
+    from tidewheel.llm.conversation_trie import prefix_trie, sequences, with_shared_heads
+
+    own = materialize(sequences(table(spark, sf_dir, "conversations")), "turns")
+    return prefix_trie(materialize(with_shared_heads(own), "rebuilt"))
+
+
 def op13_elias_fano_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewheel.llm.token_files import token_files
 
@@ -126,7 +134,7 @@ def queries() -> dict[str, Query]:
     found = [
         op1_mixing, op2_sharding, op3_warc, op4_fixed_block_anchors, op5_merge_dropout,
         op6_token_counts, op7_token_group_matrix, op8_int8_tiles,
-        op9_toxicity, op10_quality_bands, op11_block_max_maxscore, op13_elias_fano_ids,
+        op9_toxicity, op10_quality_bands, op11_block_max_maxscore, op12_prefix_trie, op13_elias_fano_ids,
     ]
     return {f.__name__: f for f in found}
 
@@ -162,5 +170,46 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM n WHERE rank <
 """
 
 
+#: The unsigned CRC-32 of an id's decimal form, bit by bit.
+_CRC = """
+(4294967295 - list_reduce(
+    list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+        lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END
+))
+"""
+TRIE_SQL = f"""
+WITH own AS (
+    SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+h AS (SELECT *, {_CRC} % 9 AS h FROM own),
+c AS (
+    SELECT h.conv_id, list_concat(coalesce(b.turns[1:h.h], h.turns[1:0]), h.turns[h.h + 1:]) AS turns
+    FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 5
+),
+p AS (SELECT conv_id, turns, d, turns[1:d] AS prefix FROM c, LATERAL (SELECT unnest(range(len(turns) + 1)) AS d)),
+n AS (
+    SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(CASE WHEN len(turns) = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS ends,
+        (count(*) - 1) * coalesce(strlen(any_value(prefix[d].t)), 0) AS saved
+    FROM p GROUP BY prefix, d
+),
+k AS (
+    SELECT n.prefix, n.d, count(*) AS n_children FROM n JOIN n c ON c.d = n.d + 1 AND c.prefix[1:n.d] = n.prefix
+    GROUP BY ALL
+),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.d = n.d AND k.prefix = n.prefix),
+s AS (
+    SELECT prefix[1:a] AS prefix, a AS d, sum(saved) AS saved_tokens, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves
+    FROM (SELECT *, unnest(range(d + 1)) AS a FROM m) GROUP BY ALL
+)
+SELECT m.conv_id, m.d AS depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children,
+    CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN s ON s.d = m.d AND s.prefix = m.prefix LEFT JOIN m u ON u.d = m.d - 1 AND u.prefix = m.prefix[1:m.d - 1]
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op11_block_max_maxscore": SEARCH_SQL}
+    return {"op11_block_max_maxscore": SEARCH_SQL, "op12_prefix_trie": TRIE_SQL}
