@@ -306,7 +306,7 @@ def test_registered_training_is_the_whole_job(spark, sf_dir, monkeypatch):
 
     fitted, tuned = [], []
     monkeypatch.setattr(training, "train", lambda frame, parameters=None: fitted.append((frame.count(), parameters)))
-    monkeypatch.setattr(training, "tune", lambda frame, trials: tuned.extend(trials))
+    monkeypatch.setattr(training, "tune", lambda frame, later, trials: tuned.extend(trials))
     for name in ("score", "metrics", "promotion"):
         monkeypatch.setattr(training, name, lambda *_: None)
     training_queries.gbt_scores(spark, sf_dir)

@@ -5,17 +5,11 @@ from __future__ import annotations
 import random
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.functions import routing
-from tidewheel.operators import bookings, quality
-from tidewheel.session import shared_root
+from tidewheel.operators import boosting, bookings, quality
 
 # Model parameters, and the search space of the tuning job.
 DEFAULT_PARAMETERS = {"learning_rate": 0.05, "n_estimators": 200, "max_depth": 3}
@@ -26,37 +20,27 @@ CODE_SUFFIX = "_code"
 
 
 def feature_frame(rows: DataFrame, codes: DataFrame) -> DataFrame:
-    """Rows with integer codes for every category; -1 shifts to 0 inside the assembler."""
+    """Rows with integer codes for every category; an unknown one is 0."""
     coded = bookings.encode(rows, codes, bookings.CATEGORICAL, CODE_SUFFIX)
     shifted = {f"{c}{CODE_SUFFIX}": F.col(f"{c}{CODE_SUFFIX}") + 1 for c in bookings.CATEGORICAL}
     return coded.withColumns(shifted)
 
 
-def boosted_trees(parameters: dict | None = None) -> Pipeline:
-    p = {**DEFAULT_PARAMETERS, **(parameters or {})}
-    inputs = [*bookings.NUMERIC, *[f"{c}{CODE_SUFFIX}" for c in bookings.CATEGORICAL]]
-    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
-    trees = GBTRegressor(
-        labelCol=bookings.TARGET, maxIter=p["n_estimators"], maxDepth=p["max_depth"],
-        stepSize=p["learning_rate"], seed=SEED, cacheNodeIds=True, checkpointInterval=10,
-    )
-    return Pipeline(stages=[assembler, trees])
+FEATURES = [*bookings.NUMERIC, *[f"{c}{CODE_SUFFIX}" for c in bookings.CATEGORICAL]]
 
 
-def train(frame: DataFrame, parameters: dict | None = None) -> PipelineModel:
-    """Fit boosted trees. Checkpoints go to the shared folder, so a lost executor costs little."""
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(frame.sparkSession))
-    return boosted_trees(parameters).fit(frame)
+def train(frame: DataFrame, parameters: dict | None = None) -> boosting.Model:
+    """Boosted trees over an encoded frame."""
+    settings = boosting.Settings(**{**DEFAULT_PARAMETERS, **(parameters or {})})
+    return boosting.fit(frame, FEATURES, bookings.TARGET, [settings])[0]
 
 
-def score(model: PipelineModel, frame: DataFrame, key: str = "Booking_ID") -> DataFrame:
+def score(model: boosting.Model, frame: DataFrame, key: str = "Booking_ID") -> DataFrame:
     """Keyed prediction table."""
     return model.transform(frame).select(key, *bookings.NUMERIC, *bookings.CATEGORICAL, bookings.TARGET, "prediction")
 
 
-def metrics(model: PipelineModel, frame: DataFrame) -> DataFrame:
+def metrics(model: boosting.Model, frame: DataFrame) -> DataFrame:
     return quality.regression_metrics(model.transform(frame), {}, bookings.TARGET, "prediction")
 
 
@@ -78,24 +62,20 @@ def random_trials(space: dict | None = None, trials: int = TRIALS, seed: int = S
     ]
 
 
-def tune(frame: DataFrame, trials: list[dict], train_share: float = 0.8, parallelism: int = 4) -> DataFrame:
-    """Trial table (trial, settings, rmse), best first. Trials share one fitted split."""
-    pipeline = boosted_trees()
-    trees = pipeline.getStages()[-1]
-    grid = [
-        {trees.maxIter: t["n_estimators"], trees.stepSize: t["learning_rate"], trees.maxDepth: t["max_depth"]}
-        for t in trials
-    ]
-    search = TrainValidationSplit(
-        estimator=pipeline, estimatorParamMaps=grid, trainRatio=train_share, parallelism=parallelism, seed=SEED,
-        evaluator=RegressionEvaluator(labelCol=bookings.TARGET, metricName="rmse"),
-    )
-    scores = search.fit(frame).validationMetrics
-    rows = [(i, t["n_estimators"], t["learning_rate"], t["max_depth"], float(s)) for i, (t, s) in enumerate(zip(trials, scores))]
-    table = frame.sparkSession.createDataFrame(
-        rows, "trial int, n_estimators int, learning_rate double, max_depth int, rmse double"
+def tune(train_rows: DataFrame, later_rows: DataFrame, trials: list[dict]) -> DataFrame:
+    """Trial table (trial, settings, rmse), best first: fitted on one side of a time split, judged on the other.
+
+    All trials are fitted over the same bins and cells, and judged in one pass over the later rows.
+    Without later rows that have a label, rmse is null.
+    """
+    models = boosting.fit(train_rows, FEATURES, bookings.TARGET, [boosting.Settings(**t) for t in trials])
+    errors = boosting.squared_errors(later_rows, models, bookings.TARGET)
+    rows = [(i, t["n_estimators"], t["learning_rate"], t["max_depth"]) for i, t in enumerate(trials)]
+    settings = train_rows.sparkSession.createDataFrame(
+        rows, "trial int, n_estimators int, learning_rate double, max_depth int"
     )
-    return table.orderBy("rmse", "trial")
+    judged = errors.select("trial", F.sqrt(F.col("sse") / F.nullif("n", F.lit(0))).alias("rmse"))
+    return settings.join(judged, "trial", "left").orderBy(F.col("rmse").asc_nulls_last(), "trial")
 
 
 def promotion(champion: DataFrame | None, challenger: DataFrame) -> DataFrame:

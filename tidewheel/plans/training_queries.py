@@ -31,8 +31,9 @@ def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("hpo_trials")
 def hpo_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = frames(spark, sf_dir)
-    return training.tune(train, training.random_trials())
+    """Random trials fitted on the train window and judged on the test window."""
+    train, test = frames(spark, sf_dir)
+    return training.tune(train, test, training.random_trials())
 
 
 @query("promotion_gate")
