@@ -65,28 +65,31 @@ def _runs(change: np.ndarray) -> np.ndarray:
 def invert(shard: int, doc_ids: pa.Array, texts: list[words.Texts]) -> pa.RecordBatch:
     """The rows of one shard; see above."""
     per_doc = np.concatenate([t.counts for t in texts]).astype(np.int64)
-    doc = np.repeat(np.arange(len(per_doc)), per_doc)
+    doc = np.repeat(np.arange(len(per_doc), dtype=np.int32), per_doc)
     hashes = np.concatenate([t.hashes() for t in texts])
     order = np.argsort(hashes, kind="stable")  # by term, then by document
-    sorted_hashes, doc = hashes[order], doc[order]
+    hashes, doc = hashes[order], doc[order]
     same_term = np.zeros(len(order), bool)
-    same_term[1:] = sorted_hashes[1:] == sorted_hashes[:-1]
+    same_term[1:] = hashes[1:] == hashes[:-1]
+    del hashes
     new_doc = ~same_term
     new_doc[1:] |= doc[1:] != doc[:-1]
     posting = _runs(new_doc)
-    tf = np.diff(np.append(posting, len(order)))
+    tf = np.diff(np.append(posting, len(order))).astype(np.int32)
     term_starts = _runs(~same_term[posting])
-    docs = doc[posting]
-    n_terms, n_postings = len(term_starts), len(posting)
+    docs, first_words = doc[posting], order[posting[term_starts]]
+    del doc, order, new_doc, same_term, posting
+    n_terms, n_postings = len(term_starts), len(docs)
     df = np.diff(np.append(term_starts, n_postings))
     # blocks: every BLOCK postings of a term
-    within = np.arange(n_postings) - np.repeat(term_starts, df)
+    within = np.arange(n_postings, dtype=np.int32) - np.repeat(term_starts.astype(np.int32), df)
     block_starts = np.flatnonzero(within % BLOCK == 0)
+    del within
     counts = np.diff(np.append(block_starts, n_postings))
-    block = np.repeat(np.arange(len(block_starts)), counts)
+    block = np.repeat(np.arange(len(block_starts), dtype=np.int32), counts)
     blocks_of_term = -(-df // BLOCK)
     term_blocks = np.append(0, np.cumsum(blocks_of_term))
-    gap = np.zeros(n_postings, np.int64)
+    gap = np.zeros(n_postings, np.int32)
     gap[1:] = docs[1:] - docs[:-1]
     gap[block_starts] = 0
     if n_postings:
@@ -99,7 +102,7 @@ def invert(shard: int, doc_ids: pa.Array, texts: list[words.Texts]) -> pa.Record
     size = counts * (gap_bytes + tf_bytes)
     block_at = np.append(0, np.cumsum(size))
     data = np.zeros(int(block_at[-1]), np.uint8)
-    place = np.arange(n_postings) - np.repeat(block_starts, counts)
+    place = np.arange(n_postings, dtype=np.int32) - np.repeat(block_starts.astype(np.int32), counts)
     for values, widths, begin in (
         (gap, gap_bytes, block_at[:-1]), (tf, tf_bytes, block_at[:-1] + counts * gap_bytes)
     ):
@@ -108,20 +111,20 @@ def invert(shard: int, doc_ids: pa.Array, texts: list[words.Texts]) -> pa.Record
             rows = np.flatnonzero(widths[block] > byte)
             if len(rows):
                 data[to[rows] + byte] = (values[rows] >> (8 * byte)) & 0xFF
+    del gap, place, to, rows
     # competitive pairs: by rising length, those of a frequency above all before
     lengths = per_doc[docs]
     rank = np.empty(len(per_doc), np.int64)
     rank[np.argsort(per_doc, kind="stable")] = np.arange(len(per_doc))
-    by_length = np.argsort(block.astype(np.int64) << 16 | rank[docs], kind="stable")
+    by_length = np.argsort(block.astype(np.int64) << 16 | rank[docs], kind="stable").astype(np.int32)
     top = int(tf.max()) + 1 if n_postings else 1
-    high = np.maximum.accumulate(block[by_length] * top + tf[by_length]) if n_postings else np.zeros(0, np.int64)
+    high = np.maximum.accumulate(block[by_length].astype(np.int64) * top + tf[by_length]) if n_postings else np.zeros(0, np.int64)
     best = np.ones(n_postings, bool)
     best[1:] = (high[1:] > high[:-1])
     pairs = by_length[best]
     pairs_of_block = np.append(0, np.cumsum(np.bincount(block[pairs], minlength=len(block_starts))))
     # the words themselves
     word_bounds = np.append(0, np.cumsum([len(t.starts) for t in texts]))
-    first_words = order[posting[term_starts]]
     holders = np.searchsorted(word_bounds, first_words, side="right") - 1
     terms = [texts[h].word(i) for h, i in zip(holders.tolist(), (first_words - word_bounds[holders]).tolist())]
     data_at = block_at[term_blocks]
