@@ -86,22 +86,6 @@ def test_nearest_neighbours(spark, copies, batch):
     assert {(r.query_id, r.id, r["rank"]) for r in found} == brute(matrix, asked, 5)
 
 
-def test_cells_split_large_groups(spark):
-    """Tiny group limits force salts on both sides; the answer stays whole."""
-    matrix, asked, corpus, wanted = vector_frames(spark, copies=150)
-    known = corpus.select("id", "vector")
-    found = vectors._by_cells(known, wanted, 5, pivots=6, group_rows=20)
-    top = ranking.top_per_key(found, ["query_id"], [F.col("score").desc(), F.col("id")], 5).collect()
-    assert {(r.query_id, r.id, r["rank"]) for r in top} == brute(matrix, asked, 5)
-
-
-def test_lsh_recall(spark):
-    matrix, asked, corpus, wanted = vector_frames(spark)
-    found = {(r.query_id, r.id) for r in vectors.lsh_top_k(corpus, wanted, 5, bucket=1.5, tables=10).collect()}
-    exact = {(q, i) for q, i, _ in brute(matrix, asked, 5)}
-    assert len(found & exact) / len(exact) > 0.6
-
-
 def test_bm25_both_ways(spark):
     texts = ["red fox runs", "the red red dog", "a blue fox", "nothing here", "", "fox fox fox red"]
     docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")

@@ -5,24 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, HashingTF, Normalizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import IDF, HashingTF, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.functions import nested, text
+from tidewheel.functions import text
+from tidewheel.operators import vector_index
 from tidewheel.operators.ranking import top_per_key
-from tidewheel.operators.topk import Best, keep_best
-from tidewheel.session import materialize
+from tidewheel.operators.topk import Best
+from tidewheel.operators.vector_index import DIGITS, list_rows, unit_rows
 from tidewheel.sources import changes
 
 QUERY_BATCH = 4096  # queries that may travel inside a task closure (about 2 MB at 64 dimensions)
-PIVOTS = 256
-GROUP_ROWS = 50_000
-DIGITS = 6
+STEP = 512  # rows of the corpus that are scored against all of them at once
 
 
 def embed_text(docs: DataFrame, id_column: str, text_column: str, dims: int = 256) -> DataFrame:
@@ -37,27 +35,17 @@ def embed_text(docs: DataFrame, id_column: str, text_column: str, dims: int = 25
     return fitted.select(id_column, vector_to_array("_unit", "float32").alias("vector"))
 
 
-def _unit(matrix: np.ndarray) -> np.ndarray:
-    matrix = np.asarray(matrix, dtype=np.float64)
-    norm = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return np.divide(matrix, norm, out=np.zeros_like(matrix), where=norm > 0)
-
-
-def _rows(batch: pa.RecordBatch, column: int) -> np.ndarray:
-    lists = batch.column(column)
-    return np.asarray(lists.flatten(), dtype=np.float64).reshape(len(lists), -1)
-
-
 def top_k_similar(corpus: DataFrame, queries: DataFrame, k: int = 5, query_batch: int = QUERY_BATCH) -> DataFrame:
     """Exact cosine top-k: (query_id, id, score, rank); inputs are (id, vector) / (query_id, vector).
 
     A batch of up to `query_batch` queries rides along to one scan of the corpus. More queries
-    are matched by joining on pivot cells. Filter the corpus before calling.
+    visit the balls of an index, block by block, with the same scores. Filter the corpus before calling.
     """
-    known = corpus.where("vector IS NOT NULL").select(F.col("id").cast("long").alias("id"), "vector")
-    asked = queries.where("vector IS NOT NULL").select(F.col("query_id").cast("long").alias("query_id"), "vector")
+    asked = vector_index.known(queries, "query_id")
     head = asked.limit(query_batch + 1).collect()
-    found = _scan(known, head, k) if len(head) <= query_batch else _by_cells(known, asked, k)
+    if len(head) > query_batch:
+        return vector_index.exact_top_k(vector_index.build(corpus), asked, k)[0]
+    found = _scan(vector_index.known(corpus, "id"), head, k)
     return top_per_key(found, ["query_id"], [F.col("score").desc(), F.col("id")], k)
 
 
@@ -67,13 +55,14 @@ def _scan(corpus: DataFrame, batch: list, k: int) -> DataFrame:
     if not batch:
         return corpus.sparkSession.createDataFrame([], schema)
     query_ids = np.array([r["query_id"] for r in batch])
-    matrix = _unit([r["vector"] for r in batch])
+    matrix = unit_rows([r["vector"] for r in batch])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(query_ids, k)
         for part in batches:
-            if part.num_rows:
-                best.add(np.asarray(part.column(0)), np.round(matrix @ _unit(_rows(part, 1)).T, DIGITS))
+            for at in range(0, part.num_rows, STEP):
+                some = part.slice(at, STEP)
+                best.add(np.asarray(some.column(0)), np.round(matrix @ unit_rows(list_rows(some.column(1))).T, DIGITS))
         found = best.rows()
         if found is not None:
             yield found
@@ -81,139 +70,6 @@ def _scan(corpus: DataFrame, batch: list, k: int) -> DataFrame:
     return corpus.mapInArrow(scan, schema)
 
 
-def _by_cells(corpus: DataFrame, queries: DataFrame, k: int, pivots: int = PIVOTS, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Exact top-k for many queries: an equi-join on cells around pivot vectors.
-
-    First each query is answered in its own cell, which bounds the distance of its k-th
-    neighbour. By the triangle inequality only cells that reach inside that bound are then
-    looked at. Large cells are salted on both sides, so no group outgrows `group_rows`.
-    """
-    picked = corpus.orderBy(F.md5(F.col("id").cast("string"))).limit(pivots).collect()
-    centres = _unit([r["vector"] for r in picked])
-
-    def distances(vectors: np.ndarray) -> np.ndarray:
-        return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (_unit(vectors) @ centres.T)))
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            if part.num_rows:
-                d = distances(_rows(part, 1))
-                cell = d.argmin(axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1).cast(pa.list_(pa.float32())),
-                     pa.array(cell.astype(np.int32)), pa.array(d.min(axis=1))],
-                    names=["id", "vector", "cell", "reach"],
-                )
-
-    placed = materialize(
-        corpus.mapInArrow(assign, "id long, vector array<float>, cell int, reach double"), "cells"
-    )
-    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("radius")).collect()
-    radius = np.full(len(centres), -np.inf)
-    salts = np.ones(len(centres), dtype=int)
-    for row in cells:  # one entry per pivot
-        radius[row["cell"]] = row["radius"]
-        salts[row["cell"]] = -(-row["n"] // group_rows)
-
-    def visit(own: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                if frame.empty:
-                    continue
-                d = distances(np.stack(frame["vector"].to_numpy()))
-                nearest = d.argmin(axis=1)
-                mine = np.zeros_like(d, dtype=bool)
-                mine[np.arange(len(frame)), nearest] = True
-                if own:
-                    wanted = mine
-                else:
-                    bound = frame["bound"].fillna(np.inf).to_numpy()[:, None]
-                    wanted = ~mine & (d - radius[None, :] <= bound + 1e-6)
-                q, c = np.nonzero(wanted & np.isfinite(radius)[None, :])
-                repeats = salts[c]
-                q, c = np.repeat(q, repeats), np.repeat(c, repeats)
-                salt = np.concatenate([np.arange(r) for r in repeats]) if len(repeats) else np.array([], dtype=int)
-                yield pd.DataFrame({
-                    "query_id": frame["query_id"].to_numpy()[q],
-                    "vector": frame["vector"].to_numpy()[q],
-                    "cell": c.astype(np.int32), "salt": salt.astype(np.int32),
-                })
-        return run
-
-    def search(queries_in: pd.DataFrame, corpus_in: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "id": [], "score": []}
-        if len(queries_in) and len(corpus_in):
-            known = _unit(np.stack(corpus_in["vector"].to_numpy()))
-            ids = corpus_in["id"].to_numpy()
-            for start in range(0, len(queries_in), 256):
-                block = queries_in.iloc[start:start + 256]
-                scores = np.round(_unit(np.stack(block["vector"].to_numpy())) @ known.T, DIGITS)
-                best_ids, best = keep_best(np.broadcast_to(ids, scores.shape), scores, k)
-                out["query_id"].append(np.repeat(block["query_id"].to_numpy(), best.shape[1]))
-                out["id"].append(best_ids.ravel())
-                out["score"].append(best.ravel())
-        return pd.DataFrame({
-            c: np.concatenate(v) if v else np.array([], dtype=float if c == "score" else np.int64) for c, v in out.items()
-        })
-
-    # Salted corpus: the salt count of a cell is a number per pivot, looked up as a literal array.
-    salt_counts = F.array(*[F.lit(int(s)) for s in salts])
-    salted = placed.withColumn("salt", F.pmod(F.xxhash64("id"), F.get(salt_counts, F.col("cell"))).cast("int"))
-
-    def answer(visits: DataFrame, name: str) -> DataFrame:
-        visits = materialize(visits, name)
-        # Queries of a crowded cell are split as well; the corpus part is repeated per split.
-        splits = visits.groupBy("cell", "salt").agg(F.ceil(F.count(F.lit(1)) / group_rows).cast("int").alias("parts"))
-        left = visits.join(splits, ["cell", "salt"]).withColumn("part", F.pmod(F.xxhash64("query_id"), "parts").cast("int"))
-        copies = splits.select(*[F.col(c).alias(c) for c in ("cell", "salt")], F.col("parts").alias("copies"))
-        right = salted.join(copies, ["cell", "salt"]).withColumn(
-            "part", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))
-        )
-        key = ["cell", "salt", "part"]
-        return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(search, "query_id long, id long, score double")
-
-    visit_schema = "query_id long, vector array<float>, cell int, salt int"
-    near = materialize(answer(queries.mapInPandas(visit(True), visit_schema), "visits-own"), "near")
-    kept = top_per_key(near, ["query_id"], [F.col("score").desc(), F.col("id")], k)
-    kth = kept.groupBy("query_id").agg(F.min("score").alias("s"), F.count(F.lit(1)).alias("n"))
-    distance = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("s")))
-    bounds = kth.select("query_id", F.when(F.col("n") >= k, distance).alias("bound"))
-    bounded = queries.join(bounds, "query_id", "left").select("query_id", "vector", "bound")
-    far = answer(bounded.mapInPandas(visit(False), visit_schema), "visits-other")
-    return near.unionByName(far)
-
-
-def lsh_top_k(
-    corpus: DataFrame, queries: DataFrame, k: int = 5, bucket: float = 0.8, tables: int = 8, seed: int = 42
-) -> DataFrame:
-    """Approximate top-k by random projections: equi-join on hash buckets, then true cosine.
-
-    A pair that meets in several tables is kept in the first one only, so no distinct over pairs.
-    """
-    def unit(df: DataFrame, key: str) -> DataFrame:
-        vectors = df.where("vector IS NOT NULL").select(key, array_to_vector("vector").alias("_raw"))
-        return Normalizer(inputCol="_raw", outputCol="_v").transform(vectors).drop("_raw")
-
-    model = BucketedRandomProjectionLSH(
-        inputCol="_v", outputCol="_hashes", bucketLength=bucket, numHashTables=tables, seed=seed
-    ).fit(unit(corpus, "id"))
-
-    def hashed(df: DataFrame, key: str, codes: str, vector: str) -> DataFrame:
-        rows = model.transform(unit(df, key))
-        coded = rows.select(
-            key, vector_to_array("_v").alias(vector), F.transform("_hashes", lambda h: F.xxhash64(h)).alias(codes)
-        )
-        return nested.one_row_each(coded, codes, "code", "table")
-
-    pairs = hashed(queries, "query_id", "_q", "_qv").join(hashed(corpus, "id", "_c", "_cv"), ["table", "code"])
-    met_before = F.exists(
-        F.slice(F.zip_with("_q", "_c", lambda a, b: a == b), F.lit(1), F.col("table")), lambda hit: hit
-    )
-    dot = F.aggregate(F.zip_with("_qv", "_cv", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    scored = pairs.where(~met_before).select("query_id", "id", F.round(dot, DIGITS).alias("score"))
-    return top_per_key(scored, ["query_id"], [F.col("score").desc(), F.col("id")], k)
-
-
 def refresh_index(
     index: DataFrame | None, before: DataFrame | None, after: DataFrame, key: str,
     embed: Callable[[DataFrame], DataFrame],

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.operators import lexical, vectors
+from tidewheel.operators import lexical, vector_index, vectors
 from tidewheel.plans import inputs
 from tidewheel.plans.catalogue import query
 
@@ -57,13 +57,47 @@ def knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("knn_cells", f"WITH {nearest_sql(5)} SELECT * FROM knn")
 def knn_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same search by the cell join, the way taken for more queries than fit one batch."""
+    """The same search through balls, the way taken for more queries than fit one batch."""
     return vectors.top_k_similar(corpus_vectors(spark, sf_dir), query_vectors(spark, sf_dir), 5, query_batch=0)
 
 
+def approximate(spark: SparkSession, sf_dir: str, k: int) -> tuple[DataFrame, DataFrame]:
+    index = vector_index.build(corpus_vectors(spark, sf_dir), parts=vector_index.PARTS)
+    return vector_index.approximate_top_k(index, query_vectors(spark, sf_dir), k)
+
+
 @query("knn_lsh")
 def knn_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.lsh_top_k(corpus_vectors(spark, sf_dir), query_vectors(spark, sf_dir), 5)
+    """The approximate search: an inverted file with coded residuals."""
+    return approximate(spark, sf_dir, 5)[0]
+
+
+KNOWN_QUERIES = "(SELECT count(*) FROM benchmark JOIN embeddings ON vec_id = item_id)"
+
+
+@query("knn_lsh_quality", f"SELECT {KNOWN_QUERIES} AS queries, true AS recall_at_least_90, true AS candidates_below_10")
+def knn_lsh_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the approximate search finds 90 % of the exact five, scoring less than 10 % of all pairs."""
+    near, effort = approximate(spark, sf_dir, 5)
+    exact = knn_cosine(spark, sf_dir)
+    hits = exact.join(near.select("query_id", "id", F.lit(1).alias("hit")), ["query_id", "id"], "left")
+    missing = F.lit(None).cast("double")
+    recall = hits.agg((F.count("hit") / F.count(F.lit(1))).alias("recall")).select(
+        F.lit(None).cast("long").alias("queries"), "recall", missing.alias("share")
+    )
+    share = effort.agg(F.count(F.lit(1)).alias("queries"), (F.sum("candidates") / F.sum("vectors")).alias("share"))
+    both = recall.unionByName(share.withColumn("recall", missing)).agg(F.max("queries"), F.max("recall"), F.max("share"))
+    return both.toDF("queries", "recall", "share").select(
+        "queries", (F.col("recall") >= 0.9).alias("recall_at_least_90"), (F.col("share") < 0.1).alias("candidates_below_10")
+    )
+
+
+@query("knn_cells_visits")
+def knn_cells_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many balls and vectors the exact search looked at for each query."""
+    index = vector_index.build(corpus_vectors(spark, sf_dir))
+    effort = vector_index.exact_top_k(index, query_vectors(spark, sf_dir), 5)[1]
+    return effort.withColumn("share", F.round(F.col("compared") / F.col("vectors"), 6))
 
 
 TOKEN = r"[\p{L}\p{N}]+"
