@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,7 @@ from pyspark.sql.types import IntegralType
 from tidewheel.functions import nested, text
 from tidewheel.operators.ranking import top_per_key
 from tidewheel.operators.topk import Best
+from tidewheel.session import materialize
 
 # BM25 and fusion constants, column weights of the re-ranker.
 K1 = 1.2
@@ -21,8 +23,10 @@ B = 0.75
 FUSION_OFFSET = 60
 COLUMN_WEIGHTS = {"text": 0.6, "title": 0.3, "summary": 0.1}
 DIGITS = 6
-SCAN_TERMS = 20_000  # (query, term) pairs that may travel inside a task closure
-BLOCK_CELLS = 4_000_000  # document × term cells worked on at a time
+SCAN_TERMS = 20_000  # (query, term) pairs that travel with one scan of the index
+BLOCK_CELLS = 4_000_000  # query × document scores worked on at a time
+SHARD_DOCS = 4096  # documents of one piece of the index
+BLOCK = 64  # postings of one block
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -40,18 +44,34 @@ def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
 def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, scan_terms: int = SCAN_TERMS) -> DataFrame:
     """Top-k documents per query: (query_id, id, score, rank). Inputs (id, text), (query_id, text).
 
-    Queries of up to `scan_terms` (query, term) pairs ride along to one scan of the documents;
-    more are joined on the term. Both ways count a null text as a document but leave it out of the
-    mean length, as SQL's avg does, and give whole-number ids back as long; other ids are always joined.
+    Documents are inverted where they lie, in pieces of bounded size (see `postings`), and searched there for
+    blocks of queries of up to `scan_terms` (query, term) pairs; each piece hands on its k best, so no
+    pair of a query and a document is shuffled, however common a term is. More pairs than `scan_terms`
+    only mean more blocks over an index that is written once. Scores that round to 0 are no match. A null text
+    counts as a document but not in the mean length, as SQL's avg does. Whole-number ids come back as
+    long; other ids are matched by a join on terms, by the same rules.
     """
-    if not all(isinstance(df.schema[c].dataType, IntegralType) for df, c in ((docs, "id"), (queries, "query_id"))):
-        return _ranked(_by_terms(docs, query_terms(queries)), k)
-    docs = docs.withColumn("id", F.col("id").cast("long"))
-    queries = queries.withColumn("query_id", F.col("query_id").cast("long"))
-    head = query_terms(queries).limit(scan_terms + 1).collect()
-    wanted = [(r["query_id"], r["term"]) for r in head]
-    found = _scan(docs, wanted, k) if len(wanted) <= scan_terms else _by_terms(docs, query_terms(queries))
-    return _ranked(found, k)
+    whole_numbers = all(isinstance(df.schema[c].dataType, IntegralType) for df, c in ((docs, "id"), (queries, "query_id")))
+    if whole_numbers:
+        docs = docs.withColumn("id", F.col("id").cast("long"))
+        queries = queries.withColumn("query_id", F.col("query_id").cast("long"))
+    wanted = query_terms(queries)
+    if scan_terms <= 0 or not whole_numbers:
+        return _ranked(_by_terms(docs, wanted), k)
+    tokens = docs.select("id", text.terms(F.col("text")).alias("terms"))
+    index, found = tokens.mapInArrow(postings, POSTINGS), None
+    blocks = _query_blocks(wanted, scan_terms)
+    first, second = next(blocks, None), next(blocks, None)
+    if second is not None:
+        index = materialize(index, "lexical")
+    for block in itertools.chain([b for b in (first, second) if b is not None], blocks):
+        part = _search(index, block, k)
+        found = part if found is None else found.unionByName(part)
+    return _ranked(found, k) if found is not None else _nothing(docs)
+
+
+def _nothing(docs: DataFrame) -> DataFrame:
+    return docs.sparkSession.createDataFrame([], "query_id long, id long, score double, rank int")
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -70,75 +90,165 @@ def _by_terms(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     norm = K1 * (1 - B + B * F.col("length") / F.lit(size["mean"]))
     part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
     scored = counts.join(weights, "term").groupBy("query_id", "id")
-    return scored.agg(F.round(F.sum(part), DIGITS).alias("score"))
+    return scored.agg(F.round(F.sum(part), DIGITS).alias("score")).where("score > 0")
 
 
-def _scan(docs: DataFrame, wanted: list[tuple], k: int) -> DataFrame:
-    """Two passes over the documents and no shuffle of matches.
+POSTINGS = (
+    "ids array<long>, lengths array<int>, terms array<string>, df array<int>, docs array<int>, tfs array<int>, "
+    "sizes array<int>, top_tf array<int>, least_length array<int>"
+)
 
-    The first counts in how many documents each query term occurs; the second scores every
-    document against all queries where it lies and reports the best k per task.
-    """
-    schema = "query_id long, id long, score double"
-    if not wanted:
-        return docs.sparkSession.createDataFrame([], schema)
-    vocabulary = sorted({term for _, term in wanted})
-    block = max(1, BLOCK_CELLS // len(vocabulary))
-    tokens = docs.select("id", text.terms(F.col("text")).alias("terms"))
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Ids, lengths and the document × term counts of a few documents at a time."""
-        known = pa.array(vocabulary)
-        for batch in batches:
-            for start in range(0, batch.num_rows, block):
-                part = batch.slice(start, block)
-                words = part.column(1)
-                lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
-                term = pc.index_in(words.flatten(), known)
-                hit = pc.is_valid(term).to_numpy(zero_copy_only=False)
-                document = np.repeat(np.arange(part.num_rows), lengths)[hit]
-                counts = np.zeros((part.num_rows, len(vocabulary)))
-                np.add.at(counts, (document, term.drop_null().to_numpy()), 1.0)
-                yield np.asarray(part.column(0)), lengths, counts
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros(len(vocabulary) + 3, dtype=np.int64)
-        for given, lengths, counts in blocks(counted(batches)):
-            totals[:-3] += (counts > 0).sum(axis=0)
-            totals[-3:] += [len(lengths), lengths.sum(), given.sum()]
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(totals))), pa.array(totals)], names=["slot", "total"])
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The batches with whether a text is given in place of its id."""
-        for batch in batches:
-            given = pc.cast(pc.is_valid(batch.column(1)), pa.int64())
-            yield pa.RecordBatch.from_arrays([given, batch.column(1)], names=["id", "terms"])
 
-    summed = tokens.mapInArrow(count, "slot long, total long").groupBy("slot").agg(F.sum("total").alias("total"))
-    totals = np.zeros(len(vocabulary) + 3)
-    for row in summed.collect():  # one row per query term, and three for the corpus
-        totals[row["slot"]] = row["total"]
-    df, n, mean = totals[:-3], totals[-3], totals[-2] / max(totals[-1], 1)
+def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, terms) rows as an inverted index, a row for each piece of at most SHARD_DOCS documents.
 
+    A row holds the documents' ids and lengths (-1: no text), the terms with their document counts and, end to
+    end, each term's postings in document order. They lie in blocks of BLOCK; a block's size, largest
+    frequency and least length bound any score it can give.
+    """
+    held, size = [], 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, SHARD_DOCS):
+            part = batch.slice(at, SHARD_DOCS)
+            if held and size + part.num_rows > SHARD_DOCS:
+                yield _inverted(pa.Table.from_batches(held))
+                held, size = [], 0
+            held.append(part)
+            size += part.num_rows
+    if size:
+        yield _inverted(pa.Table.from_batches(held))
+
+
+def _inverted(piece: pa.Table) -> pa.RecordBatch:
+    ids, words = (piece.column(i).combine_chunks() for i in range(2))
+    given = pc.list_value_length(words)
+    lengths = pc.fill_null(given, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = words.flatten().dictionary_encode()
+    code = np.asarray(coded.indices, dtype=np.int64)
+    key, tf = np.unique(code * len(lengths) + np.repeat(np.arange(len(lengths)), lengths), return_counts=True)
+    term, doc = key // len(lengths), key % len(lengths)
+    starts = np.flatnonzero(np.diff(term, prepend=-1))
+    df = np.diff(np.append(starts, len(term)))
+    block = np.flatnonzero((np.arange(len(term)) - np.repeat(starts, df)) % BLOCK == 0)
+    whole = {
+        "ids": ids, "lengths": pc.fill_null(given, -1), "terms": coded.dictionary.take(pa.array(term[starts])), "df": df,
+        "docs": doc, "tfs": tf, "sizes": np.diff(np.append(block, len(term))),
+        "top_tf": np.maximum.reduceat(tf, block) if len(block) else block,
+        "least_length": np.minimum.reduceat(lengths[doc], block) if len(block) else block,
+    }
+    one_row = lambda v: pa.ListArray.from_arrays(
+        pa.array([0, len(v)], pa.int32()), pa.array(v, pa.int32()) if isinstance(v, np.ndarray) else v
+    )
+    return pa.RecordBatch.from_arrays([one_row(v) for v in whole.values()], names=list(whole))
+
+
+def _query_blocks(wanted: DataFrame, most: int) -> Iterator[list[tuple[int, str]]]:
+    """(query, term) pairs in blocks of at most `most`, whole queries unless one alone is larger."""
+    block: list[tuple[int, str]] = []
+    rows = wanted.orderBy("query_id", "term").toLocalIterator()
+    for query, pairs in itertools.groupby(((r["query_id"], r["term"]) for r in rows), key=lambda r: r[0]):
+        pairs = list(pairs)
+        if block and len(block) + len(pairs) > most:
+            yield block
+            block = []
+        block += pairs
+    if block:
+        yield block
+
+
+def _search(index: DataFrame, wanted: list[tuple[int, str]], k: int) -> DataFrame:
+    """(query_id, id, score): the k best of each task's pieces for one block of queries."""
+    spark = index.sparkSession
+    named = spark.createDataFrame([(t,) for t in sorted({term for _, term in wanted})], "term string")
+    given = F.filter("lengths", lambda x: x >= 0)
+    total = F.aggregate(given, F.lit(0).cast("long"), lambda a, x: a + x)
+    corpus = F.struct(F.lit(None).cast("string").alias("term"), F.size("ids").alias("n"), F.size(given).alias("texts"), total.alias("total"))
+    listed = F.transform(F.arrays_zip("terms", "df"), lambda x: F.struct(
+        x["terms"].alias("term"), x["df"].alias("n"), F.lit(0).alias("texts"), F.lit(0).cast("long").alias("total")
+    ))
+    rows = index.select(F.explode(F.concat(F.array(corpus), listed)).alias("row")).select("row.*")
+    asked_for = rows.join(F.broadcast(named.withColumn("asked", F.lit(True))), "term", "left").where("asked or term is null")
+    counted = asked_for.groupBy("term").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"), F.sum("total").alias("total"))
+    df = {r["term"]: r for r in counted.collect()}  # a row for each term of the block
+    sums = df.pop(None, None)
+    if sums is None:
+        return spark.createDataFrame([], "query_id long, id long, score double")
+    n, mean = sums["n"], max(sums["total"] / max(1, sums["texts"]), 1e-9)
     query_ids = np.array(sorted({q for q, _ in wanted}))
-    rows = np.searchsorted(query_ids, [q for q, _ in wanted])
-    place = {term: i for i, term in enumerate(vocabulary)}
-    cols = np.array([place[t] for _, t in wanted])
-    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+    place = {int(q): i for i, q in enumerate(query_ids)}
+    asked: dict[str, list[int]] = {}
+    for q, t in wanted:
+        if t in df:
+            asked.setdefault(t, []).append(place[q])
+    idf = {t: float(np.log(1 + (n - r["n"] + 0.5) / (r["n"] + 0.5))) for t, r in df.items()}
+    shared = spark.sparkContext.broadcast((query_ids, asked, idf))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = np.zeros((len(query_ids), len(vocabulary)))
-        weights[rows, cols] = idf[cols]
-        best = Best(query_ids, k)
-        for ids, lengths, tf in blocks(batches):
-            norm = K1 * (1 - B + B * lengths / max(mean, 1e-9))
-            scores = np.round(weights @ (tf * (K1 + 1) / (tf + norm[:, None])).T, DIGITS)
-            best.add(ids, np.where(scores > 0, scores, -np.inf))
+        ids, terms, weights = shared.value
+        best = Best(ids, k)
+        least = np.full(len(ids), -np.inf)
+        for batch in batches:
+            for i in range(len(batch)):
+                piece = {c: batch.column(j)[i].values for j, c in enumerate(batch.schema.names)}
+                least = _score(piece, ids, terms, weights, mean, best, least)
         found = best.rows()
         if found is not None:
             yield found
 
-    return tokens.mapInArrow(scan, schema)
+    return index.mapInArrow(scan, "query_id long, id long, score double")
+
+
+def _score(piece: dict, query_ids, asked, idf, mean: float, best: Best, least: np.ndarray) -> np.ndarray:
+    """Add a piece's scores to the best; returns each query's k-th score so far.
+
+    Lists come in falling order of weight. What the lists to come can still add bounds a document: a block is
+    passed over for the queries none of whose documents in it can reach the k-th best score.
+    """
+    ids = np.asarray(piece["ids"])
+    norm = K1 * (1 - B + B * np.maximum(np.asarray(piece["lengths"], dtype=np.float64), 0) / mean)
+    df, all_docs, all_tfs, all_sizes, top, short = (
+        np.asarray(piece[c], dtype=np.int64) for c in ("df", "docs", "tfs", "sizes", "top_tf", "least_length")
+    )
+    at_doc, at_block = np.append(0, np.cumsum(df)), np.append(0, np.cumsum(-(-df // BLOCK)))
+    bounds = top * (K1 + 1) / (top + K1 * (1 - B + B * short / mean))
+    names = list(asked)
+    lists = []
+    for term, i in zip(names, pc.index_in(pa.array(names, pa.string()), piece["terms"]).to_pylist()):
+        if i is not None:
+            docs, blocks = slice(at_doc[i], at_doc[i + 1]), slice(at_block[i], at_block[i + 1])
+            lists.append((idf[term], term, all_docs[docs], all_tfs[docs], all_sizes[blocks], bounds[blocks]))
+    lists.sort(key=lambda x: (-x[0], x[1]))
+    step = max(1, BLOCK_CELLS // max(1, len(ids)))
+    for at in range(0, len(query_ids), step):
+        some = np.arange(at, min(at + step, len(query_ids)))
+        scores = np.zeros((len(some), len(ids)))
+        ahead = np.zeros(len(some))  # what lists not yet read can add to a query's documents
+        mine = []
+        for weight, term, docs, tfs, sizes, bound in lists:
+            q = np.array([p - at for p in asked[term] if at <= p < at + len(some)], np.int64)
+            if len(q):
+                mine.append((weight, q, docs, tfs, sizes, bound))
+                ahead[q] += weight * bound.max()
+        for weight, q, docs, tfs, sizes, bound in mine:
+            ahead[q] -= weight * bound.max()
+            stops = np.cumsum(sizes)
+            for begin, stop, most in zip((stops - sizes).tolist(), stops.tolist(), bound.tolist()):
+                d = docs[begin:stop]
+                held = scores[np.ix_(q, d)]
+                alive = held.max(axis=1) + weight * most + ahead[q] + 10.0**-DIGITS >= least[some[q]]
+                if alive.any():
+                    part = weight * (tfs[begin:stop] * (K1 + 1) / (tfs[begin:stop] + norm[d]))
+                    scores[np.ix_(q[alive], d)] = held[alive] + part
+        scores = np.round(scores, DIGITS)
+        whole = np.full((len(query_ids), len(ids)), -np.inf) if step < len(query_ids) else None
+        found = np.where(scores > 0, scores, -np.inf)
+        if whole is not None:
+            whole[some] = found
+            found = whole
+        best.add(ids, found)
+    if best.scores is not None and best.scores.shape[1] >= best.k:
+        return np.where(np.isfinite(best.scores[:, -1]), best.scores[:, -1], -np.inf)
+    return least
 
 
 def fuse(first: DataFrame, second: DataFrame, k: int = 10) -> DataFrame:
