@@ -31,7 +31,7 @@ def test_positions_of_a_hot_key(spark, order):
     rows = spark.range(6000).select(
         F.when(F.col("id") % 6 == 0, "cold").otherwise("hot").alias("k"), F.col("id").alias("t")
     ).select("k", F.expr(order).cast("long").alias("o"), F.col("t").alias("tie"))
-    ranked = ranking.positions_by_key(rows, ["k"], "o", "tie", previous="before", hot_rows=500, cuts=16)
+    ranked = ranking.positions_by_key(rows, ["k"], "o", "tie", previous="before")
     whole = Window.partitionBy("k").orderBy("o", "tie")
     expected = rows.withColumns({"position": F.row_number().over(whole).cast("long"), "before": F.lag("o").over(whole)})
     columns = ["k", "o", "tie", "position", "before"]
@@ -204,8 +204,7 @@ def test_scores_written_back_by_key(spark):
 def test_history_breaks_ties_by_id(spark):
     t = datetime(2024, 1, 1)
     rows = spark.createDataFrame([(2, "s", '{"role": "assistant", "content": "b"}', t), (1, "s", '{"role": "user", "content": "a"}', t)], "id long, session_id string, message_data string, created_at timestamp_ntz")
-    for hot in (1_000_000, 1):
-        assert [(r.position, r.content) for r in sessions.history(rows, hot_rows=hot).orderBy("position").collect()] == [(1, "a"), (2, "b")]
+    assert [(r.position, r.content) for r in sessions.history(rows).orderBy("position").collect()] == [(1, "a"), (2, "b")]
     assert sessions.history(rows, "other").count() == 0
     assert [r.content for r in sessions.last_messages(rows, 1).collect()] == ["b"]
 

@@ -1,19 +1,27 @@
-"""Dense positions over a whole table, and per-key positions that survive hot keys.
+"""Dense positions over a whole table, and running values per key that survive hot keys.
 
-A plain row_number puts every row of its partition into one task. Here rows are first cut into
-buckets in sort order; buckets are counted with map-side partials, the small count table gives
-each bucket its offset, and row_number runs inside a bucket only.
+A plain row_number puts every row of its partition into one task. Over a whole table rows are first cut into
+buckets in hash order; buckets are counted with map-side partials, the small count table gives
+each bucket its offset, and row_number runs inside a bucket only. Per key, rows are cut by ranges of
+(key, order), see `running_by_key`.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidewheel.session import materialize
+
 HASH_DIGITS = 4  # 65,536 buckets of equal size
-HOT_ROWS = 1_000_000
 
 
 def positions_by_hash(df: DataFrame, key: Column, out: str = "position") -> DataFrame:
@@ -28,77 +36,98 @@ def positions_by_hash(df: DataFrame, key: Column, out: str = "position") -> Data
     return placed.drop("_h", "_b", "_o")
 
 
-def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
+def running_by_key(
+    df: DataFrame, keys: list[str], order: list[str], weights: dict[str, str] | None = None, place: str | None = None,
+    previous: str | None = None,
+) -> DataFrame:
+    """Running values of each row inside its key, in the order of `order` (nulls first).
+
+    `weights` names a new column for each whole-number column to be summed over the rows before; `place`
+    receives the number of rows before, and `previous` the value of order[0] in the row before. Null
+    keys are a key, null weights count 0, and rows equal in every order column come in any order.
+
+    One range-partitioned sort by keys, order and row numbers the rows of each partition, whatever the sizes of the
+    keys are: a key of any size is cut at partition boundaries. What a partition's first key
+    had before it follows from one row a partition.
+    """
+    weights = dict(weights or {})
+    columns, first_order = df.columns, df.schema[order[0]].dataType
+    rows = df.withColumn("_one", F.lit(1).cast("long")).withColumn("_tie", F.monotonically_increasing_id())
+    sums = {f"_sum{i}": c for i, c in enumerate(["_one", *weights.values()])}
+    by = [F.col(c).asc_nulls_first() for c in [*keys, *order, "_tie"]]
+    added = T.StructType([
+        T.StructField("_part", T.IntegerType()), T.StructField("_run", T.LongType()), T.StructField("_before", first_order),
+        *[T.StructField(c, T.LongType()) for c in sums],
+    ])
+    schema = T.StructType([*rows.schema.fields, *added.fields])
+    given, names = rows.columns, schema.names
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, key, runs, before = TaskContext.get().partitionId(), None, -1, None
+        carry = dict.fromkeys(sums, 0)
+        for batch in batches:
+            n = len(batch)
+            if not n:
+                continue
+            named = {c: batch.column(i) for i, c in enumerate(given)}
+            new = np.zeros(n, bool)
+            for c in keys:
+                code = np.asarray(pc.dictionary_encode(named[c], null_encoding="encode").indices)
+                new[1:] |= code[1:] != code[:-1]
+            new[0] = runs < 0 or key != [str(named[c][0].as_py()) + str(named[c][0].is_valid) for c in keys]
+            run = np.cumsum(new) + runs
+            start = np.maximum.accumulate(np.where(new, np.arange(n), -1))
+            out = [*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(run)]
+            value = named[order[0]]
+            shifted = pa.concat_arrays([pa.array([before], value.type), value.slice(0, n - 1)])
+            out.append(pc.if_else(pa.array(new), pa.nulls(n, value.type), shifted))
+            for c, weight in sums.items():
+                w = np.asarray(pc.fill_null(named[weight].cast(pa.int64()), 0))
+                total = np.cumsum(w) - w
+                running = np.where(start >= 0, total - total[np.maximum(start, 0)], total + carry[c])
+                carry[c] = int(running[-1] + w[-1])
+                out.append(pa.array(running))
+            key = [str(named[c][n - 1].as_py()) + str(named[c][n - 1].is_valid) for c in keys]
+            runs, before = int(run[-1]), value[n - 1].as_py()
+            yield pa.RecordBatch.from_arrays(out, names=names)
+
+    ranged = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    numbered = materialize(ranged.mapInArrow(number, schema), "running")
+    own = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)], F.lit(0))
+    at = F.struct("_run", "_sum0")
+    ends = numbered.groupBy("_part").agg(
+        F.min_by(own, at).alias("first"), F.max_by(own, at).alias("last"), F.max("_run").alias("runs"),
+        F.max_by(order[0], at).alias("value"),
+        *[F.max_by(F.col(c) + F.coalesce(F.col(w), F.lit(0)), at).alias(c) for c, w in sums.items()],
+    )
+    offsets, last, held, value = [], None, [0] * len(sums), None
+    for r in sorted(ends.collect(), key=lambda r: r["_part"]):  # a row for each partition
+        goes_on = last is not None and str(r["first"]) == str(last)
+        offset = held if goes_on else [0] * len(sums)
+        offsets.append((r["_part"], value if goes_on else None, *offset))
+        held = [r[c] + (o if r["runs"] == 0 else 0) for c, o in zip(sums, offset)]
+        last, value = r["last"], r["value"]
+    shift = T.StructType([
+        T.StructField("_part", T.IntegerType()), T.StructField("_earlier", first_order),
+        *[T.StructField(f"_off{c}", T.LongType()) for c in sums],
+    ])
+    joined = numbered.join(F.broadcast(df.sparkSession.createDataFrame(offsets, shift)), "_part")
+    whole = {c: F.col(c) + F.when(F.col("_run") == 0, F.col(f"_off{c}")).otherwise(0) for c in sums}
+    out = dict(zip([*([place] if place else []), *weights], [whole[c] for c in list(sums)[0 if place else 1 :]]))
+    if previous:
+        out[previous] = F.when((F.col("_run") == 0) & (F.col("_sum0") == 0), F.col("_earlier")).otherwise(F.col("_before"))
+    return joined.select(*columns, *[v.alias(name) for name, v in out.items()])
 
 
 def positions_by_key(
-    df: DataFrame, keys: list[str], order: str, tie: str, out: str = "position",
-    previous: str | None = None, hot_rows: int = HOT_ROWS, cuts: int = 1024,
+    df: DataFrame, keys: list[str], order: str, tie: str, out: str = "position", previous: str | None = None
 ) -> DataFrame:
-    """Position 1.. of each row inside its key by (order, tie), both numeric or times.
+    """Position 1.. of each row inside its key by (order, tie), nulls first; keys of any size.
 
-    `previous` names a column that receives the order value of the row before it. When no key
-    has more than `hot_rows` rows this is one ordinary window. Otherwise rows of hot keys are
-    cut at approximate quantiles of (order, tie) and numbered per cut. Rows equal in `order`
-    share a cut only when they are few: a value that fills whole cuts is split further by `tie`.
+    `previous` names a column that receives the order value of the row before it.
     """
-    hot = _hot_keys(df, keys, hot_rows)
-    if hot.isEmpty():
-        whole = Window.partitionBy(*keys).orderBy(order, tie)
-        ranked = df.withColumn(out, F.row_number().over(whole).cast("long"))
-        return ranked.withColumn(previous, F.lag(order).over(whole)) if previous else ranked
-
-    steps = [i / cuts for i in range(1, cuts)]
-
-    def cut(frame: DataFrame, by: list[str], column: str, label: str, groups: DataFrame) -> DataFrame:
-        value = F.col(column)
-        number = value
-        if isinstance(frame.schema[column].dataType, (T.TimestampType, T.TimestampNTZType)):
-            number = F.unix_micros(value.cast("timestamp"))
-        edges = (
-            frame.join(groups, by, "left_semi")
-            .groupBy(*by)
-            .agg(F.array_distinct(F.percentile_approx(number, steps, 100_000)).alias("_edges"))
-        )
-        joined = frame.join(edges, by, "left")
-        below = F.coalesce(F.size(F.filter("_edges", lambda e: e < number)), F.lit(0))
-        return joined.withColumn(label, F.when(F.col("_edges").isNull(), 0).otherwise(below)).drop("_edges")
-
-    first = cut(df, keys, order, "_c1", hot)
-    dense = _hot_keys(first, [*keys, "_c1", order], max(hot_rows // 4, 1))
-    # Within one cut, only a single order value can still be dense: give it a cut of its own.
-    split = first.join(dense.withColumn("_d", F.lit(1)), [*keys, "_c1", order], "left")
-    split = split.withColumn("_v", F.when(F.col("_d") == 1, F.col(order))).drop("_d")
-    fine = cut(split, [*keys, "_c1", order], tie, "_c3", dense.select(*keys, "_c1", order))
-    # Order of the parts of a cut: rows before the dense value, the dense value, rows after it.
-    dense_value = dense.groupBy(*keys, "_c1").agg(F.array_sort(F.collect_set(order)).alias("_dv"))
-    fine = fine.join(dense_value, [*keys, "_c1"], "left")
-    below = F.coalesce(F.size(F.filter("_dv", lambda d: d < F.col(order))), F.lit(0))
-    fine = fine.withColumn(
-        "_c2",
-        F.when(F.col("_dv").isNull(), 0).otherwise(
-            below * 2 + F.when(F.col("_v").isNotNull(), 1).otherwise(0)
-        ),
-    ).drop("_dv", "_v")
-    part = [*keys, "_c1", "_c2", "_c3"]
-    sizes = fine.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"), F.max(order).alias("_last"))
-    earlier = Window.partitionBy(*keys).orderBy("_c1", "_c2", "_c3")
-    offsets = sizes.select(
-        *part,
-        F.coalesce(F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"),
-        F.lag("_last").over(earlier).alias("_before"),
-    )
-    inside = Window.partitionBy(*part).orderBy(order, tie)
-    same = F.lit(True)
-    for column in part:  # null keys are keys too
-        same = same & F.col(f"f.{column}").eqNullSafe(F.col(f"o.{column}"))
-    joined = fine.alias("f").join(offsets.alias("o"), same).select("f.*", "_o", "_before")
-    ranked = joined.withColumn(out, (F.col("_o") + F.row_number().over(inside)).cast("long"))
-    if previous:
-        first = F.row_number().over(inside) == 1
-        ranked = ranked.withColumn(previous, F.when(first, F.col("_before")).otherwise(F.lag(order).over(inside)))
-    return ranked.drop("_c1", "_c2", "_c3", "_o", "_before")
+    placed = running_by_key(df, keys, [order, tie], place=out, previous=previous)
+    return placed.withColumn(out, F.col(out) + 1)
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int, out: str = "rank") -> DataFrame:

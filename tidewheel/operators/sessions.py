@@ -21,10 +21,10 @@ def read_messages(log: DataFrame) -> DataFrame:
     return log.select("id", "session_id", "created_at", message["role"].alias("role"), message["content"].alias("content"))
 
 
-def history(log: DataFrame, session_id: str | None = None, hot_rows: int = ranking.HOT_ROWS) -> DataFrame:
+def history(log: DataFrame, session_id: str | None = None) -> DataFrame:
     """Messages with their place in the session, by time and then id; one session when given."""
     rows = log if session_id is None else log.where(F.col("session_id") == session_id)
-    return ranking.positions_by_key(read_messages(rows), ["session_id"], "created_at", "id", "position", hot_rows=hot_rows)
+    return ranking.positions_by_key(read_messages(rows), ["session_id"], "created_at", "id", "position")
 
 
 def last_messages(log: DataFrame, n: int) -> DataFrame:
@@ -56,13 +56,11 @@ def turns_to_save(request_items: DataFrame, output_items: DataFrame) -> DataFram
     return request_items.unionByName(output_items)
 
 
-def rebuild(traces: DataFrame, hot_rows: int = ranking.HOT_ROWS) -> DataFrame:
+def rebuild(traces: DataFrame) -> DataFrame:
     """Traces with turn number in their session and seconds since the turn before."""
-    placed = ranking.positions_by_key(
-        traces, ["session_id"], "request_time", "trace_key", "turn", previous="_before", hot_rows=hot_rows
-    )
-    gap = F.unix_micros(F.col("request_time").cast("timestamp")) - F.unix_micros(F.col("_before").cast("timestamp"))
-    return placed.withColumn("gap_seconds", gap / F.lit(1e6)).drop("_before")
+    placed = ranking.positions_by_key(traces, ["session_id"], "request_time", "trace_key", "turn", previous="_last_time")
+    gap = F.unix_micros(F.col("request_time").cast("timestamp")) - F.unix_micros(F.col("_last_time").cast("timestamp"))
+    return placed.withColumn("gap_seconds", gap / F.lit(1e6)).drop("_last_time")
 
 
 def session_summary(rebuilt: DataFrame) -> DataFrame:
