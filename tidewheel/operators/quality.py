@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidewheel.operators import ranking
+from tidewheel.session import materialize
+
 # Thresholds of the alert, and numeric floors.
 ERROR_LIMIT = 30.0
 ALERT_PERCENT = 45.0
@@ -56,29 +59,90 @@ def window_keys(time_column: str, width: str, *others: str) -> Keys:
     return {"window_start": F.window(time_column, width)["start"], **{c: F.col(c) for c in others}}
 
 
-def numeric_profile(
-    df: DataFrame, keys: Keys, columns: list[str], exact_distinct: bool = False, accuracy: int = 1_000_000
-) -> DataFrame:
-    """Long profile (keys, column_name, statistics) of numeric columns, from one aggregation.
+SKETCH_SIZE = 4096  # of a KLL sketch: rank errors below 0.1 % of the rows
+SALTS = 64
+
+
+def _same(left: str, right: str, keys: list[str]) -> Column:
+    """Null-safe equality of the keys of two aliased frames."""
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return same
+
+
+def number_counts(df: DataFrame, keys: Keys, columns: list[str]) -> DataFrame:
+    """(keys, column_name, value, n): the distinct non-null values of numeric columns with their rows."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns])
+    rows = df.select(*_aliased(keys), F.inline(pairs)).where("value IS NOT NULL")
+    return rows.groupBy(*keys, "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def exact_quantiles(df: DataFrame, keys: Keys, columns: list[str], quantiles: list[float]) -> DataFrame:
+    """(keys, column_name, distinct_count, q array): the smallest value that at least a share q of the rows reaches.
+
+    From value counts: a range-partitioned running sum gives each value the rows below it, so no group,
+    the whole table included, is sorted in one task or collected.
+    """
+    named = [*keys, "column_name"]
+    counts = materialize(number_counts(df, keys, columns), "value-counts")
+    below = ranking.running_by_key(counts, named, ["value"], {"below": "n"})
+    totals = counts.groupBy(*named).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct_count"))
+    placed = below.alias("b").join(totals.alias("t"), _same("b", "t", named)).select("b.*", "total", "distinct_count")
+    picked = []
+    for q in quantiles:
+        rank = F.greatest(F.lit(1).cast("long"), F.ceil(F.lit(q) * F.col("total")))
+        picked.append(F.max(F.when((F.col("below") < rank) & (rank <= F.col("below") + F.col("n")), F.col("value"))))
+    return placed.groupBy(*named).agg(F.max("distinct_count").alias("distinct_count"), F.array(*picked).alias("q"))
+
+
+def sketched_quantiles(df: DataFrame, keys: Keys, columns: list[str], quantiles: list[float], size: int = SKETCH_SIZE) -> DataFrame:
+    """(keys, column_name, q array) from KLL sketches of a fixed size, merged first by salt and then by group.
+
+    A value's rank is within about 0.1 % of the rows of the rank asked for, at the size given above. Groups have
+    at most SALTS sketches to merge in one place, however many tasks saw their rows.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    parts = salted.groupBy(*_aliased(keys), "_salt").agg(
+        *[F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(size)).alias(f"{c}.sketch") for c in columns]
+    )
+    whole = parts.groupBy(*keys).agg(*[F.kll_merge_agg_double(F.col(f"`{c}.sketch`"), F.lit(size)).alias(c) for c in columns])
+    wanted = F.array(*[F.lit(q) for q in quantiles])
+    # An empty sketch has no quantile: asked only where it holds rows.
+    curves = [
+        F.struct(F.lit(c).alias("column_name"), F.when(
+            F.kll_sketch_get_n_double(F.col(c)) > 0, F.kll_sketch_get_quantile_double(F.col(c), wanted)
+        ).alias("q"))
+        for c in columns
+    ]
+    return whole.select(*keys, F.inline(F.array(*curves)))
+
 
-    Quantiles come from a mergeable sketch of bounded size, exact while a group has fewer than
-    accuracy / 2 rows. Distinct counts are HyperLogLog unless exact ones are asked for.
+def numeric_profile(df: DataFrame, keys: Keys, columns: list[str], exact: bool = True) -> DataFrame:
+    """Long profile (keys, column_name, statistics) of numeric columns.
+
+    Exact: quantiles and distinct counts out of value counts. Otherwise from one aggregation with
+    sketches of a stated error: KLL for quantiles, HyperLogLog for distinct values.
     """
+    named = [*keys, "column_name"]
     aggregates, packed = [F.count(F.lit(1)).alias("row_count")], []
     for c in columns:
         v = F.col(c).cast("double")
-        distinct = F.count_distinct(v) if exact_distinct else F.approx_count_distinct(v, 0.01)
-        parts = {
-            "null_count": F.count_if(v.isNull()), "distinct_count": distinct, "mean": F.avg(v),
-            "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v),
-            "q": F.percentile_approx(v, QUANTILES, accuracy),
-        }
+        parts = {"null_count": F.count_if(v.isNull()), "mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v)}
+        if not exact:
+            parts["distinct_count"] = F.approx_count_distinct(v, 0.01)
         aggregates += [part.alias(f"{c}.{p}") for p, part in parts.items()]
-        stats = [F.col(f"`{c}.{p}`").alias(p) for p in parts if p != "q"]
-        quantiles = [F.get(F.col(f"`{c}.q`"), F.lit(i)).alias(q) for i, q in enumerate(["q25", "median", "q75"])]
-        packed.append(F.struct(F.lit(c).alias("column_name"), *stats, *quantiles))
+        packed.append(F.struct(F.lit(c).alias("column_name"), *[F.col(f"`{c}.{p}`").alias(p) for p in parts]))
     wide = df.groupBy(*_aliased(keys)).agg(*aggregates)
-    return wide.select(*keys, "row_count", F.inline(F.array(*packed)))
+    long = wide.select(*keys, "row_count", F.inline(F.array(*packed)))
+    curves = (exact_quantiles if exact else sketched_quantiles)(df, keys, columns, QUANTILES)
+    joined = long.alias("p").join(curves.alias("c"), _same("p", "c", named), "left")
+    distinct = F.coalesce(F.col("c.distinct_count"), F.lit(0).cast("long")) if exact else F.col("p.distinct_count")
+    return joined.select(
+        *[F.col(f"p.{k}").alias(k) for k in keys], "row_count", "p.column_name", "null_count",
+        distinct.alias("distinct_count"), "mean", "std", "min", "max",
+        *[F.get(F.col("q"), F.lit(i)).alias(name) for i, name in enumerate(["q25", "median", "q75"])],
+    )
 
 
 def value_counts(df: DataFrame, keys: Keys, columns: list[str]) -> DataFrame:
@@ -114,21 +178,15 @@ def error_alert(profile: DataFrame, limit: float = ERROR_LIMIT, percent: float =
 # --- drift ---------------------------------------------------------------------------------
 
 
-def bin_edges(baseline: DataFrame, columns: list[str], accuracy: int = 1_000_000) -> dict[str, list[float]]:
+def bin_edges(baseline: DataFrame, columns: list[str]) -> dict[str, list[float]]:
     """Nine inner edges per numeric column out of the baseline deciles, plus its min and max.
 
     A fixed handful of numbers per column, so they travel as literals in the plan.
     """
-    steps = [i / BINS for i in range(1, BINS)]
-    row = baseline.agg(*[
-        F.concat(
-            F.array(F.min(F.col(c).cast("double"))),
-            F.percentile_approx(F.col(c).cast("double"), steps, accuracy),
-            F.array(F.max(F.col(c).cast("double"))),
-        ).alias(c)
-        for c in columns
-    ]).first()
-    return {c: row[c] for c in columns}
+    steps = [i / BINS for i in range(BINS + 1)]  # the first value reached by no row is the smallest one
+    found = exact_quantiles(baseline, {}, columns, steps).collect()
+    edges = {r["column_name"]: r["q"] for r in found}
+    return {c: edges.get(c) for c in columns}
 
 
 def bin_label(value: Column, edges: list[float]) -> Column:
@@ -253,3 +311,65 @@ def drift_vs_previous(
     }).where("base_counts IS NOT NULL")
     measures = [m.alias(name) for name, m in drift_measures(edges).items()]
     return lagged.select(*keys, "column_name", "total", *measures)
+
+
+def exact_distances(current: DataFrame, keys: Keys, baseline: DataFrame, columns: list[str]) -> DataFrame:
+    """KS and Wasserstein distance between the whole distributions of each window and of the baseline.
+
+    (keys, column_name, total, ks, wasserstein); columns without values on either side have no row.
+
+    The baseline's distribution function, and its integral, are running sums over its sorted values, looked up at
+    the values of all windows in one range-partitioned pass. Between two values of a window its own function is
+    constant, so the area to the baseline follows from the integral at both ends and, where the two cross, at the
+    baseline's quantile in between, found by rank in a second pass. Work grows with the distinct values of both
+    sides, never with windows times values, and nothing is binned or collected.
+    """
+    named = [*keys, "column_name"]
+    base = materialize(number_counts(baseline, {}, columns), "baseline-counts")
+    base_totals = base.groupBy("column_name").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.col("value")).alias("mass"))
+    now = number_counts(current, keys, columns).join(base_totals.select("column_name"), "column_name", "left_semi")
+    now = materialize(now, "current-counts")
+    totals = now.groupBy(*named).agg(F.sum("n").alias("total")).join(base_totals, "column_name")
+
+    # The baseline at every value: rows below it and what they sum to.
+    zero = F.lit(0).cast("long")
+    points = now.select("column_name", "value", zero.alias("here")).unionByName(base.select("column_name", "value", F.col("n").alias("here")))
+    merged = points.groupBy("column_name", "value").agg(F.sum("here").alias("here"))
+    merged = merged.withColumn("weight", F.col("here") * F.col("value"))
+    known = materialize(ranking.running_by_key(merged, ["column_name"], ["value"], {"below": "here", "mass_below": "weight"}), "baseline-at")
+    point = F.struct("value", "below", "here", (F.col("below") * F.col("value") - F.col("mass_below")).alias("area"))  # area times m
+    looked = now.join(known, ["column_name", "value"]).select(*named, "n", point.alias("point"))
+    running = ranking.running_by_key(looked, named, ["point"], {"k": "n"}, previous="left")
+    gaps = materialize(running.alias("r").join(totals.alias("t"), _same("r", "t", named)).select("r.*", "total", "m", "mass"), "gaps")
+
+    # Where the two functions cross between two values: the baseline's value of that rank.
+    share, m = F.col("k") / F.col("total"), F.col("m")
+    left_share, right_share = (F.col("left.below") + F.col("left.here")) / m, F.col("point.below") / m
+    crosses = F.coalesce((left_share < share) & (right_share > share), F.lit(False))
+    rank = F.ceil(share * m).cast("long")
+    targets = gaps.where(crosses).select("column_name", rank.alias("rank")).distinct()
+    steps = known.where("here > 0").select(
+        "column_name", (F.col("below") + F.col("here")).alias("rank"), F.lit(1).alias("is_base"), F.col("value").alias("x"),
+        (F.col("below") * F.col("value") - F.col("mass_below")).alias("x_area"),
+    )
+    nothing = F.lit(None).cast("double")
+    ranked = targets.select("column_name", "rank", F.lit(0).alias("is_base"), nothing.alias("x"), nothing.alias("x_area")).unionByName(steps)
+    placed = materialize(ranking.running_by_key(ranked, ["column_name"], ["rank", "is_base"], {"j": "is_base"}), "ranks")
+    found = placed.where("is_base = 0").select("column_name", "rank", "j").join(
+        placed.where("is_base = 1").select("column_name", "j", "x", "x_area"), ["column_name", "j"]
+    )
+    crossing = gaps.withColumn("rank", F.when(crosses, rank)).join(found.drop("j"), ["column_name", "rank"], "left")
+
+    value, area, left, left_area = F.col("point.value"), F.col("point.area") / m, F.col("left.value"), F.col("left.area") / m
+    x, x_area = F.col("x"), F.col("x_area") / m
+    straight = F.abs(share * (value - left) - (area - left_area))
+    crossed = share * (x - left) - (x_area - left_area) + (area - x_area) - share * (value - x)
+    inner = F.when(left.isNull(), area).otherwise(F.when(x.isNull(), straight).otherwise(crossed))
+    is_last = F.col("k") + F.col("n") == F.col("total")
+    tail = F.when(is_last, F.col("mass") / m - value + area).otherwise(0.0)
+    below = F.abs(share - F.col("point.below") / m)
+    up_to = F.abs((F.col("k") + F.col("n")) / F.col("total") - (F.col("point.below") + F.col("point.here")) / m)
+    return crossing.groupBy(*named).agg(
+        F.max("total").alias("total"), F.max(F.greatest(below, up_to)).alias("ks"),
+        F.sum(F.greatest(inner, F.lit(0.0)) + F.greatest(tail, F.lit(0.0))).alias("wasserstein"),
+    )

@@ -42,7 +42,8 @@ def running_by_key(
 ) -> DataFrame:
     """Running values of each row inside its key, in the order of `order` (nulls first).
 
-    `weights` names a new column for each whole-number column to be summed over the rows before; `place`
+    `weights` names a new column for each numeric column to be summed over the rows before, whole numbers as
+    long and others as double; `place`
     receives the number of rows before, and `previous` the value of order[0] in the row before. Null
     keys are a key, null weights count 0, and rows equal in every order column come in any order.
 
@@ -54,10 +55,12 @@ def running_by_key(
     columns, first_order = df.columns, df.schema[order[0]].dataType
     rows = df.withColumn("_one", F.lit(1).cast("long")).withColumn("_tie", F.monotonically_increasing_id())
     sums = {f"_sum{i}": c for i, c in enumerate(["_one", *weights.values()])}
+    kinds = {c: T.LongType() if isinstance(rows.schema[w].dataType, T.IntegralType) else T.DoubleType() for c, w in sums.items()}
+    whole = {c: isinstance(kind, T.LongType) for c, kind in kinds.items()}
     by = [F.col(c).asc_nulls_first() for c in [*keys, *order, "_tie"]]
     added = T.StructType([
         T.StructField("_part", T.IntegerType()), T.StructField("_run", T.LongType()), T.StructField("_before", first_order),
-        *[T.StructField(c, T.LongType()) for c in sums],
+        *[T.StructField(c, kinds[c]) for c in sums],
     ])
     schema = T.StructType([*rows.schema.fields, *added.fields])
     given, names = rows.columns, schema.names
@@ -82,10 +85,10 @@ def running_by_key(
             shifted = pa.concat_arrays([pa.array([before], value.type), value.slice(0, n - 1)])
             out.append(pc.if_else(pa.array(new), pa.nulls(n, value.type), shifted))
             for c, weight in sums.items():
-                w = np.asarray(pc.fill_null(named[weight].cast(pa.int64()), 0))
+                w = np.asarray(pc.fill_null(named[weight].cast(pa.int64() if whole[c] else pa.float64()), 0))
                 total = np.cumsum(w) - w
                 running = np.where(start >= 0, total - total[np.maximum(start, 0)], total + carry[c])
-                carry[c] = int(running[-1] + w[-1])
+                carry[c] = (running[-1] + w[-1]).item()
                 out.append(pa.array(running))
             key = [str(named[c][n - 1].as_py()) + str(named[c][n - 1].is_valid) for c in keys]
             runs, before = int(run[-1]), value[n - 1].as_py()
@@ -100,20 +103,20 @@ def running_by_key(
         F.max_by(order[0], at).alias("value"),
         *[F.max_by(F.col(c) + F.coalesce(F.col(w), F.lit(0)), at).alias(c) for c, w in sums.items()],
     )
-    offsets, last, held, value = [], None, [0] * len(sums), None
+    offsets, last, held, value = [], None, [], None
     for r in sorted(ends.collect(), key=lambda r: r["_part"]):  # a row for each partition
         goes_on = last is not None and str(r["first"]) == str(last)
-        offset = held if goes_on else [0] * len(sums)
+        offset = held if goes_on else [0 if whole[c] else 0.0 for c in sums]
         offsets.append((r["_part"], value if goes_on else None, *offset))
-        held = [r[c] + (o if r["runs"] == 0 else 0) for c, o in zip(sums, offset)]
+        held = [r[c] + o if r["runs"] == 0 else r[c] for c, o in zip(sums, offset)]
         last, value = r["last"], r["value"]
     shift = T.StructType([
         T.StructField("_part", T.IntegerType()), T.StructField("_earlier", first_order),
-        *[T.StructField(f"_off{c}", T.LongType()) for c in sums],
+        *[T.StructField(f"_off{c}", kinds[c]) for c in sums],
     ])
     joined = numbered.join(F.broadcast(df.sparkSession.createDataFrame(offsets, shift)), "_part")
-    whole = {c: F.col(c) + F.when(F.col("_run") == 0, F.col(f"_off{c}")).otherwise(0) for c in sums}
-    out = dict(zip([*([place] if place else []), *weights], [whole[c] for c in list(sums)[0 if place else 1 :]]))
+    shifted_sums = [F.when(F.col("_run") == 0, F.col(c) + F.col(f"_off{c}")).otherwise(F.col(c)) for c in sums]
+    out = dict(zip([*([place] if place else []), *weights], shifted_sums[0 if place else 1 :]))
     if previous:
         out[previous] = F.when((F.col("_run") == 0) & (F.col("_sum0") == 0), F.col("_earlier")).otherwise(F.col("_before"))
     return joined.select(*columns, *[v.alias(name) for name, v in out.items()])

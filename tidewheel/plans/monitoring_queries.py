@@ -122,19 +122,19 @@ ONE_DAY = "time_bucket(INTERVAL 1 DAY, request_time) AS window_start"
 )
 def monitoring_profile_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = quality.window_keys("request_time", "5 minutes", "model_name")
-    return rounded_profile(quality.numeric_profile(monitoring(spark, sf_dir), keys, NUMERIC, exact_distinct=True))
+    return rounded_profile(quality.numeric_profile(monitoring(spark, sf_dir), keys, NUMERIC))
 
 
 @query("profile_time_series", f"WITH {inputs.MONITORING_SQL} " + profile_sql(ONE_DAY, "monitoring", NUMERIC))
 def profile_time_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = quality.window_keys("request_time", "1 day")
-    return rounded_profile(quality.numeric_profile(monitoring(spark, sf_dir), keys, NUMERIC, exact_distinct=True))
+    return rounded_profile(quality.numeric_profile(monitoring(spark, sf_dir), keys, NUMERIC))
 
 
 @query("profile_snapshot", f"WITH {inputs.BOOKINGS_SQL} " + profile_sql("", "bookings", ["lead_time", "number_of_adults", "average_price"]))
 def profile_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["lead_time", "number_of_adults", "average_price"]
-    return rounded_profile(quality.numeric_profile(inputs.bookings(spark, sf_dir), {}, columns, exact_distinct=True))
+    return rounded_profile(quality.numeric_profile(inputs.bookings(spark, sf_dir), {}, columns))
 
 
 @query(
@@ -268,6 +268,58 @@ def monitoring_drift_prev_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_drift(quality.drift_vs_previous(monitoring(spark, sf_dir), keys, "window_start", edges, CATEGORICAL))
 
 
+def _values_sql(source: str, keys: str) -> str:
+    names = "window_start, " if keys else ""
+    longs = " UNION ALL ".join(f"SELECT {keys}'{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM {source}" for c in DRIFT_NUMERIC)
+    return f"SELECT {names}column_name, value, count(*) AS n FROM ({longs}) WHERE value IS NOT NULL GROUP BY ALL"
+
+
+EXACT_DRIFT_SQL = f"""WITH {inputs.MONITORING_SQL},
+now AS ({_values_sql('monitoring', ONE_DAY + ', ')}), base AS ({_values_sql('bookings', '')}),
+windows AS (SELECT window_start, column_name, sum(n) AS total FROM now GROUP BY ALL),
+sizes AS (SELECT column_name, sum(n) AS m FROM base GROUP BY ALL),
+both_sides AS (
+  SELECT window_start, column_name, value, sum(a) AS a, sum(b) AS b FROM (
+    SELECT window_start, column_name, value, n AS a, 0 AS b FROM now
+    UNION ALL SELECT window_start, column_name, value, 0, n FROM windows JOIN base USING (column_name)) GROUP BY ALL),
+stepped AS (
+  SELECT window_start, column_name, value, total,
+    abs(sum(a) OVER w / total - sum(b) OVER w / m) AS gap, lead(value) OVER w AS following
+  FROM both_sides JOIN windows USING (window_start, column_name) JOIN sizes USING (column_name)
+  WINDOW w AS (PARTITION BY window_start, column_name ORDER BY value))
+SELECT window_start, column_name, CAST(any_value(total) AS BIGINT) AS total, round(max(gap), 8) AS ks,
+  round(coalesce(sum(gap * (following - value)), 0), 3) AS wasserstein FROM stepped GROUP BY 1, 2"""
+
+
+@query("monitoring_drift_exact", EXACT_DRIFT_SQL)
+def monitoring_drift_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KS and Wasserstein distance of each day to the bookings, on values instead of bins."""
+    keys = quality.window_keys("request_time", "1 day")
+    found = quality.exact_distances(monitoring(spark, sf_dir), keys, inputs.bookings(spark, sf_dir), DRIFT_NUMERIC)
+    return rounded(rounded(found, 8, "ks"), 3, "wasserstein")
+
+
+SKETCH_SQL = f"""WITH {inputs.BOOKINGS_SQL},
+longs AS (SELECT 'lead_time' AS column_name, CAST(lead_time AS DOUBLE) AS v FROM bookings
+  UNION ALL SELECT 'average_price', CAST(average_price AS DOUBLE) FROM bookings)
+SELECT column_name, count(v) AS n, true AS ranks_within_1_percent FROM longs GROUP BY 1"""
+
+
+@query("profile_sketch_ranks", SKETCH_SQL)
+def profile_sketch_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the quantiles of the sketches lie within 1 % of the rows of their exact ranks."""
+    rows = inputs.bookings(spark, sf_dir)
+    found = quality.sketched_quantiles(rows, {}, DRIFT_NUMERIC, quality.QUANTILES)
+    counts = quality.number_counts(rows, {}, DRIFT_NUMERIC).join(found, "column_name")
+    total, inside = F.sum("n"), []
+    for i, q in enumerate(quality.QUANTILES):
+        sketched = F.get(F.col("q"), F.lit(i))
+        below = F.sum(F.when(F.col("value") < sketched, F.col("n")).otherwise(0))
+        up_to = F.sum(F.when(F.col("value") <= sketched, F.col("n")).otherwise(0))
+        inside.append((below <= (q + 0.01) * total) & (up_to >= (q - 0.01) * total))
+    return counts.groupBy("column_name").agg(total.alias("n"), (inside[0] & inside[1] & inside[2]).alias("ranks_within_1_percent"))
+
+
 @query(
     "endpoint_usage",
     """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type AS endpoint, CAST(user_id AS VARCHAR) AS caller,
