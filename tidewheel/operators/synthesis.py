@@ -1,4 +1,9 @@
-"""Synthetic rows from a Gaussian copula over numeric and categorical columns."""
+"""Synthetic rows from a Gaussian copula over numeric and categorical columns.
+
+Whether a number is missing is a margin of its own, correlated with the others; a missing category is a category.
+Correlations of normal scores come from the rows in which both columns have one, all pairs in one
+aggregation, and the nearest correlation matrix is taken where they do not fit together.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +11,6 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from tidewheel.functions import dates
 GRID = 100
 CLIP = 3.5
 CATEGORY_LIMIT = 10_000
+MISSING = "{}__missing"
 
 
 def _z(p: float) -> float:
@@ -48,46 +51,90 @@ def _normal_scores(columns: list[str], points: dict[str, tuple[list[float], list
     return scores(F.struct(*[F.col(c).cast("double").alias(c) for c in columns]))
 
 
+def _categories(df: DataFrame, value: Column, name: str) -> tuple[dict, Column]:
+    """Labels with the upper ends of their stretches of the normal, null last, and each row's score."""
+    counts = df.groupBy(value.cast("string").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.orderBy(F.col("v").asc_nulls_last()).limit(CATEGORY_LIMIT + 2).collect()
+    if len(found) > CATEGORY_LIMIT + 1:
+        raise ValueError(f"{name} is no category: more than {CATEGORY_LIMIT} values")
+    shares = np.array([r["n"] for r in found], dtype=float)
+    upper = np.cumsum(shares / shares.sum())
+    lower = np.concatenate([[0.0], upper[:-1]])
+    middles = {r["v"]: _z((a + b) / 2) for r, a, b in zip(found, lower, upper)}
+    nothing = middles.pop(None, 0.0)
+    lookup = F.create_map(*[x for v, z in middles.items() for x in (F.lit(v), F.lit(z))]) if middles else None
+    score = F.coalesce(F.try_element_at(lookup, value.cast("string")), F.lit(nothing)) if middles else F.lit(nothing)
+    return {"labels": [r["v"] for r in found], "upper_z": [_z(u) for u in upper]}, score
+
+
+def _correlation(a: str, b: str) -> Column:
+    """Of the rows that have both; null where one of them is constant there."""
+    spread = [F.stddev_pop(F.when(F.col(other).isNotNull(), F.col(c))) for c, other in ((a, b), (b, a))]
+    return F.try_divide(F.covar_pop(a, b), spread[0] * spread[1])
+
+
+def _nearest_correlation(matrix: np.ndarray, rounds: int = 100) -> np.ndarray:
+    """Alternating projections on matrices without negative directions and on those with a diagonal of 1."""
+    near, correction = matrix.copy(), np.zeros_like(matrix)
+    for _ in range(rounds):
+        values, vectors = np.linalg.eigh(near - correction)
+        raised = vectors @ np.diag(np.maximum(values, 1e-9)) @ vectors.T
+        correction = raised - (near - correction)
+        before, near = near, raised.copy()
+        np.fill_diagonal(near, 1.0)
+        if np.abs(near - before).max() < 1e-10:
+            break
+    values, vectors = np.linalg.eigh(near)
+    fixed = vectors @ np.diag(np.maximum(values, 1e-9)) @ vectors.T
+    scale = np.sqrt(np.diag(fixed))
+    return fixed / np.outer(scale, scale)
+
+
 def fit(df: DataFrame, numeric: list[str], categorical: list[str]) -> dict:
     """Marginals (quantile grids, category shares) and the correlation of normal scores.
 
-    What reaches the driver is one grid per column, one share per category and a k × k matrix.
+    What reaches the driver is one grid per column, one share per category and a k × k matrix. A number that is
+    null in every row is null in every synthetic one.
     """
     z_grid = [-CLIP + 2 * CLIP * i / GRID for i in range(GRID + 1)]
     steps = [0.0, *[NormalDist().cdf(z) for z in z_grid[1:-1]], 1.0]
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), steps, 100_000).alias(c) for c in numeric]).first()
-    model: dict = {"numeric": {c: row[c] for c in numeric}, "categorical": {}, "columns": [*numeric, *categorical]}
+    row = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.percentile_approx(F.col(c).cast("double"), steps, 100_000).alias(c) for c in numeric],
+        *[F.count(F.col(c).cast("double")).alias(MISSING.format(c)) for c in numeric],
+    ).first()
+    if not row["_rows"]:
+        raise ValueError("no rows to fit")
+    known = [c for c in numeric if row[c] is not None]
+    gappy = [c for c in numeric if 0 < row[MISSING.format(c)] < row["_rows"]]
+    model: dict = {
+        "numeric": {c: row[c] for c in known}, "never": [c for c in numeric if row[c] is None], "categorical": {},
+        "gappy": gappy, "columns": [*known, *categorical, *[MISSING.format(c) for c in gappy]], "order": [*numeric, *categorical],
+    }
     curves = {}
-    for c in numeric:
+    for c in known:
         # A value repeated over many quantiles maps to the middle of its stretch.
         values, zs = np.array(row[c], dtype=float), np.array(z_grid)
         found = np.unique(values)
         curves[c] = (found.tolist(), [float(zs[values == v].mean()) for v in found])
     scores = []
-    for c in categorical:
-        counts = df.groupBy(F.col(c).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        found = counts.where("v IS NOT NULL").orderBy("v").limit(CATEGORY_LIMIT + 1).collect()
-        if len(found) > CATEGORY_LIMIT:
-            raise ValueError(f"{c} is no category: more than {CATEGORY_LIMIT} values")
-        shares = np.array([r["n"] for r in found], dtype=float)
-        upper = np.cumsum(shares / shares.sum())
-        lower = np.concatenate([[0.0], upper[:-1]])
-        labels = [r["v"] for r in found]
-        model["categorical"][c] = {"labels": labels, "upper_z": [_z(u) for u in upper]}
-        pairs = [x for v, a, b in zip(labels, lower, upper) for x in (F.lit(v), F.lit(_z((a + b) / 2)))]
-        lookup = F.create_map(*pairs)
-        scores.append(F.coalesce(F.try_element_at(lookup, F.col(c).cast("string")), F.lit(0.0)).alias(c))
-    numbers = _normal_scores(numeric, curves).alias("_numbers")
-    joined = df.select(numbers, *scores).select(array_to_vector("_numbers").alias("_numbers"), *categorical)
-    assembler = VectorAssembler(inputCols=["_numbers", *categorical], outputCol="z", handleInvalid="skip")
-    assembled = assembler.transform(joined)
-    matrix = Correlation.corr(assembled, "z").first()[0].toArray()
-    matrix = np.nan_to_num(matrix, nan=0.0)
-    np.fill_diagonal(matrix, 1.0)
-    values, vectors = np.linalg.eigh(matrix)
-    repaired = vectors @ np.diag(np.maximum(values, 1e-9)) @ vectors.T
-    scale = np.sqrt(np.diag(repaired))
-    model["factor"] = np.linalg.cholesky(repaired / np.outer(scale, scale))
+    for c, value in [*[(c, F.col(c)) for c in categorical], *[(MISSING.format(c), F.col(c).isNull()) for c in gappy]]:
+        model["categorical"][c], score = _categories(df, value, c)
+        scores.append(score.alias(c))
+    numbers = [_normal_scores(known, curves).alias("_numbers")] if known else []
+    scored = df.select(*numbers, *scores)
+    for i, c in enumerate(known):
+        z = F.get("_numbers", F.lit(i))
+        scored = scored.withColumn(c, F.when(~F.isnan(z), z))
+    columns = model["columns"]
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
+    matrix = np.eye(len(columns))
+    if pairs:
+        found = scored.agg(*[_correlation(columns[i], columns[j]).alias(f"r{n}") for n, (i, j) in enumerate(pairs)]).first()
+        for n, (i, j) in enumerate(pairs):
+            value = found[f"r{n}"]
+            matrix[i, j] = matrix[j, i] = value if value is not None and np.isfinite(value) else 0.0
+    model["factor"] = np.linalg.cholesky(_nearest_correlation(matrix))
     return model
 
 
@@ -108,8 +155,12 @@ def sample(spark, model: dict, n: int, seed: int = 42) -> DataFrame:
             known = model["categorical"][c]
             edges = F.array(*[F.lit(float(u)) for u in known["upper_z"][:-1]])
             place = F.size(F.filter(edges, lambda e: e < z))
-            out.append(F.get(F.array(*[F.lit(v) for v in known["labels"]]), place).alias(c))
-    return mixed.select("id", *out)
+            out.append(F.get(F.array(*[F.lit(v).cast("string") for v in known["labels"]]), place).alias(c))
+    rows = mixed.select("id", *out)
+    for c in model["gappy"]:
+        rows = rows.withColumn(c, F.when(F.col(MISSING.format(c)) == "false", F.col(c)))
+    rows = rows.withColumns({c: F.lit(None).cast("double") for c in model["never"]})
+    return rows.select("id", *model["order"])
 
 
 def next_month_rows(spark, model: dict, newest, n: int, integers: list[str], seed: int = 42) -> DataFrame:
