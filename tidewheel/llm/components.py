@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tidewheel.llm.common import materialize, width
 
 ROUNDS = 60
+#: Most centres that are broadcast; more are joined on a salted key.
+BROADCAST_ROWS, SALTS = 1 << 18, 16
 
 
 def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -54,16 +56,34 @@ def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """edges (a long, b long) to (node, component): the smallest node reachable, for linked nodes but it.
 
-    Each round links every neighbour of a node to the smallest of its neighbourhood, first the larger
-    ones, then the smaller; it ends when a round changes nothing. A node keeps one edge to a smaller
-    node after each round, so a hub's edges are spread by the other end; minima combine before the
-    shuffle. Rounds are written to the shared folder, which cuts the lineage.
+    Tasks contract their edges to stars, without a join; dealt by the larger end and contracted again, a node
+    keeps one edge, whatever its degree was, and only the centres of stars have edges among each other. Star
+    rounds run over the centres alone: each links every neighbour of a node to the smallest of its
+    neighbourhood, first the larger ones, then the smaller, and ends when a round changes nothing. At
+    the end nodes take their centre's component. Steps are written to the shared folder, which cuts the lineage.
     """
     forest = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
     forest = materialize(forest.mapInArrow(_contracted, "a long, b long"), "links")
-    # Once more over fewer, larger tasks: a node that many tasks hold an edge of keeps a few.
-    fewer = max(1, width(edges.sparkSession) // 16)
-    forest = materialize(forest.coalesce(fewer).mapInArrow(_contracted, "a long, b long"), "links")
+    dealt = forest.repartition(width(edges.sparkSession), "a")
+    forest = materialize(dealt.mapInArrow(_contracted, "a long, b long").distinct(), "links")
+    several = forest.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")  # centres of tasks, met in several parts
+    centres = forest.select(F.col("b").alias("a")).union(several.select("a")).distinct()
+    core = _stars(materialize(forest.join(centres, "a", "left_semi"), "links"))
+    leaves = forest.join(centres, "a", "left_anti")
+    moved = core.select(F.col("a").alias("b"), F.col("b").alias("centre"))
+    if core.count() <= BROADCAST_ROWS:
+        named = leaves.join(F.broadcast(moved), "b", "left")
+    else:  # a centre of very many nodes is met in SALTS places
+        salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt")
+        named = leaves.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int")).join(moved.select("*", salts), ["b", "salt"], "left")
+    rest = named.select(F.col("a").alias("node"), F.coalesce("centre", "b").alias("component"))
+    return rest.unionByName(core.select(F.col("a").alias("node"), F.col("b").alias("component")))
+
+
+def _stars(forest: DataFrame) -> DataFrame:
+    """Edges to (a, b) with b the smallest node that a reaches."""
+    if forest.isEmpty():
+        return forest
     for _ in range(ROUNDS):
         # Large star: each larger neighbour of a node goes to the node's smallest neighbour (or itself).
         both = forest.select("a", "b").union(forest.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -78,5 +98,5 @@ def components(edges: DataFrame) -> DataFrame:
         changed = after.join(forest, ["a", "b"], "left_anti").isEmpty() and after.count() == forest.count()
         forest = after
         if changed:
-            return forest.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            return forest
     raise RuntimeError(f"components did not settle in {ROUNDS} rounds")

@@ -13,7 +13,9 @@ comparison without an index; a vector travels once for each tile of its label (4
 
 Defined results: null labels, and vectors that are null, empty, zero, or hold null or non-finite
 components, link with nothing; their component is their own id. Vectors of different dimensions link
-with nothing. Repeated rows count as other vectors. Vectors without id get a row but no links.
+with nothing. Repeated rows count as other vectors, and rows of one id with other vectors or labels are vertices
+of their own. Vectors without id get a row but no links. Components are scaled by a power of two of each
+vector's largest, which rounds nothing, so no square overflows or vanishes.
 """
 
 from __future__ import annotations
@@ -85,23 +87,25 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, tile: int = TILE) -
     fit = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & ~bad & ~zero, F.lit(False))
     rows = rows.withColumn("fit", fit)
     usable = rows.where("fit")
-    classes = materialize(
-        usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies")), "vectors"
-    ).withColumn("dim", F.size("embedding"))
+    grouped = usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
+    # Classes are numbered in the order of their smallest ids: the smallest number names the smallest id.
+    numbered = grouped.repartitionByRange("first").sortWithinPartitions("first").withColumn("class", F.monotonically_increasing_id())
+    classes = materialize(numbered, "vectors").withColumn("dim", F.size("embedding"))
     tiles = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
     dealt = classes.join(tiles, ["label", "dim"]).withColumn(
-        "tile", F.pmod(F.xxhash64("first"), F.col("tiles").cast("long")).cast("int")
+        "tile", F.pmod(F.xxhash64("class"), F.col("tiles").cast("long")).cast("int")
     )
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("tiles") - 1),
         lambda other: F.struct(F.least("tile", other).alias("i"), F.greatest("tile", other).alias("j")),
     )
-    dealt = dealt.select("label", "dim", "first", "copies", "embedding", "tile", F.explode(pairs).alias("pair"))
+    dealt = dealt.select("label", "dim", "class", "copies", "embedding", "tile", F.explode(pairs).alias("pair"))
 
     def compare(group: pa.Table) -> pa.Table:
         n, dim = group.num_rows, group.column("dim")[0].as_py()
         values = np.asarray(group.column("embedding").combine_chunks().flatten(), dtype=np.float64).reshape(n, dim)
-        first, copies = group.column("first").to_numpy(), group.column("copies").to_numpy()
+        values = np.ldexp(values, -np.frexp(np.abs(values).max(axis=1))[1][:, None])
+        first, copies = group.column("class").to_numpy(), group.column("copies").to_numpy()
         side = group.column("tile").to_numpy()
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         a, b = np.flatnonzero(side == i), np.flatnonzero(side == j)
@@ -121,13 +125,15 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, tile: int = TILE) -
             "degree": pa.array(np.concatenate([degree[met].astype(np.int64), np.zeros(len(x), np.int64)]), pa.int64()),
         })
 
-    flat = dealt.select("label", "dim", "first", "copies", "embedding", "tile", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
+    flat = dealt.select("label", "dim", "class", "copies", "embedding", "tile", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
     found = materialize(flat.groupBy("label", "dim", "i", "j").applyInArrow(compare, "a long, b long, degree long"), "tile-links")
-    degrees = found.where("degree > 0").groupBy(F.col("a").alias("first")).agg(F.sum("degree").alias("degree"))
+    degrees = found.where("degree > 0").groupBy(F.col("a").alias("class")).agg(F.sum("degree").alias("degree"))
     tree = components(found.where("degree = 0").select("a", "b"))
-    named = classes.join(degrees, "first", "left").join(tree, F.col("first") == F.col("node"), "left").select(
+    heads = classes.select(F.col("class").alias("component"), F.col("first").alias("head"))
+    tree = tree.join(heads, "component").select(F.col("node").alias("class"), "head")
+    named = classes.join(degrees, "class", "left").join(tree, "class", "left").select(
         "label", "embedding", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("links"),
-        F.coalesce("component", "first").alias("component"),
+        F.coalesce("head", "first").alias("component"),
     )
     linked = usable.join(named, ["label", "embedding"]).select("vec_id", "links", "component")
     alone = rows.where("NOT fit").select("vec_id", F.lit(0).cast("long"), "vec_id")

@@ -278,8 +278,25 @@ def _open(queries, inside, token, set_begin, sizes, percent) -> np.ndarray:
 def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Link rows of docs (doc_id, text) by Jaccard similarity of word shingles.
 
-    Returns doc_id, n_shingles and component_id (the smallest doc_id reachable by links).
+    Returns doc_id, n_shingles and component_id (the smallest doc_id reachable by links). Every row is a vertex of
+    its own, also where ids repeat with other texts; rows without an id link like others and have a
+    component named by the ids that they reach, null if none.
     """
+    numbered = materialize(docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text")
+    ), "numbered")
+    rows = numbered.select(F.col("row").alias("doc_id"), "text")
+    classes = row_classes(rows, size, percent).withColumnRenamed("doc_id", "row")
+    named = classes.join(numbered.select("row", "doc_id"), "row")
+    first = named.groupBy("component_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    several = first.where("n > 1").select("component_id", "first")
+    return named.join(several, "component_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id")
+    )
+
+
+def row_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The same over rows whose doc_id is known to be unique."""
     spark = docs.sparkSession
     parts = width(spark)
 

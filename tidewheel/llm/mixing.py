@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.llm.common import WORD, materialize, word_count
+from tidewheel.operators.ranking import running_by_key
 
 MOST_PASSES = 3
 BUCKETS = 4096
@@ -167,16 +168,31 @@ def mix_to_weights(docs: DataFrame, seed: int = 7, share: float = 1.0) -> DataFr
 def mixed_documents(docs: DataFrame, seed: int = 7, share: float = 1.0, copy: str | None = None) -> DataFrame:
     """The mix itself: rows of docs with all their columns, each as often as the plan takes it.
 
-    `copy` names a further column for the number of the copy, from 1.
+    `copy` names a further column for the number of the copy, from 1; a column of that name in docs gives way. Rows of
+    one id, source and length are planned alike or one pass apart; where the plan takes some of them once
+    more, those with the smallest text digests are taken.
     """
-    names = [f"d.`{c}`" for c in docs.columns]
-    plan = mix_to_weights(docs, seed, share).groupBy("doc_id", "source", "size").agg(F.max("repeats").alias("repeats"))
+    number = copy or "__copy"
+    names = [f"`{c}`" for c in docs.columns if c != number]
+    key = ["doc_id", "source", "size"]
+    plan = mix_to_weights(docs, seed, share).groupBy(*key).agg(
+        F.min("repeats").alias("least"), F.sum("repeats").alias("all"), F.count("*").alias("n")
+    ).where("all > 0").selectExpr(*key, "least", "all - least * n AS extra", "n")
+    plan = materialize(plan, "mix-plan")
     same = F.expr(
         "d.doc_id <=> p.doc_id AND CAST(d.source AS string) <=> p.source "
-        f"AND coalesce(regexp_count(d.text, r'{WORD}'), 0) = p.size AND p.repeats > 0"
+        f"AND coalesce(regexp_count(d.text, r'{WORD}'), 0) = p.size"
     )
-    number = copy or "__copy"
-    mixed = docs.alias("d").join(plan.alias("p"), same).select(
-        *names, F.explode(F.expr("sequence(1, CAST(p.repeats AS int))")).alias(number)
+    held = docs.drop(number).withColumn("__row", F.struct(*names))
+    joined = held.select("doc_id", "source", "text", "__row").alias("d").join(plan.alias("p"), same)
+    parts = joined.select("p.doc_id", "p.source", "p.size", "p.least", "p.extra", "p.n", "d.__row", F.xxhash64("d.text").alias("digest"))
+    even = parts.where("extra = 0 OR extra = n").select("__row", F.expr("least + IF(extra = n, 1, 0)").alias("times"))
+    if plan.where("extra > 0 AND extra < n").isEmpty():
+        taken = even
+    else:
+        placed = running_by_key(parts.where("extra > 0 AND extra < n"), key, ["digest"], place="nth")
+        taken = even.unionByName(placed.select("__row", F.expr("least + IF(nth < extra, 1, 0)").alias("times")))
+    mixed = taken.where("times > 0").select(
+        *[F.col(f"__row.{c}") for c in names], F.explode(F.expr("sequence(1, CAST(times AS int))")).alias(number)
     )
     return mixed if copy else mixed.drop(number)
