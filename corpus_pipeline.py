@@ -31,7 +31,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     ids = numbered.select("__row", "doc_id")
     rows = numbered.select(F.col("__row").alias("doc_id"), "text")
-    classes = jaccard_join.similar_classes(rows, size=5, percent=80).withColumnRenamed("doc_id", "__row")
+    classes = jaccard_join.row_classes(rows, size=5, percent=80).withColumnRenamed("doc_id", "__row")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))["__row"].alias("__row")
     kept = classes.join(ids, "__row").groupBy("component_id").agg(first).select("__row")
     return numbered.join(kept, "__row", "left_semi").select(*docs.columns)
