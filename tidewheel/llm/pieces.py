@@ -3,11 +3,11 @@
 A text's spaces stand for the mark U+2581 of the pieces and one space goes in front. Texts are cut where
 no piece of the vocabulary can reach across: in front of spaces, and between characters that no chain of
 pieces brings together. The cuts ("words") are encoded one by one.
-Merges come from an agenda, best score first and leftmost among equals. Each candidate that comes up is
-skipped when a hash of (seed, document, copy, place of the word in it, number of the candidate) says so,
+Merges come from an agenda, best score first and leftmost among equals; the agendas of many short words
+run in step, over arrays. Each candidate that comes up is skipped when a hash of (seed, document, copy, place of the word in it, number of the candidate) says so,
 and comes back only when a neighbour changes. So every occurrence of a word draws its own segmentation
 and a rerun draws the same one. A segmentation follows from the word and the numbers of the candidates
-skipped, so workers keep the ids by these; what is kept changes no result. Characters outside the vocabulary become byte pieces. Without dropout the ids are those of the model's library.
+skipped, so a batch merges equal ones once, and workers keep undropped words; neither changes a result. Characters outside the vocabulary become byte pieces. Without dropout the ids are those of the model's library.
 
 Decoding gives the text back byte by byte. For that, a mark that the text itself holds is written as
 its bytes; the library would read it as a space.
@@ -39,9 +39,12 @@ _MASK = (1 << 64) - 1
 _STEP = 0x9E3779B97F4A7C15
 #: Candidates of a word whose skips are drawn ahead; words with more are merged anew each time.
 LANES = 24
-#: Skips in a path that is kept; paths with more are merged anew each time.
-DEPTH = 2
-NONE: dict[int, list] = {}
+#: Longest word whose agenda runs in step with others, and words that run together.
+SHORT, TOGETHER = 24, 1 << 12
+#: Lanes that are drawn for every word.
+_FEW = 8
+#: No candidate at this place.
+_DONE = np.int32((1 << 31) - 1)
 
 
 def word_pattern(vocabulary: Iterable[str]) -> re.Pattern[str]:
@@ -70,11 +73,11 @@ def word_pattern(vocabulary: Iterable[str]) -> re.Pattern[str]:
     return re.compile(f" *(?:{'|'.join([*sets, '[^ ]'])})| +")
 
 
-def skips(keys: np.ndarray, dropout: float) -> np.ndarray:
-    """For each key, LANES bits: bit t says that the t-th candidate to come up is skipped."""
+def skips(keys: np.ndarray, dropout: float, lanes: int = LANES) -> np.ndarray:
+    """For each key, bits of the first candidates: bit t says that the t-th to come up is skipped."""
     out, limit = np.zeros(len(keys), np.int64), words.U64(int(dropout * (1 << 32)))
     if limit:
-        for lane in range(0, LANES, 2):
+        for lane in range(0, lanes, 2):
             x = words.mix(keys + words.U64(lane * _STEP & _MASK))
             out |= ((x >> words.U64(32)) < limit).astype(np.int64) << lane
             out |= ((x & words.U64(0xFFFFFFFF)) < limit).astype(np.int64) << lane + 1
@@ -87,30 +90,147 @@ def later_skips(key: np.uint64, start: int, n: int, dropout: float) -> list[bool
     return ((x >> words.U64(32)) < words.U64(int(dropout * (1 << 32)))).tolist()
 
 
-class Seen(dict):
-    """Paths of words in two generations: what is asked for again moves to the young one, the old one goes.
+def _mask(came: np.ndarray) -> np.ndarray:
+    """The bits of the candidates that came up."""
+    return (1 << np.minimum(came, LANES)) - 1
 
-    A path is [mask of the candidates it decides on, ids, paths that skip one more of them by its bit].
-    It holds for every occurrence that skips nothing else under the mask.
-    """
+
+class Seen:
+    """Undropped words in two generations: what is asked for again moves to the young one, the old one goes."""
 
     def __init__(self, most: int):
-        self.most, self.old, self.kept = most, {}, 0
+        self.most, self.young, self.old = most, {}, {}
 
-    def find(self, word: str) -> list | None:
-        path = self.get(word)
+    def find(self, word: str) -> tuple[bytes, int] | None:
+        path = self.young.get(word)
         if path is None:
             path = self.old.get(word)
             if path is not None:
-                self.keep(self, word, path)
+                self.keep(word, path)
         return path
 
-    def keep(self, home: dict, name: str | int, path: list) -> None:
-        if self.kept >= self.most:
-            self.old, self.kept = dict(self), 0
-            self.clear()
-        home[name] = path
-        self.kept += 1
+    def keep(self, word: str, path: tuple[bytes, int]) -> None:
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+        self.young[word] = path
+
+
+class Merges:
+    """What any two pieces next to each other merge to, for the agendas of many words at once."""
+
+    def __init__(self, ids: dict[str, int], rank: dict[str, float]):
+        self.size = max(ids.values(), default=0) + 1
+        order = {r: i for i, r in enumerate(sorted(set(rank.values())))}
+        keys, to, at = [], [], []
+        for piece, i in ids.items():
+            for cut in range(1, len(piece)):
+                left, right = ids.get(piece[:cut]), ids.get(piece[cut:])
+                if left is not None and right is not None:
+                    keys.append(left * self.size + right)
+                    to.append(i)
+                    at.append(order[rank[piece]])
+        # A candidate's place goes in its lowest bits: the least one is the best, the leftmost among equals.
+        if len(order) >= 1 << 26:
+            raise ValueError("more scores than 26 bits tell apart")
+        slots = max(10, (2 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - slots), (1 << slots) - 1
+        self.keys = np.full(1 << slots, -1, np.int64)
+        self.value, self.to = np.zeros(1 << slots, np.int32), np.zeros(1 << slots, np.int32)
+        keys, to, at = np.array(keys, np.int64), np.array(to, np.int32), np.array(at, np.int32) << 5
+        slot = self._slot(keys)
+        while len(keys):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = keys[free]
+            put = self.keys[slot] == keys
+            self.value[slot[put]], self.to[slot[put]] = at[put], to[put]
+            keys, to, at, slot = keys[~put], to[~put], at[~put], slot[~put] + 1 & self.last
+        self.single = np.full(0x110000, -1, np.int32)
+        for piece, i in ids.items():
+            if len(piece) == 1:
+                self.single[ord(piece)] = i
+
+    def found(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The candidate of each pair at its place, and the piece it makes."""
+        key = left.astype(np.int64) * self.size + right
+        slot = self._slot(key)
+        there = self.keys[slot]
+        astray = np.flatnonzero((there != key) & (there >= 0))
+        while len(astray):
+            slot[astray] = slot[astray] + 1 & self.last
+            there[astray] = self.keys[slot[astray]]
+            astray = astray[(there[astray] != key[astray]) & (there[astray] >= 0)]
+        return np.where(there == key, self.value[slot] + place.astype(np.int32), _DONE), self.to[slot]
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(_STEP) >> self.shift).astype(np.int64)
+
+    def run(self, found: list[str], skip: np.ndarray) -> tuple[list[bytes | None], np.ndarray]:
+        """Ids of each word that skips these candidates, and how many came up.
+
+        What needs a plain agenda (long words, characters without a piece, candidates beyond the lanes)
+        has no ids and counts as beyond the lanes.
+        """
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        letters = self.single[np.frombuffer("".join(found).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        starts = np.cumsum(lengths) - lengths
+        known = (lengths > 0) & (lengths <= SHORT)
+        if len(found):
+            known[np.repeat(np.arange(len(found)), lengths)[letters < 0]] = False
+        ids: list[bytes | None] = [None] * len(found)
+        came = np.full(len(found), LANES + 1, np.int64)
+        order = np.flatnonzero(known)
+        order = order[np.argsort(lengths[order], kind="stable")]
+        for at in range(0, len(order), TOGETHER):
+            chosen = order[at : at + TOGETHER]
+            self._together(chosen, lengths[chosen], starts[chosen], letters, skip[chosen], ids, came)
+        return ids, came
+
+    def _together(self, chosen, lengths, starts, letters, skip, ids, came) -> None:
+        n, w = int(lengths.max()), len(chosen)
+        place, all_words = np.arange(n)[:, None], np.arange(w)
+        here = place < lengths
+        # Row n takes what is written past either end of a word.
+        piece = np.zeros((n + 1, w), np.int32)
+        piece[:n][here] = letters[(starts + place)[here]]
+        right, left = (np.repeat(np.arange(a, a + n + 1, dtype=np.int32)[:, None], w, 1) for a in (1, -1))
+        best, to = np.full((n + 1, w), _DONE), np.zeros((n + 1, w), np.int32)
+        pairs = place[: n - 1] + 1 < lengths
+        if n > 1 and pairs.any():
+            best[: n - 1][pairs], to[: n - 1][pairs] = self.found(
+                piece[: n - 1][pairs], piece[1:n][pairs], np.broadcast_to(place[: n - 1], pairs.shape)[pairs]
+            )
+        alive, count, words_left = here.copy(), np.zeros(w, np.int64), all_words
+        while len(words_left):
+            least = (best if len(words_left) == w else best[:, words_left]).min(0)
+            going = least != _DONE
+            words_left, least = words_left[going], least[going]
+            i = least & 31
+            skipped = (skip[words_left] >> np.minimum(count[words_left], 62) & 1).astype(bool)
+            count[words_left] += 1
+            best[i, words_left] = _DONE
+            late = count[words_left] > LANES
+            if late.any():
+                words_left, i, skipped = words_left[~late], i[~late], skipped[~late]
+            x, i = words_left[~skipped], i[~skipped]
+            j = right[i, x]
+            k, h = right[j, x], left[i, x]
+            made = to[i, x]
+            piece[i, x], right[i, x] = made, k
+            left[np.minimum(k, n), x] = i
+            best[j, x], alive[j, x] = _DONE, False
+            best[i, x], to[i, x] = self.found(made, piece[np.minimum(k, n), x], i)
+            best[i, x] = np.where(k < lengths[x], best[i, x], _DONE)
+            inside = h >= 0
+            h, x, made = h[inside], x[inside], made[inside]
+            best[h, x], to[h, x] = self.found(piece[h, x], made, h)
+        out = piece[:n].T[alive.T].tobytes()
+        ends = (np.cumsum(alive.sum(0)) * 4).tolist()
+        came[chosen] = count
+        start = 0
+        for word, end, c in zip(chosen.tolist(), ends, count.tolist()):
+            if c <= LANES:
+                ids[word] = out[start:end]
+            start = end
 
 
 class Pieces:
@@ -136,6 +256,7 @@ class Pieces:
             text.append(raw)
         self.text = pa.array(text, pa.large_binary())
         self.words = word_pattern(self.id)
+        self.merges = Merges(self.id, self.rank)
         self.seen = Seen(cache_entries)
 
     @classmethod
@@ -155,35 +276,50 @@ class Pieces:
         place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         start = words.mix(keys ^ words.mix(np.array([seed & _MASK], np.uint64)))
         drawn = words.mix(np.repeat(start, counts) + place.astype(np.uint64))
-        bits, get, at, out = skips(drawn, dropout).tolist(), self.seen.get, 0, []
-        for found in cut:
-            ids = []
-            for word in found:
-                skip, path = bits[at], get(word)
-                if path is None or skip & path[0]:
-                    ids.append(self._path(word, skip, drawn[at], dropout))
-                else:
-                    ids.append(path[1])
-                at += 1
-            out.append(np.frombuffer(b"".join(ids), np.int32))
-        return out
-
-    def _path(self, word: str, skip: int, key: np.uint64, dropout: float) -> bytes:
-        """Ids of a word that skips the candidates of these bits, from a path seen before if there is one."""
-        path, home, name, rest, depth = self.seen.find(word), self.seen, word, skip, 0
-        while path is not None and rest & path[0]:
-            name = rest & -rest
-            rest ^= name
-            depth += 1
-            home = path[2]
-            path = home.get(name)
-        if path is not None:
-            return path[1]
-        merged, decided = self._merge(word, skip, key, dropout)
-        ids, mask = array("i", merged).tobytes(), (1 << decided) - 1
-        if decided <= LANES and not rest & mask and depth <= DEPTH:
-            self.seen.keep(home, name, [mask, ids, {} if depth < DEPTH else NONE])
-        return ids
+        flat = [word for found in cut for word in found]
+        kinds = {word: i for i, word in enumerate(dict.fromkeys(flat))}
+        code, kinds = np.fromiter(map(kinds.__getitem__, flat), np.int64, len(flat)), list(kinds)
+        parts, came = self._undropped(kinds)
+        # Few lanes tell for most words that nothing is skipped.
+        bits = skips(drawn, dropout, _FEW)
+        more = np.flatnonzero((bits & _mask(came)[code] != 0) | (came[code] > _FEW))
+        bits[more] = skips(drawn[more], dropout)
+        path = code.copy()
+        at = more[(bits[more] & _mask(came)[code[more]] != 0) | (came[code[more]] > LANES)]
+        # Words that skip one candidate, told apart by its number; then those that skip more, one by one.
+        lone = bits[at] & -bits[at]
+        asked, which = np.unique(code[at] << 32 | lone, return_inverse=True)
+        ids, n = self.merges.run([kinds[c] for c in (asked >> 32).tolist()], asked & 0xFFFFFFFF)
+        settled = (came[code[at]] <= LANES) & (n[which] <= LANES) & (bits[at] & ~lone & _mask(n)[which] == 0)
+        path[at[settled]] = len(parts) + which[settled]
+        parts += ids
+        at = at[~settled]
+        path[at] = len(parts) + np.arange(len(at))
+        asked = [flat[i] for i in at.tolist()]
+        ids, n = self.merges.run(asked, bits[at])
+        for i, word, found in zip(at.tolist(), asked, ids):
+            if found is None:
+                found = array("i", self._merge(word, int(bits[i]), drawn[i], dropout)[0]).tobytes()
+            parts.append(found)
+        ids = list(map(parts.__getitem__, path.tolist()))
+        ends = np.cumsum(counts).tolist()
+        return [np.frombuffer(b"".join(ids[a:b]), np.int32) for a, b in zip([0, *ends], ends)]
+
+    def _undropped(self, found: list[str]) -> tuple[list[bytes], np.ndarray]:
+        """Ids of each word and how many candidates came up; beyond the lanes, ids stay out."""
+        paths = [self.seen.find(word) for word in found]
+        new = [i for i, path in enumerate(paths) if path is None]
+        merged, came = self.merges.run([found[i] for i in new], np.zeros(len(new), np.int64))
+        for i, ids, n in zip(new, merged, came.tolist()):
+            if ids is None:
+                n = LANES + 1
+                if len(found[i]) <= SHORT:
+                    plain, n = self._merge(found[i], 0, np.uint64(0), 0.0)
+                    ids = array("i", plain).tobytes()
+            paths[i] = ids or b"", n
+            if len(found[i]) <= SHORT:
+                self.seen.keep(found[i], paths[i])
+        return [ids for ids, _ in paths], np.array([n for _, n in paths], np.int64)
 
     def _merge(self, word: str, skip: int, key: np.uint64, dropout: float) -> tuple[list[int], int]:
         """Pieces, and how many candidates came up.
