@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
 from operator import add
@@ -33,8 +34,8 @@ from tidewheel.llm import words
 from tidewheel.llm.common import text_bytes
 
 MARK = "▁"
-#: Ids decoded at once.
-IDS = 1 << 20
+#: Bytes of texts encoded at once, and ids decoded at once.
+BYTES, IDS = 1 << 21, 1 << 20
 _MASK = (1 << 64) - 1
 _STEP = 0x9E3779B97F4A7C15
 #: Candidates of a word whose skips are drawn ahead; words with more are merged anew each time.
@@ -277,9 +278,10 @@ class Pieces:
         start = words.mix(keys ^ words.mix(np.array([seed & _MASK], np.uint64)))
         drawn = words.mix(np.repeat(start, counts) + place.astype(np.uint64))
         flat = [word for found in cut for word in found]
-        kinds = {word: i for i, word in enumerate(dict.fromkeys(flat))}
-        code, kinds = np.fromiter(map(kinds.__getitem__, flat), np.int64, len(flat)), list(kinds)
-        parts, came = self._undropped(kinds)
+        numbered: dict[str, int] = defaultdict()
+        numbered.default_factory = numbered.__len__
+        code, kinds = np.fromiter(map(numbered.__getitem__, flat), np.int64, len(flat)), list(numbered)
+        parts, came = self._undropped(kinds, np.bincount(code, minlength=len(kinds)))
         # Few lanes tell for most words that nothing is skipped.
         bits = skips(drawn, dropout, _FEW)
         more = np.flatnonzero((bits & _mask(came)[code] != 0) | (came[code] > _FEW))
@@ -305,21 +307,34 @@ class Pieces:
         ends = np.cumsum(counts).tolist()
         return [np.frombuffer(b"".join(ids[a:b]), np.int32) for a, b in zip([0, *ends], ends)]
 
-    def _undropped(self, found: list[str]) -> tuple[list[bytes], np.ndarray]:
-        """Ids of each word and how many candidates came up; beyond the lanes, ids stay out."""
-        paths = [self.seen.find(word) for word in found]
-        new = [i for i, path in enumerate(paths) if path is None]
-        merged, came = self.merges.run([found[i] for i in new], np.zeros(len(new), np.int64))
-        for i, ids, n in zip(new, merged, came.tolist()):
-            if ids is None:
-                n = LANES + 1
-                if len(found[i]) <= SHORT:
-                    plain, n = self._merge(found[i], 0, np.uint64(0), 0.0)
-                    ids = array("i", plain).tobytes()
-            paths[i] = ids or b"", n
+    def _undropped(self, found: list[str], times: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """Ids of each word and how many candidates came up; beyond the lanes, ids stay out.
+
+        Only words that come twice or more are looked up and kept.
+        """
+        parts: list[bytes] = [b""] * len(found)
+        came = np.zeros(len(found), np.int64)
+        once = times < 2
+        for i in np.flatnonzero(~once).tolist():
+            path = self.seen.find(found[i])
+            if path is None:
+                once[i] = True
+            else:
+                parts[i], came[i] = path
+        new = np.flatnonzero(once)
+        words_new = [found[i] for i in new.tolist()]
+        merged, n_came = self.merges.run(words_new, np.zeros(len(new), np.int64))
+        for at in np.flatnonzero(n_came > LANES).tolist():
+            if len(words_new[at]) <= SHORT:
+                plain, n_came[at] = self._merge(words_new[at], 0, np.uint64(0), 0.0)
+                merged[at] = array("i", plain).tobytes()
+        came[new] = n_came
+        for i, ids in zip(new.tolist(), merged):
+            parts[i] = ids
+        for i in new[times[new] > 1].tolist():
             if len(found[i]) <= SHORT:
-                self.seen.keep(found[i], paths[i])
-        return [ids for ids, _ in paths], np.array([n for _, n in paths], np.int64)
+                self.seen.keep(found[i], (parts[i], int(came[i])))
+        return parts, came
 
     def _merge(self, word: str, skip: int, key: np.uint64, dropout: float) -> tuple[list[int], int]:
         """Pieces, and how many candidates came up.
@@ -376,7 +391,7 @@ class Pieces:
 
 
 def encode_documents(
-    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, copy: str | None = None, cache_entries: int = 1 << 18
+    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, copy: str | None = None, cache_entries: int = 1 << 16
 ) -> DataFrame:
     """row (all columns of docs (doc_id, text, ...)) and ids, the pieces of its whole text.
 
@@ -391,7 +406,7 @@ def encode_documents(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.here(model, cache_entries)
         for batch in batches:
-            for part in words.pieces(batch, "text", 1 << 19):
+            for part in words.pieces(batch, "text", BYTES):
                 texts = [t.decode("utf-8", "replace") for t in part.column("text").to_pylist()]
                 ids = pieces.encode_all(texts, part.column("h").to_numpy().view(np.uint64), seed, dropout)
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
