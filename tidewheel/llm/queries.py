@@ -211,5 +211,16 @@ FROM m JOIN s ON s.d = m.d AND s.prefix = m.prefix LEFT JOIN m u ON u.d = m.d -
 """
 
 
+#: Of equal payloads of 100 bytes or more the smallest page is the response.
+ARCHIVE_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p),
+r AS (SELECT *, strlen(payload) >= 100 AND page_id <> first_id AS again FROM f)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest,
+    CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first_id END AS refers_to
+FROM r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op11_block_max_maxscore": SEARCH_SQL, "op12_prefix_trie": TRIE_SQL}
+    return {"op3_warc": ARCHIVE_SQL, "op11_block_max_maxscore": SEARCH_SQL, "op12_prefix_trie": TRIE_SQL}
