@@ -122,29 +122,31 @@ class Merges:
     def __init__(self, ids: dict[str, int], rank: dict[str, float]):
         self.size = max(ids.values(), default=0) + 1
         order = {r: i for i, r in enumerate(sorted(set(rank.values())))}
-        keys, to, at = [], [], []
+        # A candidate's place goes in its lowest bits: the least one is the best, the leftmost among equals.
+        if len(order) >= 1 << 26 or self.size > 1 << 21:
+            raise ValueError("more scores than 26 bits or ids than 21 bits tell apart")
+        self.value = np.zeros(self.size, np.int32)
+        keys, to = [], []
         for piece, i in ids.items():
+            self.value[i] = order[rank[piece]] << 5
             for cut in range(1, len(piece)):
                 left, right = ids.get(piece[:cut]), ids.get(piece[cut:])
                 if left is not None and right is not None:
                     keys.append(left * self.size + right)
                     to.append(i)
-                    at.append(order[rank[piece]])
-        # A candidate's place goes in its lowest bits: the least one is the best, the leftmost among equals.
-        if len(order) >= 1 << 26:
-            raise ValueError("more scores than 26 bits tell apart")
-        slots = max(10, (2 * len(keys)).bit_length())
+        slots = max(10, (4 * len(keys)).bit_length())
         self.shift, self.last = np.uint64(64 - slots), (1 << slots) - 1
-        self.keys = np.full(1 << slots, -1, np.int64)
-        self.value, self.to = np.zeros(1 << slots, np.int32), np.zeros(1 << slots, np.int32)
-        keys, to, at = np.array(keys, np.int64), np.array(to, np.int32), np.array(at, np.int32) << 5
-        slot = self._slot(keys)
-        while len(keys):
-            free = self.keys[slot] < 0
-            self.keys[slot[free]] = keys[free]
-            put = self.keys[slot] == keys
-            self.value[slot[put]], self.to[slot[put]] = at[put], to[put]
-            keys, to, at, slot = keys[~put], to[~put], at[~put], slot[~put] + 1 & self.last
+        # An entry is a pair's key with the piece it makes in the lowest bits.
+        self.bits = self.size.bit_length()
+        self.low = (1 << self.bits) - 1
+        self.entries = np.full(1 << slots, -1, np.int64)
+        keys = np.array(keys, np.int64)
+        entries, slot = keys << self.bits | np.array(to, np.int64), self._slot(keys)
+        while len(entries):
+            free = self.entries[slot] < 0
+            self.entries[slot[free]] = entries[free]
+            put = self.entries[slot] == entries
+            entries, slot = entries[~put], slot[~put] + 1 & self.last
         self.single = np.full(0x110000, -1, np.int32)
         for piece, i in ids.items():
             if len(piece) == 1:
@@ -152,15 +154,26 @@ class Merges:
 
     def found(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The candidate of each pair at its place, and the piece it makes."""
-        key = left.astype(np.int64) * self.size + right
+        key = left.astype(np.int64)
+        key *= self.size
+        key += right
         slot = self._slot(key)
-        there = self.keys[slot]
-        astray = np.flatnonzero((there != key) & (there >= 0))
+        entry = self.entries[slot]
+        there = entry >> self.bits
+        miss = there != key
+        astray = np.flatnonzero(miss & (there >= 0))
         while len(astray):
             slot[astray] = slot[astray] + 1 & self.last
-            there[astray] = self.keys[slot[astray]]
-            astray = astray[(there[astray] != key[astray]) & (there[astray] >= 0)]
-        return np.where(there == key, self.value[slot] + place.astype(np.int32), _DONE), self.to[slot]
+            entry[astray] = self.entries[slot[astray]]
+            beyond = entry[astray] >> self.bits
+            miss[astray] = beyond != key[astray]
+            astray = astray[miss[astray] & (beyond >= 0)]
+        to = (entry & self.low).astype(np.int32)
+        to[miss] = 0
+        best = self.value[to]
+        best += place.astype(np.int32)
+        best[miss] = _DONE
+        return best, to
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return (key.view(np.uint64) * np.uint64(_STEP) >> self.shift).astype(np.int64)
@@ -188,7 +201,7 @@ class Merges:
 
     def _together(self, chosen, lengths, starts, letters, skip, ids, came) -> None:
         n, w = int(lengths.max()), len(chosen)
-        place, all_words = np.arange(n)[:, None], np.arange(w)
+        place = np.arange(n)[:, None]
         here = place < lengths
         # Row n takes what is written past either end of a word.
         piece = np.zeros((n + 1, w), np.int32)
@@ -200,19 +213,22 @@ class Merges:
             best[: n - 1][pairs], to[: n - 1][pairs] = self.found(
                 piece[: n - 1][pairs], piece[1:n][pairs], np.broadcast_to(place[: n - 1], pairs.shape)[pairs]
             )
-        alive, count, words_left = here.copy(), np.zeros(w, np.int64), all_words
-        while len(words_left):
-            least = (best if len(words_left) == w else best[:, words_left]).min(0)
-            going = least != _DONE
-            words_left, least = words_left[going], least[going]
-            i = least & 31
-            skipped = (skip[words_left] >> np.minimum(count[words_left], 62) & 1).astype(bool)
-            count[words_left] += 1
-            best[i, words_left] = _DONE
-            late = count[words_left] > LANES
+        alive, count = here.copy(), np.zeros(w, np.int64)
+        while True:
+            # Words that are done have no candidate in any place.
+            least = best.min(0)
+            x = np.flatnonzero(least != _DONE)
+            if not len(x):
+                break
+            i = least[x] & 31
+            skipped = (skip[x] >> np.minimum(count[x], 62) & 1).astype(bool)
+            count[x] += 1
+            best[i, x] = _DONE
+            late = count[x] > LANES
             if late.any():
-                words_left, i, skipped = words_left[~late], i[~late], skipped[~late]
-            x, i = words_left[~skipped], i[~skipped]
+                best[:, x[late]] = _DONE
+                skipped |= late
+            x, i = x[~skipped], i[~skipped]
             j = right[i, x]
             k, h = right[j, x], left[i, x]
             made = to[i, x]
@@ -288,14 +304,17 @@ class Pieces:
         bits[more] = skips(drawn[more], dropout)
         path = code.copy()
         at = more[(bits[more] & _mask(came)[code[more]] != 0) | (came[code[more]] > LANES)]
-        # Words that skip one candidate, told apart by its number; then those that skip more, one by one.
+        # Words that skip one candidate, told apart by its number; then those that skip more and those
+        # that stand alone in the batch or go beyond the lanes, one by one.
+        shared = came[code[at]] <= LANES
+        rest, at = at[~shared], at[shared]
         lone = bits[at] & -bits[at]
         asked, which = np.unique(code[at] << 32 | lone, return_inverse=True)
         ids, n = self.merges.run([kinds[c] for c in (asked >> 32).tolist()], asked & 0xFFFFFFFF)
-        settled = (came[code[at]] <= LANES) & (n[which] <= LANES) & (bits[at] & ~lone & _mask(n)[which] == 0)
+        settled = (n[which] <= LANES) & (bits[at] & ~lone & _mask(n)[which] == 0)
         path[at[settled]] = len(parts) + which[settled]
         parts += ids
-        at = at[~settled]
+        at = np.concatenate([rest, at[~settled]])
         path[at] = len(parts) + np.arange(len(at))
         asked = [flat[i] for i in at.tolist()]
         ids, n = self.merges.run(asked, bits[at])
@@ -308,32 +327,28 @@ class Pieces:
         return [np.frombuffer(b"".join(ids[a:b]), np.int32) for a, b in zip([0, *ends], ends)]
 
     def _undropped(self, found: list[str], times: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-        """Ids of each word and how many candidates came up; beyond the lanes, ids stay out.
+        """Ids of each word that comes twice or more, and how many candidates came up.
 
-        Only words that come twice or more are looked up and kept.
+        Words that come once count as beyond the lanes and have no ids; these are merged with their own skips.
         """
         parts: list[bytes] = [b""] * len(found)
-        came = np.zeros(len(found), np.int64)
-        once = times < 2
-        for i in np.flatnonzero(~once).tolist():
+        came = np.full(len(found), LANES + 1, np.int64)
+        new = []
+        for i in np.flatnonzero(times > 1).tolist():
             path = self.seen.find(found[i])
             if path is None:
-                once[i] = True
+                new.append(i)
             else:
                 parts[i], came[i] = path
-        new = np.flatnonzero(once)
-        words_new = [found[i] for i in new.tolist()]
+        words_new = [found[i] for i in new]
         merged, n_came = self.merges.run(words_new, np.zeros(len(new), np.int64))
-        for at in np.flatnonzero(n_came > LANES).tolist():
-            if len(words_new[at]) <= SHORT:
-                plain, n_came[at] = self._merge(words_new[at], 0, np.uint64(0), 0.0)
-                merged[at] = array("i", plain).tobytes()
-        came[new] = n_came
-        for i, ids in zip(new.tolist(), merged):
-            parts[i] = ids
-        for i in new[times[new] > 1].tolist():
-            if len(found[i]) <= SHORT:
-                self.seen.keep(found[i], (parts[i], int(came[i])))
+        for i, word, ids, n in zip(new, words_new, merged, n_came.tolist()):
+            if ids is None and len(word) <= SHORT:
+                plain, n = self._merge(word, 0, np.uint64(0), 0.0)
+                ids = array("i", plain).tobytes()
+            parts[i], came[i] = ids, n
+            if len(word) <= SHORT:
+                self.seen.keep(word, (ids, n))
         return parts, came
 
     def _merge(self, word: str, skip: int, key: np.uint64, dropout: float) -> tuple[list[int], int]:
