@@ -1,7 +1,7 @@
 """Sharding by best-fit-decreasing bin packing of indivisible groups.
 
 Groups are the rows of equal text. Sorted by size, each enters the bin with the least room that still
-holds it; free rooms are kept in order and searched by bisection. The capacity is the smallest (to a
+holds it, found in a balanced tree of free rooms. The capacity is the smallest (to a
 thousandth) for which the wanted number of shards suffices.
 
 Packing is sequential by nature, so it runs at two levels. Each task packs its small groups into
@@ -16,8 +16,8 @@ order the rows of a shard by seeded hash bucket, then by hash and id; equal rows
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -30,24 +30,76 @@ from tidewheel.llm.common import materialize, text_bytes, width
 CRATES = 16384
 
 
+class Rooms:
+    """Balanced tree of the free rooms of bins: 64 ways by the digits of a room, all leaves at one depth.
+
+    Entering, leaving and finding the least room of a size or more each take one walk of that depth.
+    Equal rooms share a leaf and leave it by the number of the bin.
+    """
+
+    def __init__(self, largest: int):
+        # A node is known by the digits above it; its bits say which next digits are there.
+        self.levels: list[dict[int, int]] = [{} for _ in range(max(1, -(-largest.bit_length() // 6)))]
+        self.bins: dict[int, list[int]] = {}
+
+    def add(self, room: int, name: int) -> None:
+        heappush(self.bins.setdefault(room, []), name)
+        for nodes in self.levels:
+            nodes[room >> 6] = nodes.get(room >> 6, 0) | 1 << (room & 63)
+            room >>= 6
+
+    def least(self, size: int) -> int | None:
+        """The least room of this size or more."""
+        for depth, nodes in enumerate(self.levels):
+            found = nodes.get(size >> 6, 0) >> (size & 63)
+            if found:
+                size += _lowest(found)
+                for below in reversed(self.levels[:depth]):
+                    size = size << 6 | _lowest(below[size])
+                return size
+            size = (size >> 6) + 1
+        return None
+
+    def take(self, size: int) -> tuple[int, int] | None:
+        """The tightest bin that holds this size, as (room, bin); it leaves the tree."""
+        room = self.least(size)
+        if room is None:
+            return None
+        name = heappop(self.bins[room])
+        if not self.bins[room]:
+            del self.bins[room]
+            digits = room
+            for nodes in self.levels:
+                nodes[digits >> 6] ^= 1 << (digits & 63)
+                digits >>= 6
+                if nodes[digits]:
+                    break
+                del nodes[digits]
+        return room, name
+
+
+def _lowest(bits: int) -> int:
+    return (bits & -bits).bit_length() - 1
+
+
 class OpenBins:
-    """Bins of one capacity; free rooms stay sorted, so the tightest fit is one bisection away."""
+    """Bins of one capacity, each item in the tightest that holds it."""
 
     def __init__(self, capacity: int, most: int | None = None):
         self.capacity, self.most = capacity, most
-        self.rooms: list[tuple[int, int]] = []
+        self.rooms = Rooms(capacity)
         self.used = 0
 
     def put(self, size: int) -> int | None:
-        at = bisect.bisect_left(self.rooms, (size, -1))
-        if at < len(self.rooms):
-            room, name = self.rooms.pop(at)
+        tightest = self.rooms.take(size)
+        if tightest is not None:
+            room, name = tightest
         elif self.most is None or self.used < self.most:
             room, name = self.capacity, self.used
             self.used += 1
         else:
             return None
-        bisect.insort(self.rooms, (room - size, name))
+        self.rooms.add(room - size, name)
         return name
 
 
