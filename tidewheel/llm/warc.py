@@ -7,6 +7,9 @@ their HTTP message, so the archive itself can be walked by offsets.
 
 Writing gives each task a file of its own, named by task and attempt; the commit lists the files of the
 attempts that won in a manifest, and readers see only those. A repeated task leaves nothing visible.
+Archives that others wrote have no manifest: with option("manifest", "false") every .warc and .warc.gz file of
+the folder is read. Columns whose headers they lack are null, and a body that is no gzip stream in spite
+of its header is returned as stored.
 
 Records with equal payloads of at least 100 bytes: the one with the smallest page id is the response,
 the others revisit it. Smaller payloads are all responses.
@@ -22,6 +25,7 @@ import io
 import json
 import posixpath
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
@@ -44,6 +48,7 @@ SCHEMA = (
 )
 REVISIT_BYTES = 100
 MANIFEST = "manifest.json"
+ENDINGS = (".warc", ".warc.gz")
 #: Fixed: header names of the archive format, ours with a prefix.
 _HEADERS = {
     "page_id": "X-Page-Id", "url": "WARC-Target-URI", "record_type": "WARC-Type", "payload_bytes": "X-Payload-Bytes",
@@ -80,8 +85,11 @@ def _record(row: dict) -> bytes:
     return "\r\n".join(lines).encode() + block + b"\r\n\r\n"
 
 
-def read_records(file, wants=lambda headers: True) -> Iterator[dict]:
-    """Records whose headers are wanted; blocks of the others are passed over by their length."""
+def read_records(file, wants=lambda headers: True, strict: bool = True) -> Iterator[dict]:
+    """Records whose headers are wanted; blocks of the others are passed over by their length.
+
+    A body that cannot be unpacked is an error, or comes as stored where not strict.
+    """
     while True:
         line = file.readline()
         if not line:
@@ -107,7 +115,12 @@ def read_records(file, wants=lambda headers: True) -> Iterator[dict]:
         payload = None
         if headers["record_type"] == "response":
             head, _, body = block.partition(b"\r\n\r\n")
-            payload = gzip.decompress(body) if b"content-encoding: gzip" in head.lower() else body
+            try:
+                payload = gzip.decompress(body) if b"content-encoding: gzip" in head.lower() else body
+            except (OSError, EOFError, zlib.error):
+                if strict:
+                    raise
+                payload = body
         yield headers | {"payload": payload}
 
 
@@ -149,8 +162,8 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, manifest: bool = True):
+        self.path, self.manifest = path, manifest
         self.equal: list[tuple[str, tuple]] = []
         self.null: list[tuple[str, bool]] = []
 
@@ -168,8 +181,13 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         files, folder = open_folder(self.path)
-        with files.open_input_stream(posixpath.join(folder, MANIFEST)) as manifest:
-            names = json.loads(manifest.read())
+        if self.manifest:
+            with files.open_input_stream(posixpath.join(folder, MANIFEST)) as manifest:
+                names = json.loads(manifest.read())
+        else:
+            from pyarrow.fs import FileSelector
+
+            names = sorted(f.base_name for f in files.get_file_info(FileSelector(folder)) if f.base_name.endswith(ENDINGS))
         return [InputPartition(posixpath.join(folder, n)) for n in names] or [InputPartition(None)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
@@ -187,9 +205,11 @@ class WarcReader(DataSourceReader):
         def batch(rows: list[dict]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kinds[c]) for c in names], names=names)
 
-        with files.open_input_file(partition.value) as raw, io.BufferedReader(raw, 1 << 18) as file:
+        packed = partition.value.endswith(".gz")
+        with files.open_input_file(partition.value) as raw, io.BufferedReader(raw, 1 << 18) as plain:
+            file = gzip.GzipFile(fileobj=plain) if packed else plain
             held, size = [], 0
-            for record in read_records(file, wants):
+            for record in read_records(file, wants, self.manifest):
                 held.append(record)
                 size += len(record["payload"] or b"")
                 if len(held) >= 1024 or size > 1 << 22:
@@ -210,7 +230,7 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> WarcReader:
-        return WarcReader(self.options["path"])
+        return WarcReader(self.options["path"], self.options.get("manifest", "true").lower() != "false")
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
         return WarcWriter(self.options["path"])
@@ -242,10 +262,21 @@ def revisit_plan(pages: DataFrame) -> DataFrame:
     )
 
 
-def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write pages to archives in folder (a fresh one of the shared folder if none) and read them back."""
+def write_archive(pages: DataFrame, folder: str | None = None) -> str:
+    """Write pages to archives in folder (a fresh one of the shared folder if none); returns the folder."""
     spark = pages.sparkSession
     register(spark)
     folder = folder or work_path(spark, "warc")
     revisit_plan(pages).write.format("warc").mode("append").save(folder)
-    return spark.read.format("warc").load(folder)
+    return folder
+
+
+def read_archive(spark: SparkSession, folder: str, manifest: bool = True) -> DataFrame:
+    """Records of archives. Spark keeps one set of pushed filters a relation: read anew for each filter."""
+    register(spark)
+    return spark.read.format("warc").option("manifest", str(manifest).lower()).load(folder)
+
+
+def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
+    """Write pages to archives in folder and read them back."""
+    return read_archive(pages.sparkSession, write_archive(pages, folder))
