@@ -31,11 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm import words
-from tidewheel.llm.common import text_bytes
 
 MARK = "▁"
 #: Bytes of texts encoded at once, and ids decoded at once.
-BYTES, IDS = 1 << 21, 1 << 20
+BYTES, IDS = 1 << 20, 1 << 20
 _MASK = (1 << 64) - 1
 _STEP = 0x9E3779B97F4A7C15
 #: Candidates of a word whose skips are drawn ahead; words with more are merged anew each time.
@@ -406,14 +405,15 @@ class Pieces:
 
 
 def encode_documents(
-    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, copy: str | None = None, cache_entries: int = 1 << 16
+    docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, copy: str | None = None, cache_entries: int = 1 << 15
 ) -> DataFrame:
     """row (all columns of docs (doc_id, text, ...)) and ids, the pieces of its whole text.
 
     `copy` names the column that numbers the copies of a document, where docs holds several.
     """
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_bytes().alias("text"),
+    # The text travels once, inside its row.
+    rows = docs.withColumn("text", F.col("text").cast("string")).select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.xxhash64("doc_id", "text", *([copy] if copy else [])).alias("h"),
     )
     kind = rows.schema["row"].dataType.simpleString()
@@ -421,7 +421,8 @@ def encode_documents(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.here(model, cache_entries)
         for batch in batches:
-            for part in words.pieces(batch, "text", BYTES):
+            text = pa.compute.fill_null(batch.column("row").field("text").cast(pa.binary()), b"")
+            for part in words.pieces(batch.append_column("text", text), "text", BYTES):
                 texts = [t.decode("utf-8", "replace") for t in part.column("text").to_pylist()]
                 ids = pieces.encode_all(texts, part.column("h").to_numpy().view(np.uint64), seed, dropout)
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
@@ -435,20 +436,21 @@ def encode_documents(
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
     """The columns of encoded with decoded, the text that ids stand for."""
     names = encoded.columns
-    rows = encoded.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("ids"))
+    rows = encoded.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
     kind = rows.schema["row"].dataType.simpleString()
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces.here(model, 1 << 16)
+        pieces = Pieces.here(model, 1 << 15)
         for batch in batches:
-            counts = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(batch.column("ids")), 0))
+            ids = batch.column("row").field("ids")
+            counts = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(ids), 0))
             at = 0
             while at < len(counts):
                 # Rows of some IDS ids at a time; a longer row comes alone.
                 to = at + max(1, int(np.searchsorted(np.cumsum(counts[at:]), IDS, side="right")))
                 part = batch.slice(at, to - at)
                 ends = np.concatenate([[0], np.cumsum(counts[at:to])])
-                texts = pieces.decode(part.column("ids").flatten(), ends)
+                texts = pieces.decode(ids.slice(at, to - at).flatten(), ends)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), pa.array(texts, pa.binary())], names=["row", "decoded"]
                 )
