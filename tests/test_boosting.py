@@ -140,3 +140,31 @@ def test_tuning_is_judged_by_time(spark, sf_dir):
     turned = coded.withColumn(bookings.TARGET, -coded[bookings.TARGET])
     assert [r.trial for r in training.tune(coded, turned, trials).collect()] == [0, 1]
     assert [r.rmse for r in training.tune(coded, coded.limit(0), trials).collect()] == [None, None]
+
+
+def test_a_million_cells_need_no_job_for_each_level(spark, monkeypatch):
+    frame = spark.range(1_100_000).selectExpr("id % 200 as a", "int(id / 200) % 200 as b", "int(id / 40000) as c", "double(id % 7) as y")
+
+    def spread(*_):
+        raise AssertionError("a job for each level of each tree")
+
+    monkeypatch.setattr(boosting, "_fit_spread", spread)
+    model = boosting.fit(frame, NAMES, "y", [boosting.Settings(2, 0.5, 3)])[0]
+    assert [len(t.feature) > 1 for t in model.trees] == [True, True]
+
+
+def test_features_counted_together_have_their_own_sums():
+    rng = np.random.default_rng(5)
+    widths = [3, 200, 2, 12, 40, 1]
+    offsets = np.append(0, np.cumsum(widths))
+    bins = np.stack([rng.integers(0, w, 3000) for w in widths], axis=1).astype(np.uint8)
+    node, n, gradient = rng.integers(-1, 4, 3000), rng.integers(1, 9, 3000), rng.integers(-(1 << 58), 1 << 58, 3000) >> 3
+    joint = boosting.joint_columns(bins, offsets)
+    assert sorted(f for features, _, _ in joint for f in features) == list(range(6)) and len(joint) == 3
+    for sums in (gradient, gradient >> 40):
+        found = boosting.histograms(joint, node, n, sums, 4, offsets)
+        for place in range(4):
+            for f, width in enumerate(widths):
+                for value in range(width):
+                    at = (node == place) & (bins[:, f] == value)
+                    assert found[place, :, offsets[f] + value].tolist() == [n[at].sum(), sums[at].sum()]

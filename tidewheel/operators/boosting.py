@@ -10,8 +10,9 @@ integers, and the trees do not depend on how rows are partitioned.
 
 Fitting. All trials grow in lockstep: for each level of each tree one aggregation by (trial, node,
 feature bin) over the cells gives the histograms, and the best cut of each node comes back. Up to
-CELL_LIMIT cells, a proven bound of some megabytes, the cells are broadcast instead and every trial
-is one task that runs the same levels over its own copy; both ways give the same trees.
+CELL_LIMIT cells, a proven bound of some 100 megabytes, the cells are broadcast instead and every trial
+is one task that grows its trees over its own copy; both ways give the same trees. There features of few bins are
+counted together and told apart in the sums, and of two children only the one with fewer rows is counted.
 
 A split has the highest gain, then the first feature, then the lowest cut, with min_rows rows on
 both sides. Rows without a finite label are left out; a table without any gives a model that predicts null.
@@ -31,7 +32,10 @@ from pyspark.sql import functions as F
 from tidewheel.session import materialize
 
 BINS = 255
-CELL_LIMIT = 1 << 20
+#: Cells that are broadcast, a task a trial: 27 bytes each with eleven features, 113 MB in all.
+CELL_LIMIT = 1 << 22
+#: Cells counted at a time, and the most bins of features that are counted together.
+CHUNK, JOINT = 1 << 16, 256
 #: Fixed-point scale of labels, gradients and leaf values.
 SCALE = 1 << 16
 #: Trees between two writes of the state when cells are spread.
@@ -203,20 +207,49 @@ def cells(frame: DataFrame, binning: Binning, label: str) -> DataFrame:
 
 
 def _exact(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Sums of integers by index, exact: in two halves that doubles hold without rounding."""
+    """Sums by index, exact: doubles are whole numbers whose sums they hold, others are summed in two such halves."""
+    if values.dtype == np.float64:
+        return np.bincount(index, values, size).astype(np.int64)
     high, low = values >> _LOW, values & ((1 << _LOW) - 1)
     sums = np.bincount(index, high, size).astype(np.int64) << _LOW
     return sums + np.bincount(index, low, size).astype(np.int64)
 
 
-def histograms(slots: np.ndarray, node: np.ndarray, n: np.ndarray, gradient: np.ndarray, nodes: int, width: int):
-    """Rows and gradients by (node, slot); node is a place among the nodes asked for, or -1."""
-    inside = np.flatnonzero(node >= 0)
-    index = (node[inside, None] * width + slots[inside]).ravel()
-    features = slots.shape[1]
-    size = nodes * width
-    rows = np.bincount(index, np.repeat(n[inside], features), size).astype(np.int64)
-    return rows.reshape(nodes, width), _exact(index, np.repeat(gradient[inside], features), size).reshape(nodes, width)
+def joint_columns(bins: np.ndarray, offsets: np.ndarray) -> list[tuple[list[int], list[int], np.ndarray]]:
+    """(features, their bins, joint bin of each cell), features of few bins together as long as JOINT holds the product."""
+    widths, groups = np.diff(offsets).tolist(), []
+    for f in sorted(range(len(widths)), key=lambda f: widths[f]):
+        if not groups or int(np.prod([widths[g] for g in groups[-1]])) * widths[f] > JOINT:
+            groups.append([])
+        groups[-1].append(f)
+    joint = []
+    for group in groups:
+        column = np.zeros(len(bins), np.uint8)  # JOINT bins, or one feature's, fit a byte
+        for f in group:
+            column = column * np.uint8(widths[f] & 255) + bins[:, f]
+        joint.append((group, [widths[f] for f in group], column))
+    return joint
+
+
+def histograms(joint: list[tuple], node: np.ndarray, n: np.ndarray, gradient: np.ndarray, nodes: int, offsets: np.ndarray) -> np.ndarray:
+    """(nodes, 2, slots): rows and gradients by (node, slot); node is a place among the nodes asked for, or -1."""
+    found = np.zeros((nodes, 2, int(offsets[-1])), np.int64)
+    for at in range(0, len(node), CHUNK):
+        inside = np.flatnonzero(node[at : at + CHUNK] >= 0) + at
+        if not len(inside):
+            continue
+        place, rows, sums = node[inside].astype(np.int64), n[inside], gradient[inside]
+        if int(np.abs(sums).max()) < (1 << 53) // len(sums):  # doubles hold every partial sum
+            sums = sums.astype(np.float64)
+        for features, widths, column in joint:
+            size = int(np.prod(widths))
+            index = place * size + column[inside]
+            for i, values in enumerate((rows, sums)):
+                counted = _exact(index, values, nodes * size).reshape(nodes, *widths)
+                for axis, f in enumerate(features, 1):
+                    others = tuple(a for a in range(1, len(widths) + 1) if a != axis)
+                    found[:, i, offsets[f] : offsets[f + 1]] += counted.sum(axis=others)
+    return found
 
 
 def best_cuts(rows: np.ndarray, gradients: np.ndarray, offsets: np.ndarray, min_rows: int):
@@ -275,35 +308,72 @@ def _level(tree: Tree, frontier: list[int], cuts, offsets: np.ndarray, settings:
     return following
 
 
+class _Growing:
+    """A tree that grows over the cells of a task.
+
+    Of two children only the one with fewer rows is counted; the other is what is left of its parent.
+    """
+
+    def __init__(self, columns: np.ndarray, joint: list, n: np.ndarray, gradient: np.ndarray, offsets: np.ndarray, settings: Settings) -> None:
+        self.columns, self.joint, self.n, self.gradient, self.offsets, self.settings = columns, joint, n, gradient, offsets, settings
+        self.tree, self.levels = Tree(), settings.max_depth
+        self.at = np.zeros(len(n), np.int32)  # the leaf of each cell so far
+        self.open = [0] if self.levels else []
+        self.counted, self.source = list(self.open), [(0, -1)]  # of each open node: its place in counted, its parent's if left over
+        self.whole = np.zeros((0, 2, int(offsets[-1])), np.int64)
+
+    def partial(self) -> np.ndarray:
+        """The histograms of the counted nodes."""
+        place = np.full(len(self.tree.feature), -1, np.int32)
+        place[self.counted] = np.arange(len(self.counted))
+        return histograms(self.joint, place[self.at], self.n, self.gradient, len(self.counted), self.offsets)
+
+    def advance(self, found: np.ndarray) -> None:
+        """Cut the open nodes by the histograms of the counted ones, and move the cells."""
+        tree, before = self.tree, self.open
+        counted, parent = np.array(self.source).T
+        whole, left_over = found[counted], parent >= 0
+        whole[left_over] = self.whole[parent[left_over]] - whole[left_over]
+        cuts = best_cuts(whole[:, 0], whole[:, 1], self.offsets, self.settings.min_rows)
+        following = _level(tree, before, cuts, self.offsets, self.settings)
+        self.levels -= 1
+        self.whole, self.open, self.counted, self.source = whole, following if self.levels else [], [], []
+        wanted = set(self.open)
+        for i, (node, left, rows) in enumerate(zip(before, cuts[1].tolist(), cuts[3].tolist())):
+            first = tree.left[node]
+            kept = [c for c in (first, first + 1) if tree.feature[node] >= 0 and c in wanted]
+            if kept:
+                fewer = first + (2 * left > rows)
+                self.source += [(len(self.counted), -1 if c == fewer else i) for c in kept]
+                self.counted.append(fewer)
+        feature, cut, below = (np.array(x, np.int32) for x in (tree.feature, tree.cut, tree.left))
+        for at in range(0, len(self.at), CHUNK):
+            part = self.at[at : at + CHUNK]
+            inner = np.flatnonzero(feature[part] >= 0)
+            on = part[inner]
+            part[inner] = below[on] + (self.columns[feature[on], inner + at] > cut[on])
+
+
 def fit_cells(bins: np.ndarray, n: np.ndarray, totals: np.ndarray, offsets: np.ndarray, base: int, settings: Settings) -> list[Tree]:
     """The trees of one trial over all cells, level by level."""
-    slots = bins.astype(np.int64) + offsets[:-1]
-    width = int(offsets[-1])
+    columns, joint = np.ascontiguousarray(bins.T), joint_columns(bins, offsets)
+    rows = n.astype(np.float64) if int(n.sum()) < 1 << 53 else n
     sums = np.full(len(bins), base, np.int64)
     trees = []
     for _ in range(settings.n_estimators):
-        tree, frontier = Tree(), [0]
-        gradient = totals - n * sums
-        at = np.zeros(len(bins), np.int64)  # the leaf of each cell so far
-        for _ in range(settings.max_depth):
-            place = np.full(len(tree.feature), -1)
-            place[frontier] = np.arange(len(frontier))
-            found = histograms(slots, place[at], n, gradient, len(frontier), width)
-            frontier = _level(tree, frontier, best_cuts(*found, offsets, settings.min_rows), offsets, settings)
-            feature, cut, left = np.array(tree.feature), np.array(tree.cut), np.array(tree.left)
-            inner = np.flatnonzero(feature[at] >= 0)
-            on = at[inner]
-            at[inner] = left[on] + (bins[inner, feature[on]] > cut[on])
-            if not frontier:
-                break
-        sums += np.array(tree.value, np.int64)[at]
-        trees.append(tree)
+        growing = _Growing(columns, joint, rows, totals - n * sums, offsets, settings)
+        while growing.open:
+            growing.advance(growing.partial())
+        sums += np.array(growing.tree.value, np.int64)[growing.at]
+        trees.append(growing.tree)
     return trees
 
 
 def _read_cells(batch: pa.RecordBatch, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    bins = np.frombuffer(b"".join(x.as_py() for x in batch.column("bins")), np.uint8).reshape(len(batch), -1)[:, :features]
-    return bins, *(np.asarray(batch.column(c), dtype=np.int64) for c in ("n", "total"))
+    packed = batch.column("bins").cast(pa.binary())
+    edges = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(batch) + 1]
+    flat = np.frombuffer(packed.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]]
+    return flat.reshape(len(batch), -1)[:, :features], *(np.asarray(batch.column(c), dtype=np.int64) for c in ("n", "total"))
 
 
 def _fit_tasks(known: DataFrame, binning: Binning, base: int, trials: list[Settings]) -> list[list[Tree]]:
@@ -352,13 +422,14 @@ def _fit_spread(known: DataFrame, binning: Binning, base: int, trials: list[Sett
                 if not len(batch):
                     continue
                 bins, n, totals, sums = read(batch)
-                slots = bins.astype(np.int64) + offsets[:-1]
+                joint = joint_columns(bins, offsets)
                 for trial, (plain, frontier) in growing.value.items():
                     tree = Tree(*plain)
                     place = np.full(len(tree.feature), -1)
                     place[frontier] = np.arange(len(frontier))
                     gradient = totals - n * sums[:, trial]
-                    rows, found = histograms(slots, place[tree.route(bins)], n, gradient, len(frontier), int(offsets[-1]))
+                    counted = histograms(joint, place[tree.route(bins)], n, gradient, len(frontier), offsets)
+                    rows, found = counted[:, 0], counted[:, 1]
                     node, slot = np.nonzero(rows)
                     yield pa.RecordBatch.from_pydict({
                         "trial": pa.array(np.full(len(node), trial, np.int64)), "node": pa.array(np.array(frontier, np.int64)[node]),
