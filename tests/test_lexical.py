@@ -108,3 +108,35 @@ def test_bounds_pass_over_blocks(spark, monkeypatch):
     assert least[0] > 4 and best.ids[0].tolist() == [0, 1, 2, 3, 4]
     lexical._score(held, np.array([1]), asked, weights, 2.0, best, least)
     assert len(touched) - first < first  # the second time most blocks are only looked at
+
+
+def test_the_join_shuffles_no_pair(spark, corpus):
+    """The parts of a pair meet where its document lies: no exchange by query and document."""
+    import re
+
+    docs, queries = frames(spark, corpus)
+    found = lexical.bm25(docs, queries, 6, scan_terms=0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(id#\d+L?, \d+\)", plan)
+    assert not re.search(r"hashpartitioning\((query_id#\d+L?, id|id#\d+L?, query_id)#?", plan)
+
+
+def test_blocks_of_the_join_and_repeated_ids(spark, corpus):
+    docs, queries = frames(spark, corpus)
+    wanted = lexical.query_terms(queries)
+    assert places(lexical._by_terms(docs, wanted, 6, join_terms=9)) == brute(*corpus, 6)
+    twice = docs.unionByName(docs.where("id = 2"))
+    one, many = (lexical._by_terms(twice, wanted, 6, join_terms=n).collect() for n in (500_000, 9))
+    assert sorted(one) == sorted(many) and len({(r.query_id, r.id) for r in one}) == len(one)
+
+
+def test_pieces_hold_a_bounded_number_of_terms(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(lexical, "SHARD_TERMS", 50)
+    words = [["a", "b"] * 10, None, ["c"] * 200, [], ["a"] * 31, ["d"] * 20]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(words, pa.list_(pa.string()))], names=["id", "terms"])
+    pieces = list(lexical.postings(iter([batch, batch])))
+    assert [i for p in pieces for i in p.column(0)[0].as_py()] == [*range(6), *range(6)]
+    sums = [sum(max(0, n) for n in p.column(1)[0].as_py()) for p in pieces]
+    assert max(sums) == 200 and sum(s > 50 for s in sums) == 2

@@ -25,7 +25,9 @@ COLUMN_WEIGHTS = {"text": 0.6, "title": 0.3, "summary": 0.1}
 DIGITS = 6
 SCAN_TERMS = 20_000  # (query, term) pairs that travel with one scan of the index
 BLOCK_CELLS = 4_000_000  # query × document scores worked on at a time
+JOIN_TERMS = 500_000  # (query, term) pairs that travel to the documents' terms at once
 SHARD_DOCS = 4096  # documents of one piece of the index
+SHARD_TERMS = 1 << 18  # and their terms, unless one document alone has more
 BLOCK = 64  # postings of one block
 
 
@@ -35,10 +37,46 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(id, length, term, tf) for terms of the vocabulary only; the rest never leaves the scan."""
+    """(id, length, term, tf) for terms of the vocabulary only, all rows of an id in one partition.
+
+    A document's terms are counted where it lies; what is shuffled is one row for each of its different terms
+    that the vocabulary holds.
+    """
     tokens = docs.select("id", text.terms(F.col("text")).alias("_t")).withColumn("length", F.size("_t"))
-    hits = nested.one_row_each(tokens, "_t", "term").drop("_t").join(vocabulary, "term", "left_semi")
-    return hits.groupBy("id", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
+    kind = dict(tokens.dtypes)["id"]
+    counted = tokens.select("id", "length", "_t").mapInArrow(_counted, f"id {kind}, length int, terms array<string>, tfs array<long>")
+    pairs = counted.select("id", "length", F.arrays_zip("terms", "tfs").alias("_p"))
+    hits = nested.one_row_each(pairs, "_p", "hit").select("id", "length", F.col("hit.terms").alias("term"), F.col("hit.tfs").alias("tf"))
+    known = hits.join(vocabulary, "term", "left_semi").repartition("id")
+    return known.groupBy("id", "length", "term").agg(F.sum("tf").alias("tf"))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, length, terms) rows with each different term of a row once, and how often it occurs."""
+    for batch in batches:
+        for part in slices(batch, 2):
+            words = part.column(2)
+            lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            coded = words.flatten().dictionary_encode()
+            size = max(1, len(coded.dictionary))
+            key, tf = np.unique(np.repeat(np.arange(len(lengths)), lengths) * size + np.asarray(coded.indices), return_counts=True)
+            edges = pa.array(np.searchsorted(key, np.arange(len(lengths) + 1) * size).astype(np.int32))
+            terms = pa.ListArray.from_arrays(edges, coded.dictionary.take(pa.array(key % size)))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), terms, pa.ListArray.from_arrays(edges, pa.array(tf.astype(np.int64)))],
+                names=["id", "length", "terms", "tfs"],
+            )
+
+
+def slices(batch: pa.RecordBatch, terms: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most SHARD_TERMS entries of the list column of number `terms`, a row at least."""
+    stops = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(terms)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(batch):
+        before = int(stops[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(stops, before + SHARD_TERMS, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
 
 
 def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, scan_terms: int = SCAN_TERMS) -> DataFrame:
@@ -57,15 +95,15 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, scan_terms: int = SCA
         queries = queries.withColumn("query_id", F.col("query_id").cast("long"))
     wanted = query_terms(queries)
     if scan_terms <= 0 or not whole_numbers:
-        return _ranked(_by_terms(docs, wanted), k)
+        return _by_terms(docs, wanted, k)
     tokens = docs.select("id", text.terms(F.col("text")).alias("terms"))
     index, found = tokens.mapInArrow(postings, POSTINGS), None
     blocks = _query_blocks(wanted, scan_terms)
     first, second = next(blocks, None), next(blocks, None)
     if second is not None:
-        index = materialize(index, "lexical")
+        index, tokens = materialize(index, "lexical"), None
     for block in itertools.chain([b for b in (first, second) if b is not None], blocks):
-        part = _search(index, block, k)
+        part = _search(index, block, k, tokens)
         found = part if found is None else found.unionByName(part)
     return _ranked(found, k) if found is not None else _nothing(docs)
 
@@ -78,19 +116,30 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return top_per_key(found, ["query_id"], [F.col("score").desc(), F.col("id")], k)
 
 
-def _by_terms(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Scores of all matching pairs, through an equi-join of document and query terms."""
+def _by_terms(docs: DataFrame, wanted: DataFrame, k: int, join_terms: int = JOIN_TERMS) -> DataFrame:
+    """The k best of all matching pairs, through an equi-join of document and query terms.
+
+    Terms are partitioned by document, and the weights of a block of whole queries travel to them, so that a
+    pair's parts meet where the document lies and each task hands on its k best: no pair is shuffled. More than
+    about `join_terms` (query, term) pairs mean more blocks over the same partitions.
+    """
     size = docs.agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.size(text.terms(F.col("text")))).alias("mean")
     ).first()
+    blocks = max(1, -(-wanted.count() // join_terms))
     counts = term_counts(docs, wanted.select("term").distinct())
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (size["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = wanted.join(frequency, "term").select("query_id", "term", idf.alias("idf"))
     norm = K1 * (1 - B + B * F.col("length") / F.lit(size["mean"]))
     part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
-    scored = counts.join(weights, "term").groupBy("query_id", "id")
-    return scored.agg(F.round(F.sum(part), DIGITS).alias("score")).where("score > 0")
+    found = None
+    for block in range(blocks):
+        mine = weights.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block) if blocks > 1 else weights
+        scored = counts.join(F.broadcast(mine), "term").groupBy("query_id", "id")
+        best = _ranked(scored.agg(F.round(F.sum(part), DIGITS).alias("score")).where("score > 0"), k)
+        found = best if found is None else found.unionByName(best)
+    return found
 
 
 POSTINGS = (
@@ -100,21 +149,22 @@ POSTINGS = (
 
 
 def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, terms) rows as an inverted index, a row for each piece of at most SHARD_DOCS documents.
+    """(id, terms) rows as an inverted index, a row for each piece of at most SHARD_DOCS documents and SHARD_TERMS terms.
 
     A row holds the documents' ids and lengths (-1: no text), the terms with their document counts and, end to
     end, each term's postings in document order. They lie in blocks of BLOCK; a block's size, largest
     frequency and least length bound any score it can give.
     """
-    held, size = [], 0
+    held, size, terms = [], 0, 0
     for batch in batches:
         for at in range(0, batch.num_rows, SHARD_DOCS):
-            part = batch.slice(at, SHARD_DOCS)
-            if held and size + part.num_rows > SHARD_DOCS:
-                yield _inverted(pa.Table.from_batches(held))
-                held, size = [], 0
-            held.append(part)
-            size += part.num_rows
+            for part in slices(batch.slice(at, SHARD_DOCS), 1):
+                words = len(part.column(1).flatten())
+                if held and (size + part.num_rows > SHARD_DOCS or terms + words > SHARD_TERMS):
+                    yield _inverted(pa.Table.from_batches(held))
+                    held, size, terms = [], 0, 0
+                held.append(part)
+                size, terms = size + part.num_rows, terms + words
     if size:
         yield _inverted(pa.Table.from_batches(held))
 
@@ -156,8 +206,11 @@ def _query_blocks(wanted: DataFrame, most: int) -> Iterator[list[tuple[int, str]
         yield block
 
 
-def _search(index: DataFrame, wanted: list[tuple[int, str]], k: int) -> DataFrame:
-    """(query_id, id, score): the k best of each task's pieces for one block of queries."""
+def _search(index: DataFrame, wanted: list[tuple[int, str]], k: int, tokens: DataFrame | None = None) -> DataFrame:
+    """(query_id, id, score): the k best of each task's pieces for one block of queries.
+
+    An index that is not written is made again out of `tokens`, in the worker that searches it.
+    """
     spark = index.sparkSession
     named = spark.createDataFrame([(t,) for t in sorted({term for _, term in wanted})], "term string")
     given = F.filter("lengths", lambda x: x >= 0)
@@ -195,7 +248,8 @@ def _search(index: DataFrame, wanted: list[tuple[int, str]], k: int) -> DataFram
         if found is not None:
             yield found
 
-    return index.mapInArrow(scan, "query_id long, id long, score double")
+    found = "query_id long, id long, score double"
+    return index.mapInArrow(scan, found) if tokens is None else tokens.mapInArrow(lambda batches: scan(postings(batches)), found)
 
 
 def _score(piece: dict, query_ids, asked, idf, mean: float, best: Best, least: np.ndarray) -> np.ndarray:
