@@ -94,3 +94,19 @@ def test_empty_corpus_and_no_queries(spark):
     some = vector_index.build(rows, parts=4)
     assert vector_index.exact_top_k(some, queries.limit(0))[0].count() == 0
     assert vector_index.approximate_top_k(some, queries.limit(0))[0].count() == 0
+
+
+def test_distances_to_many_centres_are_held_in_parts():
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    points, centres = rng.normal(size=(4096, 8)), rng.normal(size=(4096, 8))
+    tracemalloc.start()
+    cell, far = vector_index.nearest_centre(points, centres)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held < 64 << 20  # all distances at once are 128 MB
+    some = ((points[:50, None] - centres) ** 2).sum(axis=2)
+    assert cell[:50].tolist() == some.argmin(axis=1).tolist() and np.allclose(far[:50] ** 2, some.min(axis=1))

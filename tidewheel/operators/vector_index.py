@@ -42,6 +42,8 @@ QUERY_BLOCK, TABLE_BLOCK = 4096, 512
 PARTS, PROBES = 16, 0.6
 #: Rows of the corpus that are scored at once.
 STEP = 4096
+#: Distances or scores that a task or the driver holds at once, 8 MB.
+HELD = 1 << 20
 CODEWORDS = 256
 
 
@@ -64,25 +66,34 @@ def k_means(points: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 42) ->
     """Lloyd's rounds over a sample; an empty centre moves to the point farthest from its own."""
     rng = np.random.default_rng(seed)
     centres = points[np.sort(rng.choice(len(points), min(k, len(points)), replace=False))].copy()
-    squares = (points**2).sum(axis=1)
     for _ in range(rounds):
-        far = squares[:, None] - 2 * points @ centres.T + (centres**2).sum(axis=1)
-        nearest = far.argmin(axis=1)
+        nearest, far = _nearest(points, centres)
         counts = np.bincount(nearest, minlength=len(centres))
         sums = np.zeros_like(centres)
         np.add.at(sums, nearest, points)
         filled = counts > 0
         centres[filled] = sums[filled] / counts[filled, None]
-        worst = np.argsort(-far[np.arange(len(points)), nearest], kind="stable")
+        worst = np.argsort(-far, kind="stable")
         empty = np.flatnonzero(~filled)
         centres[empty] = points[worst[: len(empty)]]
     return centres
 
 
+def _nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each point and the square of its distance, HELD distances at a time."""
+    cell, far = np.zeros(len(points), np.int64), np.zeros(len(points))
+    lengths, step = (centres**2).sum(axis=1), max(1, HELD // max(1, len(centres)))
+    for at in range(0, len(points), step):
+        part = points[at : at + step]
+        squares = (part**2).sum(axis=1)[:, None] - 2 * part @ centres.T + lengths
+        cell[at : at + step] = squares.argmin(axis=1)
+        far[at : at + step] = squares[np.arange(len(part)), cell[at : at + step]]
+    return cell, far
+
+
 def nearest_centre(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The nearest centre of each point, and its distance."""
-    far = (points**2).sum(axis=1)[:, None] - 2 * points @ centres.T + (centres**2).sum(axis=1)
-    cell = far.argmin(axis=1)
+    cell = _nearest(points, centres)[0]
     return cell, np.linalg.norm(points - centres[cell], axis=1)
 
 
@@ -313,9 +324,10 @@ def _by_codes(rows: DataFrame, ids: np.ndarray, near: np.ndarray, least: np.ndar
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, centre, lowest, lookup = shared.value
         held = held_ids = None
+        step = max(2 * keep, HELD // len(query_ids))
         for batch in batches:
-            for at in range(0, len(batch), STEP):
-                part = batch.slice(at, STEP)
+            for at in range(0, len(batch), step):
+                part = batch.slice(at, step)
                 cell, numbers = np.asarray(part.column(1)), np.asarray(part.column(0))
                 codes = np.frombuffer(b"".join(c.as_py() for c in part.column(2)), np.uint8).reshape(len(part), -1)
                 scores = centre[:, cell].copy()
