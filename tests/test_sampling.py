@@ -73,3 +73,29 @@ def test_nearest_correlation_has_no_negative_direction():
     near = synthesis._nearest_correlation(bad)
     assert np.allclose(np.diag(near), 1) and np.linalg.eigvalsh(near).min() > 0
     assert np.allclose(synthesis._nearest_correlation(np.eye(4)), np.eye(4))
+
+
+def test_moments_give_the_correlations_of_the_rows_that_have_both(spark):
+    r = random.Random(4)
+    rows = [(r.gauss(0, 1), r.choice([None, -1.0, 0.5]), 2.0, float(i % 3)) for i in range(500)]
+    rows = [(a, None if b is None else a + b, c, d) for a, b, c, d in rows]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3)
+    curves = {c: ([-10.0, 10.0], [-10.0, 10.0]) for c in "abc"}
+    found = synthesis._correlations(synthesis._moments(frame, curves, [F.col("d")]))
+    want = frame.agg(
+        F.corr(F.when(F.col("b").isNotNull(), F.col("a")), "b").alias("ab"), F.corr("a", "d").alias("ad"),
+        F.corr(F.when(F.col("b").isNotNull(), F.col("d")), "b").alias("bd"),
+    ).first()
+    assert np.allclose([found[0, 1], found[0, 3], found[1, 3]], list(want)) and np.allclose(found, found.T)
+    assert found[0, 2] == found[1, 2] == 0 and np.allclose(np.diag(found), 1)
+
+
+def test_synthesis_reads_the_tables_once(spark, sf_dir, monkeypatch):
+    from tidewheel.plans import inputs, training_queries
+
+    seen = []
+    fit = synthesis.fit
+    monkeypatch.setattr(synthesis, "fit", lambda df, *a: seen.append(df) or fit(df, *a))
+    made = training_queries.synthetic_next_month(spark, sf_dir)
+    assert made.count() == inputs.table(spark, sf_dir, "orders").count()
+    assert "Join" not in seen[0]._jdf.queryExecution().executedPlan().toString()

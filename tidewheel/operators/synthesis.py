@@ -7,10 +7,11 @@ aggregation, and the nearest correlation matrix is taken where they do not fit t
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,15 +41,28 @@ def _at(z: Column, values: list[float]) -> Column:
     return low + (place - left) * (high - low)
 
 
-def _normal_scores(columns: list[str], points: dict[str, tuple[list[float], list[float]]]):
-    """Vectorised value → normal score of several columns, each along its own quantile curve."""
+def _moments(df: DataFrame, curves: dict[str, tuple[list[float], list[float]]], scores: list[Column]) -> np.ndarray:
+    """(4, k, k) of the normal scores of k columns: over the rows that have both of a pair, their number, sums of the first
+    column, of its squares, and of products. Numbers are mapped along their quantile curves, `scores` come as they are.
 
-    @F.pandas_udf("array<double>")
-    def scores(rows: pd.DataFrame) -> pd.Series:
-        curves = [np.interp(rows[c].to_numpy(dtype=float, na_value=np.nan), *points[c]) for c in columns]
-        return pd.Series(list(np.column_stack(curves)))
+    Tasks hand on one row each; scores lie within CLIP, so plain sums keep their digits.
+    """
+    points = list(curves.values())
+    numbers = [F.col(c).cast("double").alias(f"_n{i}") for i, c in enumerate(curves)]
+    width = len(numbers) + len(scores)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((4, width, width))
+        for batch in batches:
+            columns = [np.array(c.fill_null(float("nan")), dtype=np.float64) for c in batch.columns]
+            z = np.column_stack([np.interp(c, *points[i]) if i < len(points) else c for i, c in enumerate(columns)])
+            has = (~np.isnan(z)).astype(np.float64)
+            z = np.where(has > 0, z, 0.0)
+            sums += np.stack([has.T @ has, z.T @ has, (z * z).T @ has, z.T @ z])
+        yield pa.RecordBatch.from_arrays([pa.array([sums.ravel().tolist()])], names=["sums"])
 
-    return scores(F.struct(*[F.col(c).cast("double").alias(c) for c in columns]))
+    parts = df.select(*numbers, *scores).mapInArrow(add_up, "sums array<double>").collect()  # a row for each task
+    return np.sum([r["sums"] for r in parts], axis=0).reshape(4, width, width)
 
 
 def _categories(df: DataFrame, value: Column, name: str) -> tuple[dict, Column]:
@@ -67,10 +81,16 @@ def _categories(df: DataFrame, value: Column, name: str) -> tuple[dict, Column]:
     return {"labels": [r["v"] for r in found], "upper_z": [_z(u) for u in upper]}, score
 
 
-def _correlation(a: str, b: str) -> Column:
-    """Of the rows that have both; null where one of them is constant there."""
-    spread = [F.stddev_pop(F.when(F.col(other).isNotNull(), F.col(c))) for c, other in ((a, b), (b, a))]
-    return F.try_divide(F.covar_pop(a, b), spread[0] * spread[1])
+def _correlations(sums: np.ndarray) -> np.ndarray:
+    """Each pair's, of the rows that have both; 0 where there are none or one of the two is constant there."""
+    n = np.maximum(sums[0], 1.0)
+    mean = sums[1] / n
+    spread = np.maximum(sums[2] / n - mean**2, 0.0)
+    product = np.sqrt(spread * spread.T)
+    moves = (spread > 1e-12) & (spread.T > 1e-12)
+    found = np.divide(sums[3] / n - mean * mean.T, product, out=np.zeros_like(mean), where=moves)
+    np.fill_diagonal(found, 1.0)
+    return found
 
 
 def _nearest_correlation(matrix: np.ndarray, rounds: int = 100) -> np.ndarray:
@@ -94,7 +114,8 @@ def fit(df: DataFrame, numeric: list[str], categorical: list[str]) -> dict:
     """Marginals (quantile grids, category shares) and the correlation of normal scores.
 
     What reaches the driver is one grid per column, one share per category and a k × k matrix. A number that is
-    null in every row is null in every synthetic one.
+    null in every row is null in every synthetic one. df is read once for the curves, once for each category and once
+    for the correlations: hand in written rows.
     """
     z_grid = [-CLIP + 2 * CLIP * i / GRID for i in range(GRID + 1)]
     steps = [0.0, *[NormalDist().cdf(z) for z in z_grid[1:-1]], 1.0]
@@ -121,19 +142,7 @@ def fit(df: DataFrame, numeric: list[str], categorical: list[str]) -> dict:
     for c, value in [*[(c, F.col(c)) for c in categorical], *[(MISSING.format(c), F.col(c).isNull()) for c in gappy]]:
         model["categorical"][c], score = _categories(df, value, c)
         scores.append(score.alias(c))
-    numbers = [_normal_scores(known, curves).alias("_numbers")] if known else []
-    scored = df.select(*numbers, *scores)
-    for i, c in enumerate(known):
-        z = F.get("_numbers", F.lit(i))
-        scored = scored.withColumn(c, F.when(~F.isnan(z), z))
-    columns = model["columns"]
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
-    matrix = np.eye(len(columns))
-    if pairs:
-        found = scored.agg(*[_correlation(columns[i], columns[j]).alias(f"r{n}") for n, (i, j) in enumerate(pairs)]).first()
-        for n, (i, j) in enumerate(pairs):
-            value = found[f"r{n}"]
-            matrix[i, j] = matrix[j, i] = value if value is not None and np.isfinite(value) else 0.0
+    matrix = _correlations(_moments(df, curves, scores)) if model["columns"] else np.eye(0)
     model["factor"] = np.linalg.cholesky(_nearest_correlation(matrix))
     return model
 

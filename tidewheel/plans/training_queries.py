@@ -51,8 +51,9 @@ def promotion_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("synthetic_next_month")
 def synthetic_next_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many synthetic bookings as there are real ones, dated into the next month."""
-    rows = inputs.bookings(spark, sf_dir)
     categorical = ["type_of_meal", "room_type", "market_segment_type"]
+    used = [*booking_ops.NUMERIC, booking_ops.TARGET, *categorical, "date_of_reservation"]
+    rows = materialize(inputs.bookings(spark, sf_dir).select(*used), "bookings")
     model = synthesis.fit(rows, [*booking_ops.NUMERIC, booking_ops.TARGET], categorical)
     return synthesis.next_month_rows(spark, model, booking_ops.newest_date(rows), rows.count(), booking_ops.NUMERIC)
 
