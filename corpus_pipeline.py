@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm import jaccard_join, mixing, pieces, substring_dedup, toxicity
-from tidewheel.llm.common import materialize, table
+from tidewheel.llm.common import materialize, row_marks, table, where_marked
 from tidewheel.llm.queries import tokenizer_path
 
 COPY = "mix_copy"
@@ -34,7 +34,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes = jaccard_join.row_classes(rows, size=5, percent=80).withColumnRenamed("doc_id", "__row")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))["__row"].alias("__row")
     kept = classes.join(ids, "__row").groupBy("component_id").agg(first).select("__row")
-    return numbered.join(kept, "__row", "left_semi").select(*docs.columns)
+    return where_marked(numbered, "__row", row_marks(kept, "__row")).select(*docs.columns)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

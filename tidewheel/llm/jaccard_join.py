@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.llm import words
-from tidewheel.llm.common import materialize, text_bytes, width
+from tidewheel.llm.common import materialize, row_marks, text_bytes, where_marked, width
 from tidewheel.llm.components import components, contract
 
 U64 = words.U64
@@ -296,7 +296,7 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def row_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The same over rows whose doc_id is known to be unique."""
+    """The same over rows whose doc_id numbers them uniquely, as monotonically_increasing_id does."""
     spark = docs.sparkSession
     parts = width(spark)
 
@@ -383,8 +383,8 @@ def _cluster_links(rows: DataFrame, members: DataFrame, size: int, percent: int,
     placed = members.join(plan, "cluster").withColumn(
         "chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks").cast("long")).cast("int")
     ).select(F.col("doc_id").alias("standing"), "cluster", "chunks", "chunk")
-    # Copies of a standing document's id (repeated rows) count once.
-    texts = rows.alias("r").join(placed.alias("p"), F.expr("r.doc_id = p.standing")).select(
+    # Only texts of clusters cross a shuffle. Copies of a standing document's id (repeated rows) count once.
+    texts = where_marked(rows, "doc_id", row_marks(members, "doc_id")).alias("r").join(placed.alias("p"), F.expr("r.doc_id = p.standing")).select(
         "r.doc_id", "r.text", "p.cluster", "p.chunks", "p.chunk"
     ).dropDuplicates(["doc_id", "cluster"])
     # A small cluster is one task's work with others; a chunk goes to each pair of chunks it is in.

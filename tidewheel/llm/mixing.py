@@ -8,7 +8,8 @@ decided by a seeded hash, so a rerun takes the same ones.
 
 Only lengths and counts meet in one task: a source has at most sqrt(2 x its words) distinct lengths.
 Documents of one length are ranked in hash buckets, so a length that a third of all rows share is
-ranked in parallel. Texts never cross a shuffle for the plan.
+ranked in parallel. Texts never cross a shuffle: the plan comes down to a cut for each source and length,
+which the documents meet where they are.
 
 Defined results: a null text has 0 words and is taken 0 times; null sources form the last source; a
 source without words has target 0; repeated rows are separate documents. No documents, no rows.
@@ -21,13 +22,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import WORD, materialize, word_count
+from tidewheel.llm.common import materialize, word_count
 from tidewheel.operators.ranking import running_by_key
 
 MOST_PASSES = 3
 BUCKETS = 4096
 #: Words that the dynamic programme fits at most; greedy steps bring the rest below it.
 DP_WORDS = 1 << 16
+#: Most sources and lengths whose cuts are broadcast; more are joined on a salted key.
+BROADCAST_ROWS, SALTS = 1 << 18, 16
 
 
 def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -174,25 +177,49 @@ def mixed_documents(docs: DataFrame, seed: int = 7, share: float = 1.0, copy: st
     """
     number = copy or "__copy"
     names = [f"`{c}`" for c in docs.columns if c != number]
-    key = ["doc_id", "source", "size"]
-    plan = mix_to_weights(docs, seed, share).groupBy(*key).agg(
-        F.min("repeats").alias("least"), F.sum("repeats").alias("all"), F.count("*").alias("n")
-    ).where("all > 0").selectExpr(*key, "least", "all - least * n AS extra", "n")
-    plan = materialize(plan, "mix-plan")
-    same = F.expr(
-        "d.doc_id <=> p.doc_id AND CAST(d.source AS string) <=> p.source "
-        f"AND coalesce(regexp_count(d.text, r'{WORD}'), 0) = p.size"
-    )
-    held = docs.drop(number).withColumn("__row", F.struct(*names))
-    joined = held.select("doc_id", "source", "text", "__row").alias("d").join(plan.alias("p"), same)
-    parts = joined.select("p.doc_id", "p.source", "p.size", "p.least", "p.extra", "p.n", "d.__row", F.xxhash64("d.text").alias("digest"))
-    even = parts.where("extra = 0 OR extra = n").select("__row", F.expr("least + IF(extra = n, 1, 0)").alias("times"))
-    if plan.where("extra > 0 AND extra < n").isEmpty():
-        taken = even
-    else:
-        placed = running_by_key(parts.where("extra > 0 AND extra < n"), key, ["digest"], place="nth")
-        taken = even.unionByName(placed.select("__row", F.expr("least + IF(nth < extra, 1, 0)").alias("times")))
+    cuts = materialize(_cuts(docs, seed, share), "mix-plan")
+    held = docs.drop(number).select(
+        F.struct(*names).alias("__row"), F.col("doc_id"), F.col("source").cast("string").alias("source"),
+        word_count().alias("size"), _order(seed).alias("place"), F.xxhash64("text").alias("digest"),
+    ).alias("d")
+    same = F.expr("d.source <=> p.source AND d.size = p.size")
+    if cuts.count() <= BROADCAST_ROWS:
+        joined = held.join(F.broadcast(cuts).alias("p"), same)
+    else:  # a length of very many documents is met in SALTS places
+        salts = F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)])).alias("salt")
+        joined = held.join(cuts.select("*", salts).alias("p"), same & F.expr(f"pmod(d.digest, {SALTS}) = p.salt"))
+    at = "d.place <=> p.last.place"
+    times = F.expr(f"CASE WHEN p.low = p.high THEN p.low WHEN d.place < p.last.place OR {at} THEN p.high ELSE p.low END")
+    split = F.expr(f"p.low < p.high AND p.last.extra > 0 AND {at}")
+    taken = joined.where(~split).select("__row", times.alias("times"))
+    if not cuts.where("low < high AND last.extra > 0").isEmpty():
+        parts = joined.where(split).select("__row", "d.doc_id", "d.source", "d.size", "d.digest", "p.last.least", "p.last.extra")
+        placed = running_by_key(parts, ["doc_id", "source", "size"], ["digest"], place="nth")
+        taken = taken.unionByName(placed.select("__row", F.expr("least + IF(nth < extra, 1, 0)").alias("times")))
     mixed = taken.where("times > 0").select(
         *[F.col(f"__row.{c}") for c in names], F.explode(F.expr("sequence(1, CAST(times AS int))")).alias(number)
     )
     return mixed if copy else mixed.drop(number)
+
+
+def _order(seed: int) -> Column:
+    """The order in which the plan takes documents of one source and length."""
+    at = _seeded(seed)
+    return F.struct(F.pmod(F.shiftright(at, 32), F.lit(BUCKETS)).alias("bucket"), at.alias("rank_hash"), F.col("doc_id").alias("id"))
+
+
+def _cuts(docs: DataFrame, seed: int, share: float) -> DataFrame:
+    """The plan as one row a source and length: up to `last` documents are taken `high` times, later ones `low` times.
+
+    Rows of one id stand at one place. Where the last place has some of its rows taken once more, `extra` is
+    their number and not 0; the rows of every other place are planned alike.
+    """
+    key = ["doc_id", "source", "size"]
+    places = mix_to_weights(docs, seed, share).groupBy(*key).agg(
+        F.min("repeats").alias("least"), F.sum("repeats").alias("all"), F.count("*").alias("n")
+    ).selectExpr(*key, "least", "all - least * n AS extra").withColumn("place", _order(seed))
+    most = F.expr("least + IF(extra > 0, 1, 0)")
+    return places.groupBy("source", "size").agg(
+        F.min("least").alias("low"), F.max(most).alias("high"),
+        F.max_by(F.struct("place", "least", "extra"), F.struct(most, "place")).alias("last"),
+    )
