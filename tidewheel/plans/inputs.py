@@ -89,17 +89,20 @@ bookings AS (
 # --- inference log -------------------------------------------------------------------------
 
 
-def scored_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One serving call per event, for the booking of the same number, with its prediction."""
+def scored_requests(spark: SparkSession, sf_dir: str, booked: DataFrame | None = None) -> DataFrame:
+    """One serving call per event, for the booking of the same number, with its prediction.
+
+    `booked`: the bookings, where a query has them already; they are derived again otherwise.
+    """
     events = table(spark, sf_dir, "events")
-    booked = bookings(spark, sf_dir)
+    booked = bookings(spark, sf_dir) if booked is None else booked
     joined = events.join(booked, events.event_id == booked.order_key)
     return joined.withColumn("prediction", F.floor((F.col("average_price") + F.col("value") - 50) * 100) / 100)
 
 
-def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def request_log(spark: SparkSession, sf_dir: str, booked: DataFrame | None = None) -> DataFrame:
     """Inference log with JSON request and response."""
-    calls = scored_requests(spark, sf_dir)
+    calls = scored_requests(spark, sf_dir, booked)
     predictions = F.struct(F.array("prediction").alias("Total price per night"))
     return calls.select(
         F.col("ts").alias("request_time"),
@@ -111,9 +114,10 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ground_truth(spark: SparkSession, sf_dir: str, booked: DataFrame | None = None) -> DataFrame:
     """Prices of bookings that are no longer pending."""
-    return bookings(spark, sf_dir).where(F.col("order_status") != "P").select("Booking_ID", "average_price")
+    booked = bookings(spark, sf_dir) if booked is None else booked
+    return booked.where(F.col("order_status") != "P").select("Booking_ID", "average_price")
 
 
 MONITORING_SQL = BOOKINGS_SQL + """,

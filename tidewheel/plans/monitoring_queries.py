@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewheel.operators import inference_log, quality, usage
 from tidewheel.plans import inputs
 from tidewheel.plans.catalogue import query
+from tidewheel.session import materialize
 from tidewheel.sources import ingest
 
 LOADED_UNTIL = "2024-01-15 00:00:00"
@@ -16,8 +17,8 @@ CATEGORICAL = ["market_segment_type", "room_type"]
 DRIFT_NUMERIC = ["lead_time", "average_price"]
 
 
-def monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inference_log.monitoring_rows(inputs.request_log(spark, sf_dir), inputs.ground_truth(spark, sf_dir))
+def monitoring(spark: SparkSession, sf_dir: str, booked: DataFrame | None = None) -> DataFrame:
+    return inference_log.monitoring_rows(inputs.request_log(spark, sf_dir, booked), inputs.ground_truth(spark, sf_dir, booked))
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -295,7 +296,9 @@ SELECT window_start, column_name, CAST(any_value(total) AS BIGINT) AS total, rou
 def monitoring_drift_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KS and Wasserstein distance of each day to the bookings, on values instead of bins."""
     keys = quality.window_keys("request_time", "1 day")
-    found = quality.exact_distances(monitoring(spark, sf_dir), keys, inputs.bookings(spark, sf_dir), DRIFT_NUMERIC)
+    # Calls, truth and baseline read the bookings; their joins run once.
+    booked = materialize(inputs.bookings(spark, sf_dir), "bookings")
+    found = quality.exact_distances(monitoring(spark, sf_dir, booked), keys, booked, DRIFT_NUMERIC)
     return rounded(rounded(found, 8, "ks"), 3, "wasserstein")
 
 
