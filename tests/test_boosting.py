@@ -92,6 +92,51 @@ def test_spread_cells_give_the_same_trees(spark, rows):
     assert [[t.plain() for t in m.trees] for m in far] == [[t.plain() for t in m.trees] for m in near]
 
 
+def test_tasks_that_meet_give_the_same_trees(spark, rows, monkeypatch):
+    """One barrier stage grows all trials over parts of the cells: no copy of all cells, no task with a whole trial."""
+    frame = table(spark, rows).repartition(4)
+    near = boosting.fit(frame, NAMES, "y", TRIALS)
+
+    def alone(*_):
+        raise AssertionError("a task with all cells")
+
+    monkeypatch.setattr(boosting, "_fit_tasks", alone)
+    monkeypatch.setattr(boosting, "_fit_spread", alone)
+    monkeypatch.setattr(boosting, "PART_CELLS", 20)
+    far = boosting.fit(frame, NAMES, "y", TRIALS)
+    assert [[t.plain() for t in m.trees] for m in far] == [[t.plain() for t in m.trees] for m in near]
+
+
+def test_half_a_million_cells_are_shared_by_tasks(spark, monkeypatch):
+    frame = spark.range(600_000).selectExpr("id % 200 as a", "int(id / 200) % 200 as b", "int(id / 40000) as c", "double(id % 7) as y")
+
+    def alone(*_):
+        raise AssertionError("a trial in one task")
+
+    monkeypatch.setattr(boosting, "_fit_tasks", alone)
+    model = boosting.fit(frame, NAMES, "y", [boosting.Settings(2, 0.5, 3)])[0]
+    assert [len(t.feature) > 1 for t in model.trees] == [True, True]
+
+
+def test_sums_beyond_doubles_are_exact():
+    """A part counts rows and gradients of its nodes exactly, with few places and with many."""
+    rng = np.random.default_rng(6)
+    widths = [3, 200, 2, 12, 40, 1]
+    offsets = np.append(0, np.cumsum(widths))
+    bins = np.stack([rng.integers(0, w, 70_000) for w in widths], axis=1).astype(np.uint8)
+    n, totals = rng.integers(1, 9, 70_000), rng.integers(-(1 << 57), 1 << 57, 70_000) >> 10
+    for sums in (totals, totals >> 30):
+        part = boosting._Part(bins, n, sums, offsets, 3, 1)
+        left, columns = part.left[0], part.columns
+        for nodes in ([np.arange(70_000)], list(rng.permutation(70_000)[:900].reshape(90, 10)), [np.zeros(0, np.int64)]):
+            found = part.histograms(nodes, boosting.whole_weights(left))
+            for node, counted in zip(nodes, found):
+                for f, width in enumerate(widths):
+                    for value in range(width):
+                        at = node[columns[f][node] == value]
+                        assert counted[:, offsets[f] + value].tolist() == [part.n[at].sum(), left[at].sum()]
+
+
 def test_errors_of_all_models_in_one_pass(spark, rows):
     frame = table(spark, rows)
     models = boosting.fit(frame, NAMES, "y", TRIALS)

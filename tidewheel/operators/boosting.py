@@ -8,11 +8,12 @@ tree, so one aggregation with map-side combine reduces the table to its distinct
 their count and sum of labels; nothing is lost. Labels are fixed-point numbers, so all sums are exact
 integers, and the trees do not depend on how rows are partitioned.
 
-Fitting. All trials grow in lockstep: for each level of each tree one aggregation by (trial, node,
-feature bin) over the cells gives the histograms, and the best cut of each node comes back. Up to
-CELL_LIMIT cells, a proven bound of some 100 megabytes, the cells are broadcast instead and every trial
-is one task that grows its trees over its own copy; both ways give the same trees. There features of few bins are
-counted together and told apart in the sums, and of two children only the one with fewer rows is counted.
+Fitting. All trials grow in lockstep, level by level, in one barrier stage: every task holds a part of the cells, PART_CELLS
+or more and CELL_LIMIT at most. The tasks sum their histograms by (trial, node, feature bin) through files in the shared
+folder, and each cuts the same nodes. Fewer cells, or a folder that plain files cannot reach, are broadcast up to
+CELL_LIMIT, a proven bound of some 100 megabytes, and every trial is one task that grows its trees over its own copy.
+In both, features are counted together by the combinations that occur, and of two children only the one with fewer
+rows is counted. More cells than that are aggregated by a job for each level. All ways give the same trees.
 
 A split has the highest gain, then the first feature, then the lowest cut, with min_rows rows on
 both sides. Rows without a finite label are left out; a table without any gives a model that predicts null.
@@ -20,22 +21,31 @@ both sides. Rows without a finite label are left out; a table without any gives
 
 from __future__ import annotations
 
+import os
 import pickle
+import time
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import astuple, dataclass, field
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import BarrierTaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.session import materialize
+from tidewheel.session import materialize, shared_root, work_path
 
 BINS = 255
 #: Cells that are broadcast, a task a trial: 27 bytes each with eleven features, 113 MB in all.
 CELL_LIMIT = 1 << 22
 #: Cells counted at a time, and the most bins of features that are counted together.
 CHUNK, JOINT = 1 << 16, 256
+#: Combinations of bins that are counted together, in nodes of few and of many cells.
+SEEN = 128, 2048
+#: Cells a task holds at least where tasks grow trees together, the most such tasks, and how long one waits for another.
+PART_CELLS, MOST_PARTS, MEETING_SECONDS = 1 << 16, 32, 1800
 #: Fixed-point scale of labels, gradients and leaf values.
 SCALE = 1 << 16
 #: Trees between two writes of the state when cells are spread.
@@ -206,13 +216,20 @@ def cells(frame: DataFrame, binning: Binning, label: str) -> DataFrame:
     return folded.groupBy("bins").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
+def _high(values: np.ndarray) -> np.ndarray:
+    return (values >> _LOW).astype(np.float64)
+
+
+def _low(values: np.ndarray) -> np.ndarray:
+    return (values & ((1 << _LOW) - 1)).astype(np.float64)
+
+
 def _exact(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     """Sums by index, exact: doubles are whole numbers whose sums they hold, others are summed in two such halves."""
     if values.dtype == np.float64:
         return np.bincount(index, values, size).astype(np.int64)
-    high, low = values >> _LOW, values & ((1 << _LOW) - 1)
-    sums = np.bincount(index, high, size).astype(np.int64) << _LOW
-    return sums + np.bincount(index, low, size).astype(np.int64)
+    sums = np.bincount(index, _high(values), size).astype(np.int64) << _LOW
+    return sums + np.bincount(index, _low(values), size).astype(np.int64)
 
 
 def joint_columns(bins: np.ndarray, offsets: np.ndarray) -> list[tuple[list[int], list[int], np.ndarray]]:
@@ -308,65 +325,188 @@ def _level(tree: Tree, frontier: list[int], cuts, offsets: np.ndarray, settings:
     return following
 
 
+def seen_together(bins: np.ndarray, offsets: np.ndarray, most: int) -> list[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
+    """(place of each cell, places, slots, which of these slots each place adds to) of features that are counted together.
+
+    A place is a combination of bins that occurs, so features that depend on each other share few of them.
+    """
+    widths, found = np.diff(offsets).tolist(), []
+    for f in sorted(range(len(widths)), key=lambda f: -widths[f]):
+        best = None
+        for at, (features, place, places) in enumerate(found):
+            seen = np.bincount(place * widths[f] + bins[:, f], minlength=places * widths[f]) > 0
+            if seen.sum() <= most and (best is None or seen.sum() * len(best[1]) < best[1].sum() * len(seen)):
+                best = at, seen
+        if best is None:
+            found.append(([f], bins[:, f].astype(np.int64), widths[f]))
+        else:
+            at, seen = best
+            features, place, _ = found[at]
+            found[at] = [*features, f], (np.cumsum(seen) - 1)[place * widths[f] + bins[:, f]], int(seen.sum())
+    together = []
+    for features, place, places in found:
+        slots = np.concatenate([np.arange(offsets[f], offsets[f + 1]) for f in features])
+        adds, first = np.zeros((places, len(slots))), 0
+        for f in features:
+            adds[place, first + bins[:, f]] = 1
+            first += widths[f]
+        together.append((place.astype(np.int16), places, slots, adds))
+    return together
+
+
+def whole_weights(values: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """(doubles, shift): the values if doubles hold every sum of them, or else their halves, of which they hold CHUNK."""
+    if np.abs(values.astype(np.float64)).sum() < 1 << 52:
+        return [(values.astype(np.float64), 0)]
+    return [(_high(values), _LOW), (_low(values), 0)]
+
+
+class _Part:
+    """The cells of a task, with what each trial has left to explain of them."""
+
+    def __init__(self, bins: np.ndarray, n: np.ndarray, totals: np.ndarray, offsets: np.ndarray, base: int, trials: int) -> None:
+        order = np.lexsort(bins.T) if bins.shape[1] else np.arange(len(n))  # like cells go to like leaves, and lie together
+        bins, n, totals = bins[order], n[order], totals[order]
+        self.columns, self.offsets, self.n = np.ascontiguousarray(bins.T), offsets, n
+        self.rows = [(n.astype(np.int16), 0)] if n.max(initial=0) < 1 << 15 else whole_weights(n)
+        self.left = [totals - n * base for _ in range(trials)]
+        self.together = [seen_together(bins, offsets, most) for most in SEEN]
+
+    def histograms(self, nodes: list[np.ndarray], gradient: list[tuple[np.ndarray, int]]) -> np.ndarray:
+        """(nodes, 2, slots): rows and gradients of the cells of each node by slot."""
+        whole = len(self.rows) == len(gradient) == 1
+        kind, step = (np.float64, len(self.n) or 1) if whole else (np.int64, CHUNK)
+        cells = sum(len(node) for node in nodes)
+        few, many = self.together
+        # Many places pay where nodes hold more cells than there are places to sum up.
+        together = many if cells > 16 * len(nodes) * sum(places for _, places, _, _ in many) else few
+        counted = [np.zeros((len(nodes), 2, places), kind) for _, places, _, _ in together]
+        for i, node in enumerate(nodes):
+            for at in range(0, len(node), step):
+                some = node[at : at + step]
+                weights = [[(values.take(some), shift) for values, shift in both] for both in (self.rows, gradient)]
+                for (place, places, _, _), into in zip(together, counted):
+                    index = place.take(some)
+                    for j, both in enumerate(weights):
+                        for values, shift in both:
+                            sums = np.bincount(index, values, places)
+                            into[i, j] += sums if whole else sums.astype(np.int64) << shift
+        found = np.zeros((len(nodes), 2, int(self.offsets[-1])), np.int64)
+        for (_, _, slots, adds), sums in zip(together, counted):
+            found[:, :, slots] = sums @ adds if whole else (_high(sums) @ adds).astype(np.int64) << _LOW
+            if not whole:
+                found[:, :, slots] += (_low(sums) @ adds).astype(np.int64)
+        return found
+
+
 class _Growing:
-    """A tree that grows over the cells of a task.
+    """A tree that grows over the cells of a part, which lie in the order of its leaves.
 
     Of two children only the one with fewer rows is counted; the other is what is left of its parent.
     """
 
-    def __init__(self, columns: np.ndarray, joint: list, n: np.ndarray, gradient: np.ndarray, offsets: np.ndarray, settings: Settings) -> None:
-        self.columns, self.joint, self.n, self.gradient, self.offsets, self.settings = columns, joint, n, gradient, offsets, settings
+    def __init__(self, part: _Part, trial: int, settings: Settings) -> None:
+        self.part, self.trial, self.settings = part, trial, settings
+        self.gradient = whole_weights(part.left[trial])
         self.tree, self.levels = Tree(), settings.max_depth
-        self.at = np.zeros(len(n), np.int32)  # the leaf of each cell so far
+        self.order, self.span = np.arange(len(part.n)), [(0, len(part.n))]  # of each node: where its cells are
         self.open = [0] if self.levels else []
         self.counted, self.source = list(self.open), [(0, -1)]  # of each open node: its place in counted, its parent's if left over
-        self.whole = np.zeros((0, 2, int(offsets[-1])), np.int64)
+        self.whole = np.zeros((0, 2, int(part.offsets[-1])), np.int64)
 
     def partial(self) -> np.ndarray:
-        """The histograms of the counted nodes."""
-        place = np.full(len(self.tree.feature), -1, np.int32)
-        place[self.counted] = np.arange(len(self.counted))
-        return histograms(self.joint, place[self.at], self.n, self.gradient, len(self.counted), self.offsets)
+        """The histograms of the counted nodes over this part."""
+        return self.part.histograms([self.order[slice(*self.span[node])] for node in self.counted], self.gradient)
 
     def advance(self, found: np.ndarray) -> None:
-        """Cut the open nodes by the histograms of the counted ones, and move the cells."""
+        """Cut the open nodes by the histograms of the counted ones over all parts, and move the cells."""
         tree, before = self.tree, self.open
         counted, parent = np.array(self.source).T
         whole, left_over = found[counted], parent >= 0
         whole[left_over] = self.whole[parent[left_over]] - whole[left_over]
-        cuts = best_cuts(whole[:, 0], whole[:, 1], self.offsets, self.settings.min_rows)
-        following = _level(tree, before, cuts, self.offsets, self.settings)
+        cuts = best_cuts(whole[:, 0], whole[:, 1], self.part.offsets, self.settings.min_rows)
+        following = _level(tree, before, cuts, self.part.offsets, self.settings)
         self.levels -= 1
         self.whole, self.open, self.counted, self.source = whole, following if self.levels else [], [], []
         wanted = set(self.open)
         for i, (node, left, rows) in enumerate(zip(before, cuts[1].tolist(), cuts[3].tolist())):
+            if tree.feature[node] < 0:
+                continue
+            self._move(node)
             first = tree.left[node]
-            kept = [c for c in (first, first + 1) if tree.feature[node] >= 0 and c in wanted]
+            kept = [c for c in (first, first + 1) if c in wanted]
             if kept:
                 fewer = first + (2 * left > rows)
                 self.source += [(len(self.counted), -1 if c == fewer else i) for c in kept]
                 self.counted.append(fewer)
-        feature, cut, below = (np.array(x, np.int32) for x in (tree.feature, tree.cut, tree.left))
-        for at in range(0, len(self.at), CHUNK):
-            part = self.at[at : at + CHUNK]
-            inner = np.flatnonzero(feature[part] >= 0)
-            on = part[inner]
-            part[inner] = below[on] + (self.columns[feature[on], inner + at] > cut[on])
+
+    def _move(self, node: int) -> None:
+        start, end = self.span[node]
+        cells = self.order[start:end]
+        right = self.part.columns[self.tree.feature[node]].take(cells) > self.tree.cut[node]
+        above, below = cells[right], cells[~right]
+        middle = start + len(below)
+        self.order[start:middle], self.order[middle:end] = below, above
+        self.span += [(start, middle), (middle, end)]
+
+    def finish(self) -> Tree:
+        """The tree; its part is left with what it does not explain."""
+        leaves = sorted((*self.span[i], self.tree.value[i]) for i, f in enumerate(self.tree.feature) if f < 0)
+        values = np.repeat([v for _, _, v in leaves], [end - start for start, end, _ in leaves])
+        self.part.left[self.trial][self.order] -= self.part.n[self.order] * values
+        return self.tree
+
+
+def grow(part: _Part, trials: list[Settings], total: Callable[[list[np.ndarray]], list[np.ndarray]]) -> list[list[Tree]]:
+    """The trees of all trials in lockstep, level by level; total sums histograms over all parts."""
+    done: list[list[Tree]] = [[] for _ in trials]
+    for t in range(max(s.n_estimators for s in trials)):
+        growing = [_Growing(part, i, s) for i, s in enumerate(trials) if s.n_estimators > t]
+        while some := [g for g in growing if g.open]:
+            for g, found in zip(some, total([g.partial() for g in some])):
+                g.advance(found)
+        for g in growing:
+            done[g.trial].append(g.finish())
+    return done
 
 
 def fit_cells(bins: np.ndarray, n: np.ndarray, totals: np.ndarray, offsets: np.ndarray, base: int, settings: Settings) -> list[Tree]:
     """The trees of one trial over all cells, level by level."""
-    columns, joint = np.ascontiguousarray(bins.T), joint_columns(bins, offsets)
-    rows = n.astype(np.float64) if int(n.sum()) < 1 << 53 else n
-    sums = np.full(len(bins), base, np.int64)
-    trees = []
-    for _ in range(settings.n_estimators):
-        growing = _Growing(columns, joint, rows, totals - n * sums, offsets, settings)
-        while growing.open:
-            growing.advance(growing.partial())
-        sums += np.array(growing.tree.value, np.int64)[growing.at]
-        trees.append(growing.tree)
-    return trees
+    return grow(_Part(bins, n, totals, offsets, base, 1), [settings], lambda found: found)[0]
+
+
+class _Meeting:
+    """Sums of the arrays of all tasks of a barrier stage, which meet in a folder that all of them reach.
+
+    A task writes its arrays of a round only when it has read all of the round before, so those can go then.
+    """
+
+    def __init__(self, folder: str, part: int, parts: int) -> None:
+        self.folder, self.part, self.parts, self.round = folder, part, parts, 0
+
+    def _path(self, turn: int, part: int) -> str:
+        return os.path.join(self.folder, f"{turn}-{part}")
+
+    def _read(self, part: int) -> np.ndarray:
+        path, until = self._path(self.round, part), time.monotonic() + MEETING_SECONDS
+        while not os.path.exists(path):
+            if time.monotonic() > until:
+                raise TimeoutError(f"part {part} of {self.parts} did not come to round {self.round}")
+            time.sleep(0.0005)
+        return np.fromfile(path, np.int64)
+
+    def __call__(self, found: list[np.ndarray]) -> list[np.ndarray]:
+        summed = np.concatenate([f.ravel() for f in found])
+        own = self._path(self.round, self.part)
+        summed.tofile(own + ".new")
+        os.replace(own + ".new", own)
+        for other in range(1, self.parts):
+            summed += self._read((self.part + other) % self.parts)
+        if self.round:
+            os.remove(self._path(self.round - 1, self.part))
+        self.round += 1
+        edges = np.cumsum([f.size for f in found])[:-1]
+        return [s.reshape(f.shape) for s, f in zip(np.split(summed, edges), found)]
 
 
 def _read_cells(batch: pa.RecordBatch, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -395,6 +535,41 @@ def _fit_tasks(known: DataFrame, binning: Binning, base: int, trials: list[Setti
     return [[Tree(*t) for t in pickle.loads(r["trees"])] for r in sorted(fitted.collect())]
 
 
+def meeting_parts(spark: SparkSession, cells: int) -> int:
+    """Tasks that can grow trees together: as many as run at once, with PART_CELLS cells or more each; 1 if they cannot meet."""
+    context = spark.sparkContext
+    scala = context._jsc.sc()
+    root = urlparse(shared_root(spark))
+    files = (root.scheme or urlparse(scala.hadoopConfiguration().get("fs.defaultFS", "file:")).scheme) == "file"
+    if not files or context.getConf().get("spark.dynamicAllocation.enabled", "false").lower() == "true":
+        return 1  # plain files are what tasks meet in, and a barrier stage needs all of its tasks at once
+    slots = scala.maxNumConcurrentTasks(scala.resourceProfileManager().defaultResourceProfile())
+    return max(1, min(slots, MOST_PARTS, cells // PART_CELLS))
+
+
+def _fit_parts(known: DataFrame, binning: Binning, base: int, trials: list[Settings], parts: int) -> list[list[Tree]]:
+    """One barrier stage: a task holds a part of the cells, and all of them grow the same trees."""
+    offsets, features = binning.offsets, len(binning.names)
+    folder = urlparse(work_path(known.sparkSession, "boosting-meeting")).path
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = BarrierTaskContext.get()
+        number, tasks = context.partitionId(), len(context.getTaskInfos())
+        place = os.path.join(folder, context.allGather(uuid.uuid4().hex)[0])  # what a failed attempt left is not read
+        os.makedirs(place, exist_ok=True)
+        nothing = np.zeros((0, features), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        read = [nothing, *(_read_cells(batch, features) for batch in batches if len(batch))]
+        part = _Part(*(np.concatenate(c) for c in zip(*read)), offsets, base, len(trials))
+        del read
+        fitted = grow(part, trials, _Meeting(place, number, tasks))
+        if number == 0:
+            packed = [pickle.dumps([t.plain() for t in trees]) for trees in fitted]
+            yield pa.RecordBatch.from_pydict({"trial": pa.array(range(len(trials)), pa.int64()), "trees": pa.array(packed, pa.binary())})
+
+    fitted = known.repartition(parts).mapInArrow(run, "trial long, trees binary", barrier=True)
+    return [[Tree(*t) for t in pickle.loads(r["trees"])] for r in sorted(fitted.collect())]
+
+
 def _fit_spread(known: DataFrame, binning: Binning, base: int, trials: list[Settings]) -> list[list[Tree]]:
     """All trials in lockstep: one aggregation over the cells for each level of a tree."""
     context = known.sparkSession.sparkContext
@@ -494,7 +669,11 @@ def fit(frame: DataFrame, features: list[str], label: str, trials: list[Settings
     if not size["cells"]:
         return [Model(binning, None, [], s) for s in trials]
     base = (2 * size["total"] + size["n"]) // (2 * size["n"])
-    fitted = (_fit_tasks if size["cells"] <= cell_limit else _fit_spread)(known, binning, base, trials)
+    parts = meeting_parts(frame.sparkSession, size["cells"])
+    if parts > 1 and size["cells"] <= cell_limit * parts:
+        fitted = _fit_parts(known, binning, base, trials, parts)
+    else:
+        fitted = (_fit_tasks if size["cells"] <= cell_limit else _fit_spread)(known, binning, base, trials)
     return [Model(binning, base, trees, s) for trees, s in zip(fitted, trials)]
 
 

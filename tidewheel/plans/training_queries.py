@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewheel.functions import dates
 from tidewheel.operators import bookings as booking_ops
 from tidewheel.operators import sampling, synthesis, training
 from tidewheel.plans import inputs
@@ -15,9 +16,13 @@ from tidewheel.plans.catalogue import query
 from tidewheel.session import materialize
 
 def frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Encoded train and test rows, written once: every boosting round reads them again."""
-    train, test = booking_ops.time_split(inputs.bookings(spark, sf_dir))
-    train = materialize(train, "train")
+    """Encoded train and test rows out of bookings that are derived and written once."""
+    booked = inputs.bookings(spark, sf_dir)
+    newest = booking_ops.newest_date(booked)
+    if newest is not None:
+        bounds = dates.split_bounds(newest)
+        booked = booking_ops.between_dates(booked, "arrival_date", bounds["train_start"], bounds["test_end"])
+    train, test = booking_ops.time_split(materialize(booked, "bookings"), max_date=newest)
     codes = materialize(booking_ops.category_codes(train, booking_ops.CATEGORICAL), "codes")
     return materialize(training.feature_frame(train, codes), "train-coded"), training.feature_frame(test, codes)
 
