@@ -361,6 +361,23 @@ def whole_weights(values: np.ndarray) -> list[tuple[np.ndarray, int]]:
     return [(_high(values), _LOW), (_low(values), 0)]
 
 
+def batches(nodes: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(number of the first node, pieces of it and the next ones), CHUNK cells or fewer at once."""
+    first, pieces, held = 0, [], 0
+    for i, node in enumerate(nodes):
+        for at in range(0, max(len(node), 1), CHUNK):
+            piece = node[at : at + CHUNK]
+            if pieces and (at or held + len(piece) > CHUNK):
+                yield first, pieces
+                pieces, held = [], 0
+            if not pieces:
+                first = i
+            pieces.append(piece)
+            held += len(piece)
+    if pieces:
+        yield first, pieces
+
+
 class _Part:
     """The cells of a task, with what each trial has left to explain of them."""
 
@@ -375,22 +392,21 @@ class _Part:
     def histograms(self, nodes: list[np.ndarray], gradient: list[tuple[np.ndarray, int]]) -> np.ndarray:
         """(nodes, 2, slots): rows and gradients of the cells of each node by slot."""
         whole = len(self.rows) == len(gradient) == 1
-        kind, step = (np.float64, len(self.n) or 1) if whole else (np.int64, CHUNK)
-        cells = sum(len(node) for node in nodes)
         few, many = self.together
         # Many places pay where nodes hold more cells than there are places to sum up.
+        cells = sum(len(node) for node in nodes)
         together = many if cells > 16 * len(nodes) * sum(places for _, places, _, _ in many) else few
-        counted = [np.zeros((len(nodes), 2, places), kind) for _, places, _, _ in together]
-        for i, node in enumerate(nodes):
-            for at in range(0, len(node), step):
-                some = node[at : at + step]
-                weights = [[(values.take(some), shift) for values, shift in both] for both in (self.rows, gradient)]
-                for (place, places, _, _), into in zip(together, counted):
-                    index = place.take(some)
-                    for j, both in enumerate(weights):
-                        for values, shift in both:
-                            sums = np.bincount(index, values, places)
-                            into[i, j] += sums if whole else sums.astype(np.int64) << shift
+        counted = [np.zeros((len(nodes), 2, places), np.float64 if whole else np.int64) for _, places, _, _ in together]
+        for first, pieces in batches(nodes):
+            some, last = np.concatenate(pieces), first + len(pieces)
+            at = np.repeat(np.arange(len(pieces)), [len(piece) for piece in pieces])
+            weights = [[(values.take(some), shift) for values, shift in both] for both in (self.rows, gradient)]
+            for (place, places, _, _), into in zip(together, counted):
+                index = at * places + place.take(some) if len(pieces) > 1 else place.take(some)
+                for j, both in enumerate(weights):
+                    for values, shift in both:
+                        sums = np.bincount(index, values, len(pieces) * places).reshape(-1, places)
+                        into[first:last, j] += sums if whole else sums.astype(np.int64) << shift
         found = np.zeros((len(nodes), 2, int(self.offsets[-1])), np.int64)
         for (_, _, slots, adds), sums in zip(together, counted):
             found[:, :, slots] = sums @ adds if whole else (_high(sums) @ adds).astype(np.int64) << _LOW
